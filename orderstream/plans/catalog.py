@@ -240,6 +240,40 @@ def q_metric_names_parsed(spark, sf_dir):
     return p.select("event_id", "metric", "topic", "value")
 
 
+# ---- streaming ---------------------------------------------------------------------
+
+SENTINEL_USER = "__end_of_stream__"
+
+
+def q_stream_order_stats(spark, sf_dir):
+    """The streaming job end to end: dense order events as JSON files -> file
+    stream -> decode/validate/guarded filter/watermark/window -> keyed table
+    (idempotent per-batch upsert).  Two far-future sentinel events close every
+    data window; the sentinel user is then excluded from the result."""
+    from orderstream.session import scratch_path
+    from orderstream.sources.files import read_value_stream, write_values
+    from orderstream.sources.tables import KeyedTable
+    from orderstream.streaming.job import order_stats_plan
+
+    src, out, ck = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ck"))
+    write_values(FX.json_events(spark, sf_dir, dense=True), src)
+    table = KeyedTable(out)
+    plan = order_stats_plan(read_value_stream(spark, src), exact=True)
+    q = (plan.writeStream.outputMode("append").foreachBatch(table.write_batch)
+         .option("checkpointLocation", ck).start())
+    try:
+        q.processAllAvailable()
+        for i in range(2):
+            end = spark.range(1).select(encode_order_json(
+                order_id=F.lit(f"end-{i}"), user_id=F.lit(SENTINEL_USER), amount=F.lit(0.0),
+                status=F.lit("PLACED"), timestamp=F.lit(4102444800000 + i)).alias("value"))
+            write_values(end, src)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return _stats_out(table.read(spark).where(F.col("user_id") != SENTINEL_USER))
+
+
 # ---- load summaries --------------------------------------------------------------
 
 def q_load_summary(spark, sf_dir):
@@ -287,6 +321,7 @@ QUERIES = {
     "alert_state_counts": q_alert_state_counts,
     "status_bands": q_status_bands,
     "metric_names_parsed": q_metric_names_parsed,
+    "stream_order_stats": q_stream_order_stats,
     "load_summary": q_load_summary,
     "latency_percentiles": q_latency_percentiles,
     "slo_check": q_slo_check,

@@ -188,10 +188,9 @@ tl2 AS (SELECT alert, metric, topic, instance, ts, value, state, active_at,
 """
 
 
-STATES = _timeline() + """, st AS (SELECT alert, metric, topic, instance, max(ts) AS ts,
-  arg_max(value, ts) AS value, arg_max(state, ts) AS state, arg_max(active_at, ts) AS active_at,
-  arg_max(severity, ts) AS severity, arg_max(summary, ts) AS summary
-  FROM tl2 GROUP BY alert, metric, topic, instance)
+STATES = _timeline() + """, st AS (SELECT alert, metric, topic, instance, ts, value, state, active_at, severity, summary
+  FROM (SELECT *, row_number() OVER (PARTITION BY alert, metric, topic, instance ORDER BY ts DESC) AS rn FROM tl2)
+  WHERE rn = 1)
 """
 
 
@@ -340,6 +339,7 @@ SELECT metric, instance, ts, increase / CAST(300 AS DOUBLE) AS value,
   CASE WHEN increase / CAST(300 AS DOUBLE) >= 5 THEN 'critical' WHEN increase / CAST(300 AS DOUBLE) >= 1 THEN 'warning' ELSE 'ok' END AS band
 FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events-dlq')")})""",
     "metric_names_parsed": _jmx(),
+    "stream_order_stats": f"WITH oe AS ({_oe(True)}), ok AS (SELECT * FROM oe WHERE NOT {JSON_MAL})\n" + _stats("ok"),
     "load_summary": SEND_LOG + f"""SELECT total_messages, duration_s,
   CASE WHEN duration_s > 0 THEN CAST(round(total_messages / duration_s) AS BIGINT) END AS throughput,
   p50_ms, p95_ms, p99_ms, error_rate_pct FROM ({SUMMARY})""",
