@@ -19,6 +19,13 @@ def _raw_field(fields: Column, name: str) -> Column:
     ).otherwise(F.lit("unknown"))
 
 
+def _java_number_text(raw: Column) -> Column:
+    # A decimal JSON number is printed the way the JVM prints a double
+    # (12.50 -> 12.5); integers and non-numbers keep their raw text.
+    decimal = raw.rlike(r"^-?[0-9]+\.[0-9]+([eE][-+]?[0-9]+)?$")
+    return F.when(decimal, raw.try_cast("double").cast("string")).otherwise(raw)
+
+
 def dlq_alert_text(value="value", topic="topic", partition="partition") -> Column:
     """Alert line for a record routed to the dead-letter topic."""
     fields = F.from_json(_col(value).cast("string"), "map<string,string>")
@@ -27,7 +34,7 @@ def dlq_alert_text(value="value", topic="topic", partition="partition") -> Colum
         "Amount: $%s | Topic: `%s` | Partition: %d",
         _raw_field(fields, "order_id"),
         _raw_field(fields, "user_id"),
-        _raw_field(fields, "amount"),
+        _java_number_text(_raw_field(fields, "amount")),
         _col(topic),
         _col(partition),
     )

@@ -51,28 +51,38 @@ def _anchored(p: str) -> str:
     return "^" + p + "$"
 
 
-def metric_name(mbean="mbean", rules=EXPORTER_RULES, lowercase: bool = True) -> Column:
-    """Metric name of the first rule whose pattern matches (null = not exported)."""
+def rule_index(mbean="mbean", rules=EXPORTER_RULES) -> Column:
+    """1-based index of the first rule whose pattern matches (null = none)."""
     m = F.col(mbean) if isinstance(mbean, str) else mbean
     out = None
-    for pat, name, _ in rules:
+    for i, (pat, _, _) in enumerate(rules, start=1):
         cond = m.rlike(_anchored(pat))
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return F.lower(out) if lowercase else out
+        out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
+    return out
+
+
+def metric_name(idx="rule_idx", rules=EXPORTER_RULES, lowercase: bool = True) -> Column:
+    """Metric name of the matched rule."""
+    names = F.array(*[F.lit(n.lower() if lowercase else n) for _, n, _ in rules])
+    i = F.col(idx) if isinstance(idx, str) else idx
+    return F.when(i.isNotNull(), F.element_at(names, i))
 
 
-def topic_label(mbean="mbean", rules=EXPORTER_RULES) -> Column:
-    """The ``topic`` label captured by the first matching rule, if it has one."""
+def topic_label(mbean="mbean", idx="rule_idx", rules=EXPORTER_RULES) -> Column:
+    """The ``topic`` label captured by the matched rule, if that rule has one
+    (only the matched rule's pattern is evaluated again)."""
     m = F.col(mbean) if isinstance(mbean, str) else mbean
-    out = None
-    for pat, _, has_topic in rules:
-        cond = m.rlike(_anchored(pat))
-        val = F.regexp_extract(m, _anchored(pat), 1) if has_topic else F.lit(None).cast("string")
-        out = F.when(cond, val) if out is None else out.when(cond, val)
+    i = F.col(idx) if isinstance(idx, str) else idx
+    out = F.lit(None).cast("string")
+    for k, (pat, _, has_topic) in enumerate(rules, start=1):
+        if has_topic:
+            out = F.when(i == k, F.regexp_extract(m, _anchored(pat), 1)).otherwise(out)
     return out
 
 
 def parse_metric_names(df: DataFrame, mbean: str = "mbean", rules=EXPORTER_RULES) -> DataFrame:
     """Name + label extraction; beans no rule matches are not exported (dropped)."""
-    out = df.withColumn("metric", metric_name(mbean, rules)).withColumn("topic", topic_label(mbean, rules))
-    return out.where(F.col("metric").isNotNull())
+    out = df.withColumn("rule_idx", rule_index(mbean, rules))
+    out = out.where(F.col("rule_idx").isNotNull())
+    return (out.withColumn("metric", metric_name("rule_idx", rules))
+               .withColumn("topic", topic_label(mbean, "rule_idx", rules)).drop("rule_idx"))

@@ -15,13 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderstream.operators.upsert import upsert_latest
-from orderstream.schema import STATS_KEYS, STATS_UPDATE_COLS
+from pyspark.sql import types as T
+
+from orderstream.schema import STATS_KEYS, STATS_UPDATE_COLS, USER_ORDER_STATS
 
 
 class KeyedTable:
     def __init__(self, path: str, keys: Sequence[str] = STATS_KEYS,
-                 update_cols: Sequence[str] = STATS_UPDATE_COLS):
+                 update_cols: Sequence[str] = STATS_UPDATE_COLS, schema: T.StructType = USER_ORDER_STATS):
         self.path = path
+        # explicit schema: a log with only empty batches so far still reads
+        self.schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]
+                                   + [T.StructField("batch_id", T.LongType(), True)])
         self.keys = tuple(keys)
         self.update_cols = tuple(update_cols)
 
@@ -34,7 +39,7 @@ class KeyedTable:
            .parquet(self.path))
 
     def log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        return spark.read.schema(self.schema).parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Current table state (last write per key wins)."""
