@@ -274,6 +274,22 @@ def q_stream_order_stats(spark, sf_dir):
     return _stats_out(table.read(spark).where(F.col("user_id") != SENTINEL_USER))
 
 
+def q_stream_retry_release(spark, sf_dir):
+    """Dead-letter records through the streaming retry release (timers at
+    micro-batch boundaries, default 1 s base backoff): every decodable record
+    comes out once - PERMANENT at once, RETRY after its backoff with the
+    incremented count."""
+    from orderstream.session import scratch_path
+    from orderstream.streaming.retry_release import run_release
+
+    recs = FX.dlq_records(spark, sf_dir)
+    src, ck, out = (scratch_path(spark, n) for n in ("retry-src", "retry-ck", "retry-out"))
+    recs.write.parquet(src)
+    expected = spark.read.parquet(src).where(F.col("offset") % 900 != 0).count()
+    rel = run_release(spark, src, recs.schema, ck, out, expected=expected)
+    return rel.select("offset", "order_id", "user_id", "retry_count", "decision")
+
+
 # ---- load summaries --------------------------------------------------------------
 
 def q_load_summary(spark, sf_dir):
@@ -322,6 +338,7 @@ QUERIES = {
     "status_bands": q_status_bands,
     "metric_names_parsed": q_metric_names_parsed,
     "stream_order_stats": q_stream_order_stats,
+    "stream_retry_release": q_stream_retry_release,
     "load_summary": q_load_summary,
     "latency_percentiles": q_latency_percentiles,
     "slo_check": q_slo_check,

@@ -340,6 +340,10 @@ SELECT metric, instance, ts, increase / CAST(300 AS DOUBLE) AS value,
 FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events-dlq')")})""",
     "metric_names_parsed": _jmx(),
     "stream_order_stats": f"WITH oe AS ({_oe(True)}), ok AS (SELECT * FROM oe WHERE NOT {JSON_MAL})\n" + _stats("ok"),
+    "stream_retry_release": f"""WITH oe AS ({_oe()}), {DLQ_RECORDS}
+SELECT "offset", order_id, user_id, CASE WHEN retry_count >= 5 THEN retry_count ELSE retry_count + 1 END AS retry_count,
+  CASE WHEN retry_count >= 5 THEN 'PERMANENT' ELSE 'RETRY' END AS decision
+FROM dr WHERE NOT undecodable""",
     "load_summary": SEND_LOG + f"""SELECT total_messages, duration_s,
   CASE WHEN duration_s > 0 THEN CAST(round(total_messages / duration_s) AS BIGINT) END AS throughput,
   p50_ms, p95_ms, p99_ms, error_rate_pct FROM ({SUMMARY})""",

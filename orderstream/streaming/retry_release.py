@@ -1,78 +1,97 @@
-"""Non-blocking delayed retries with processing-time timers.
+"""Non-blocking delayed retries with processing-time timeouts.
 
-Each RETRY row is held in keyed state and released when its backoff timer
-fires (timers fire at micro-batch boundaries); PERMANENT rows pass through at
-once.  Nothing sleeps inside a task, so one slow retry never blocks a
-partition.  Keyed by order id: the state per key is at most ``max_retries``
-pending records.
+Each RETRY row is held in keyed state and released once its backoff has
+elapsed (checked when the key's processing-time timeout fires, i.e. at a
+micro-batch boundary); PERMANENT rows pass through at once.  Nothing sleeps
+inside a task, so one slow retry never blocks a partition.  Keyed by the
+record's coordinates (topic, partition, offset), which are unique, so state
+spreads evenly even when many poison events share an (empty) order id.
+
+Uses ``applyInPandasWithState`` (Arrow batches).  The newer
+``transformWithState`` API fails to plan its second micro-batch on PySpark
+4.1.2 in this environment, so it is not used.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-
-PENDING = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("next_retry_count", T.LongType()),
-    T.StructField("due_ms", T.LongType()),
-])
-
-RELEASED = T.StructType([
-    T.StructField("order_id", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("retry_count", T.LongType()),
-    T.StructField("decision", T.StringType()),
-    T.StructField("due_ms", T.LongType()),
-    T.StructField("released_ms", T.LongType()),
-])
-
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-class RetryRelease(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pending = handle.getListState("pending", PENDING)
+RELEASED_SCHEMA = ("topic string, partition int, offset long, order_id string, user_id string, value string, retry_count long, decision string, "
+                   "due_ms long, released_ms long")
+STATE_SCHEMA = ("pending array<struct<order_id:string,user_id:string,value:string,next_retry_count:long,"
+                "due_ms:long>>")
+_OUT_COLS = ["topic", "partition", "offset", "order_id", "user_id", "value", "retry_count", "decision", "due_ms", "released_ms"]
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = timerValues.getCurrentProcessingTimeInMs()
-        order_id = key[0]
-        for r in rows:
-            if r["decision"] == "PERMANENT":
-                yield Row(order_id=order_id, user_id=r["user_id"], value=r["value"],
-                          retry_count=r["retry_count"], decision="PERMANENT", due_ms=None, released_ms=now)
-                continue
-            due = now + int(r["backoff_ms"])
-            self.pending.appendValue((r["user_id"], r["value"], int(r["next_retry_count"]), due))
-            self.handle.registerTimer(due)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = timerValues.getCurrentProcessingTimeInMs()
-        fired = expiredTimerInfo.getExpiryTimeInMs()
-        keep = []
-        for user_id, value, n, due in self.pending.get():
-            if due <= fired:
-                yield Row(order_id=key[0], user_id=user_id, value=value, retry_count=n,
-                          decision="RETRY", due_ms=due, released_ms=now)
-            else:
-                keep.append((user_id, value, n, due))
-        if keep:
-            self.pending.put(keep)
+def _release(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    topic, partition, offset = key[0], int(key[1]), int(key[2])
+    now = int(time.time() * 1000)
+    fields = ("order_id", "user_id", "value", "next_retry_count", "due_ms")
+    pending = []
+    if state.exists:
+        for p in state.get[0]:
+            pending.append(tuple(p[f] for f in fields) if isinstance(p, dict) else tuple(p))
+    out = []
+    if not state.hasTimedOut:
+        for pdf in pdfs:
+            for r in pdf.itertuples(index=False):
+                if r.decision == "PERMANENT":
+                    out.append((topic, partition, offset, r.order_id, r.user_id, r.value, int(r.retry_count),
+                                "PERMANENT", None, now))
+                else:
+                    pending.append((r.order_id, r.user_id, r.value, int(r.next_retry_count),
+                                    now + int(r.backoff_ms)))
+    keep = []
+    for order_id, user_id, value, n, due in pending:
+        if due <= now:
+            out.append((topic, partition, offset, order_id, user_id, value, int(n), "RETRY", int(due), now))
         else:
-            self.pending.clear()
-
-    def close(self) -> None:
-        pass
+            keep.append((order_id, user_id, value, int(n), int(due)))
+    if keep:
+        state.update(([dict(zip(fields, k)) for k in keep],))
+        state.setTimeoutDuration(max(1, min(k[-1] for k in keep) - now))
+    elif state.exists:
+        state.remove()
+    if out:
+        yield pd.DataFrame(out, columns=_OUT_COLS)
 
 
 def release_retries(planned: DataFrame) -> DataFrame:
     """Planned dead-letter rows (``order_id, user_id, value, retry_count,
     decision, backoff_ms, next_retry_count``) -> released records."""
-    cols = planned.select("order_id", "user_id", planned["value"].cast("string").alias("value"),
+    cols = planned.select("topic", "partition", "offset", "order_id", "user_id",
+                          planned["value"].cast("string").alias("value"),
                           "retry_count", "decision", "backoff_ms", "next_retry_count")
-    return cols.groupBy("order_id").transformWithState(
-        RetryRelease(), RELEASED, "append", "ProcessingTime")
+    return cols.groupBy("topic", "partition", "offset").applyInPandasWithState(
+        _release, RELEASED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def run_release(spark, records_path: str, schema, checkpoint: str, sink_path: str, *, expected: int | None = None,
+                max_wait_s: float = 120.0, base_ms: int = 1000, trigger: str = "1 second"):
+    """Drive the release stream over a folder of dead-letter records until
+    ``expected`` records were released (or ``max_wait_s``), then stop.  With
+    processing-time timeouts the engine keeps scheduling batches, so this polls
+    the sink instead of waiting for the stream to go idle."""
+    from pyspark.sql import functions as F
+    from orderstream.operators.retry import decode_dlq_records, plan_retries
+
+    stream = spark.readStream.schema(schema).parquet(records_path)
+    planned = plan_retries(decode_dlq_records(stream).where(~F.col("undecodable")), base_ms=base_ms)
+    q = (release_retries(planned).writeStream.format("parquet").option("path", sink_path)
+         .option("checkpointLocation", checkpoint).outputMode("append").trigger(processingTime=trigger).start())
+    t0 = time.time()
+    try:
+        while time.time() - t0 < max_wait_s:
+            time.sleep(1.0)
+            if expected is not None and q.lastProgress is not None:
+                done = spark.read.schema(RELEASED_SCHEMA).parquet(sink_path).count()
+                if done >= expected:
+                    break
+    finally:
+        q.stop()
+    return spark.read.schema(RELEASED_SCHEMA).parquet(sink_path)
