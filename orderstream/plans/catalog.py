@@ -93,9 +93,10 @@ def q_dlq_rate_by_window(spark, sf_dir):
 
 def q_partitioned_by_user(spark, sf_dir):
     t = tag_events(FX.order_events(spark, sf_dir), None).where(F.col("dlq_reason").isNull())
+    from orderstream.sources.kafka import partition_by_key
+
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (t.select("user_id", "order_id", "amount", "status", "timestamp")
-            .repartition(n, "user_id").sortWithinPartitions("user_id", "timestamp"))
+    return partition_by_key(t.select("user_id", "order_id", "amount", "status", "timestamp"), n)
 
 
 # ---- windowed stats and dashboard ------------------------------------------

@@ -89,5 +89,12 @@ def write_stats(stats: DataFrame, brokers: str, checkpoint: str, topic: str = ST
 
 
 def partition_by_key(df: DataFrame, n: int, key: str = "user_id", order: str = "timestamp") -> DataFrame:
-    """Keyed layout for tables: one key's rows in one partition, in event order."""
-    return df.repartition(n, key).sortWithinPartitions(key, order)
+    """Keyed, ordered layout for tables (the table analogue of keyed publish).
+
+    Range-partitioned on (key, order): every partition holds a contiguous
+    slice of keys in event order, so a key's rows are read back in order
+    across consecutive partitions.  Unlike a hash on the key alone, a key that
+    holds a large share of all rows is split over several partitions instead
+    of landing in one task.
+    """
+    return df.repartitionByRange(n, key, order).sortWithinPartitions(key, order)

@@ -35,12 +35,18 @@ def test_upsert_statements():
     assert any("PRIMARY KEY (user_id, window_start)" in d for d in jdbc.STATS_DDL)
 
 
-def test_partition_by_key(spark):
+def test_partition_by_key_keeps_key_order_and_splits_hot_keys(spark):
     from conftest import SF001
     from orderstream.plans.fixtures import order_events
     from pyspark.sql import functions as F
 
-    df = kafka.partition_by_key(order_events(spark, SF001), 4)
-    tagged = df.withColumn("pid", F.spark_partition_id())
-    per_user = tagged.groupBy("user_id").agg(F.countDistinct("pid").alias("p"))
-    assert per_user.where("p > 1").count() == 0
+    base = order_events(spark, SF001).select("user_id", "timestamp")
+    hot = spark.range(3000).select(F.lit("user-hot").alias("user_id"), (F.col("id") * 7).alias("timestamp"))
+    df = kafka.partition_by_key(base.unionByName(hot), 4).withColumn("pid", F.spark_partition_id())
+    rows = df.collect()
+    # partitions are contiguous, ordered slices of (key, timestamp)
+    by_pid = sorted(rows, key=lambda r: (r["pid"],))
+    keys = [(r["user_id"], r["timestamp"]) for r in by_pid]
+    assert keys == sorted(keys)
+    # the hot key (more than a third of the rows) spans more than one partition
+    assert len({r["pid"] for r in rows if r["user_id"] == "user-hot"}) > 1
