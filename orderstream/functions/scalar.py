@@ -61,3 +61,13 @@ def from_epoch_ms(ms) -> Column:
 def naive(ts) -> Column:
     """Session-zone timestamp -> zone-less timestamp (outer edge of oracle-compared output)."""
     return _col(ts).cast("timestamp_ntz")
+
+
+def sample_value(v) -> Column:
+    """Metric sample value transported as text -> double (``NaN``/``+Inf`` allowed)."""
+    return _col(v).try_cast("double")
+
+
+def from_epoch_s(s) -> Column:
+    """Epoch seconds (possibly fractional) -> timestamp."""
+    return F.timestamp_micros((_col(s).cast("double") * 1_000_000).cast("bigint"))

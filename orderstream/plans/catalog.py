@@ -222,6 +222,14 @@ def q_alert_timeline(spark, sf_dir):
     return _alert_out(AL.alert_timeline(FX.metric_samples(spark, sf_dir)))
 
 
+def q_active_alerts(spark, sf_dir):
+    """Alerts currently firing or pending for the DLQ and latency rules."""
+    st = AL.alert_states(FX.metric_samples(spark, sf_dir))
+    st = AL.by_name(AL.by_state(st, "firing", "pending"), "DLQEventsDetected", "DLQHighRate",
+                    "KafkaHighProducerLatency")
+    return _alert_out(st)
+
+
 def q_alert_state_counts(spark, sf_dir):
     return AL.state_counts(AL.alert_states(FX.metric_samples(spark, sf_dir)))
 
@@ -336,6 +344,7 @@ QUERIES = {
     "alert_states": q_alert_states,
     "alert_timeline": q_alert_timeline,
     "alert_state_counts": q_alert_state_counts,
+    "active_alerts": q_active_alerts,
     "status_bands": q_status_bands,
     "metric_names_parsed": q_metric_names_parsed,
     "stream_order_stats": q_stream_order_stats,

@@ -329,6 +329,8 @@ FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')")})"""
 FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')")})""",
     "alert_timeline": _timeline() + "SELECT * FROM tl2",
     "alert_states": STATES + "SELECT * FROM st",
+    "active_alerts": STATES + """SELECT * FROM st WHERE state IN ('firing', 'pending')
+  AND alert IN ('DLQEventsDetected', 'DLQHighRate', 'KafkaHighProducerLatency')""",
     "alert_state_counts": STATES + """SELECT COUNT(*) FILTER (WHERE state = 'firing') AS firing,
   COUNT(*) FILTER (WHERE state = 'pending') AS pending, COUNT(*) FILTER (WHERE state = 'inactive') AS inactive FROM st""",
     "status_bands": SAMPLES_CTE + f"""SELECT metric, instance, ts, value,
