@@ -313,6 +313,21 @@ def q_slo_check(spark, sf_dir):
     return LT.slo_check(LT.load_summary(FX.send_log(spark, sf_dir)))
 
 
+def _with_core_conf(fn):
+    """Registered queries may run on a session built elsewhere: pin the
+    settings their semantics depend on (UTC session zone) before planning."""
+    import functools
+
+    from orderstream.session import apply_core_conf
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_core_conf(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "validate_events": q_validate_events,
     "decode_validate": q_decode_validate,
@@ -353,3 +368,4 @@ QUERIES = {
     "latency_percentiles": q_latency_percentiles,
     "slo_check": q_slo_check,
 }
+QUERIES = {k: _with_core_conf(v) for k, v in QUERIES.items()}

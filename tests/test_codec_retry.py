@@ -65,3 +65,15 @@ def test_alert_texts(spark):
     assert txt.endswith("failed after 5 retries\nAmount: $3.01 | Status: PLACED") or txt.endswith("$3.00 | Status: PLACED")
     payload = p.select(alert_payload(F.lit('say "hi"\nnow'))).first()[0]
     assert payload == '{"text":"say \\"hi\\"\\nnow"}'
+
+
+def test_retry_outcomes_conserve_dead_letter_records(spark):
+    from conftest import SF01
+    from orderstream.plans.catalog import QUERIES
+
+    outcomes = {r["decision"]: r["records"] for r in QUERIES["retry_outcomes"](spark, SF01).collect()}
+    dlq = QUERIES["dlq_events"](spark, SF01).count()
+    assert sum(outcomes.values()) == dlq == 200
+    assert set(outcomes) == {"RETRY", "PERMANENT", "REJECTED"}
+    rate = QUERIES["dlq_rate"](spark, SF01).first()
+    assert rate["valid"] + rate["dlq"] == rate["total"] == 10000
