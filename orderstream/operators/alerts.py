@@ -49,6 +49,10 @@ DEFAULT_RULES = [
               ">", 10, 120, "critical", "High DLQ event rate (>10/sec)", "rate", 300, "order-events-dlq"),
 ]
 
+# Rule lists up to this many rows are broadcast (a few hundred bytes each);
+# a larger list falls back to a shuffle join on (metric, func, range).
+MAX_BROADCAST_RULES = 10000
+
 RULE_SCHEMA = ("alert string, metric string, op string, threshold double, for_s int, severity string, "
                "summary string, func string, range_s int, topic string")
 
@@ -95,7 +99,9 @@ def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 3
     ``ts - active_at >= for``, ``pending`` before, ``inactive`` when false.
     """
     spark = samples.sparkSession
-    rf = F.broadcast(rules_frame(spark, rules))
+    rf = rules_frame(spark, rules)
+    if len(rules) <= MAX_BROADCAST_RULES:
+        rf = F.broadcast(rf)
     x = _rule_inputs(samples, rules)
     j = x.join(
         rf,

@@ -235,8 +235,9 @@ def q_alert_state_counts(spark, sf_dir):
 
 
 def q_status_bands(spark, sf_dir):
-    s = M.select_series(FX.metric_samples(spark, sf_dir), FX.PRODUCE_P99)
-    r = M.rate(M.select_series(FX.metric_samples(spark, sf_dir), FX.MESSAGES_IN, topic="order-events-dlq"), 300)
+    samples = FX.metric_samples(spark, sf_dir)
+    s = M.select_series(samples, FX.PRODUCE_P99)
+    r = M.rate(M.select_series(samples, FX.MESSAGES_IN, topic="order-events-dlq"), 300)
     lat = s.select("metric", "instance", naive("ts").alias("ts"), "value",
                    band("value", 10, 6).alias("band"))
     dlq = r.select("metric", "instance", naive("ts").alias("ts"), F.col("rate").alias("value"),
