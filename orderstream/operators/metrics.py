@@ -46,7 +46,8 @@ def select_series(samples: DataFrame, metric: str | None = None, **labels) -> Da
 def instant(samples: DataFrame, at, lookback_s: int = 300, series: Sequence[str] = SERIES) -> DataFrame:
     """Latest sample of every series at time ``at`` (stale after ``lookback_s``)."""
     t = _ts_lit(at)
-    win = samples.where((F.col("ts") <= t) & (_ms("ts") > F.unix_millis(t) - lookback_s * 1000))
+    # plain timestamp bounds so both reach a parquet scan as pushed filters
+    win = samples.where((F.col("ts") <= t) & (F.col("ts") > t - F.expr(f"INTERVAL {int(lookback_s)} SECONDS")))
     return win.groupBy(*series).agg(
         F.max("ts").alias("ts"),
         F.max_by("value", "ts").alias("value"),
@@ -64,7 +65,7 @@ def range_query(samples: DataFrame, start, end, step_s: int = 15, lookback_s: in
     """
     st, en = _ts_lit(start), _ts_lit(end)
     step, lb = step_s * 1000, lookback_s * 1000
-    s = samples.where((F.col("ts") <= en) & (_ms("ts") > F.unix_millis(st) - lb))
+    s = samples.where((F.col("ts") <= en) & (F.col("ts") > st - F.expr(f"INTERVAL {int(lookback_s)} SECONDS")))
     w = Window.partitionBy(*series).orderBy("ms")
     s = s.select(*series, "value", _ms("ts").alias("ms")).withColumn("next_ms", F.lead("ms").over(w))
     start_ms, end_ms = F.unix_millis(st), F.unix_millis(en)

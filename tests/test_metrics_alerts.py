@@ -101,3 +101,17 @@ def test_load_summary_and_slo(spark):
     assert slo == {"low": False, "default": False, "high": False, "stress": False}
     approx = LT.load_summary(log, exact=False).first()
     assert approx["p50_ms"] == 4.0
+
+
+def test_time_range_reaches_the_scan(spark, tmp_dir):
+    from conftest import SF001
+    from orderstream.plans.fixtures import metric_samples
+
+    path = f"{tmp_dir}/samples"
+    metric_samples(spark, SF001).write.parquet(path)
+    s = spark.read.parquet(path)
+    for df in (M.range_query(s, "2024-01-01 00:20:00", "2024-01-01 00:35:00"),
+               M.instant(s, "2024-01-01 00:30:00")):
+        txt = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        pushed = [l for l in txt.split("\n") if "PushedFilters" in l][0]
+        assert "LessThanOrEqual(ts" in pushed and "GreaterThan(ts" in pushed
