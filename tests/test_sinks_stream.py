@@ -95,3 +95,21 @@ def test_sample_parsing(spark):
     rows = df.select(sample_value("v").alias("v"), from_epoch_s("t").alias("ts")).collect()
     assert rows[0]["v"] == 12.5 and rows[0]["ts"].microsecond == 500000
     assert rows[1]["v"] != rows[1]["v"] and rows[2]["v"] is None
+
+
+def _file_sender(path):
+    def send(text):
+        with open(path, "a") as f:
+            f.write(text.replace("\n", "\\n") + "\n")
+        if text == "boom":
+            raise RuntimeError("send failed")  # must be logged, never fail the job
+    return send
+
+
+def test_alert_sink_sends_from_executors(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "sent.txt")
+    sink = AlertSink(sender=_file_sender(out))
+    df = spark.createDataFrame([("a\nb",), ("boom",), ("c",)], "alert_text string").repartition(3)
+    sink(df, 0)
+    with open(out) as f:
+        assert sorted(f.read().splitlines()) == ["a\\nb", "boom", "c"]
