@@ -54,14 +54,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the operator.
-    Only when it is unset (tests, the bench) a private folder is created and
-    registered, so lineage cutting and streaming checkpoints work everywhere.
+    Only when it is unset in local mode (tests, the bench) a private folder is
+    created and registered. On a cluster a folder of the driver's own disk would
+    be invisible to the executors, so there an unset folder is an error.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="orderstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -9,6 +9,8 @@ import pytest
 from conftest import SF01
 
 import __spark_entry__ as E
+from orderstream.plans.catalog import QUERIES
+from orderstream.plans.oracle import SQL
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -36,14 +38,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF01)
+    df = QUERIES[name](spark, SF01)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
