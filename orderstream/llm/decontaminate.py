@@ -113,8 +113,9 @@ def compile_items(items: list[tuple[str | None, bytes]], window: int) -> list[Wu
     return [WuManber(m, found) for m, found in sorted(by_length.items())]
 
 
-def scan(text: bytes, searchers: list[WuManber], window: int, piece: int = PIECE) -> tuple[int, list, set]:
-    """Number of words, merged hit ranges in words (end exclusive), item ids."""
+def scan(text: bytes, searchers: list[WuManber], window: int, piece: int = PIECE, only_first: bool = False) -> tuple[int, list, set]:
+    """Number of words, merged hit ranges in words (end exclusive), item ids; with
+    ``only_first`` as far as the first occurrence."""
     ranges: list[tuple[int, int]] = []
     found: set = set()
     tail: list[bytes] = []
@@ -129,6 +130,8 @@ def scan(text: bytes, searchers: list[WuManber], window: int, piece: int = PIECE
             for start, items in s.search(words, fresh):
                 ranges.append((base + start, base + start + s.m))
                 found |= items
+                if only_first:
+                    return total, ranges, found
         tail = words[-(window - 1):] if window > 1 else []
     merged: list[list[int]] = []
     for start, end in sorted(ranges):
@@ -209,3 +212,23 @@ def _merge_ranges(column: str):
         CASE WHEN size(acc) > 0 AND x.start <= element_at(acc, -1).end
              THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, x.end))))
              ELSE concat(acc, array(named_struct('start', x.start, 'end', x.end))) END)""")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
+                      item_text: str = "text", window: int = 10, block_chars: int = 32_000_000) -> DataFrame:
+    """The documents without any occurrence, all their columns as they were."""
+    spark = docs.sparkSession
+    schema, done = docs.schema, 0
+    for items in _blocks(benchmark, item_id, item_text, block_chars):
+        if done:
+            docs = written(spark, docs, "leak-filter")
+        items, done = spark.sparkContext.broadcast(items), done + 1
+
+        def run(batches, items=items):
+            searchers = compile_items(items.value, window)
+            for batch in batches:
+                clean = [not scan((t.as_py() or "").encode(), searchers, window, only_first=True)[1] for t in batch.column(text_col)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs

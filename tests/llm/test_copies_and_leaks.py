@@ -167,3 +167,11 @@ def test_bpe_null_empty_and_no_rows(spark):
     got = {r.doc_id: (list(r.ids), r.decoded) for r in bpe.encode(df, public_tokenizers.path(queries.BPE_FILE)).collect()}
     assert got[1] == got[2] == ([], "") and got[3][1] == "hello</w>"
     assert bpe.encode(df.where("false"), public_tokenizers.path(queries.BPE_FILE)).count() == 0
+
+
+@pytest.mark.parametrize("block_chars", [10**6, 5])
+def test_drop_contaminated(spark, block_chars):
+    df = frame(spark, [(1, "x a b c y"), (2, None), (3, "a b"), (4, "q q"), (4, "q q")])
+    items = spark.createDataFrame([(1, "A b c"), (2, "q r"), (3, None)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(df, items, window=10, block_chars=block_chars)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 4]
