@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64))
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
@@ -60,11 +61,6 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             at = stop
 
 
-def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``fn`` maps an iterator of record batches; the schema fixes the output."""
-    return df.mapInArrow(fn, schema)
-
-
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a shared folder's URI, from any process."""
     if "://" in uri or uri.startswith("file:"):

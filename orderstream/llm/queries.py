@@ -10,12 +10,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import bpe, decontaminate, exact_dedup
+from orderstream.llm import bpe, decontaminate, exact_dedup, near_dedup
 from orderstream.llm.common import read_table
 
 BPE_FILE = "word_bpe_49k.json"
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
@@ -32,6 +36,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
