@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import text_or_empty
+from orderstream.llm.common import map_arrow, text_or_empty
 
 MARK = "</w>"
 #: White space of the Unicode standard; letters and numerals up to U+024F.
@@ -209,7 +209,7 @@ def _apply(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, col
         content = spark.sparkContext.broadcast(f.read())  # a vocabulary: its size doesn't grow with the data
     d = docs.select(F.col(f"`{id_col}`").alias("key"), text_or_empty(text_col).alias("text"))
     key = docs.schema[id_col].dataType.simpleString()
-    return d.mapInArrow(_encode_pass(content, output), f"key {key}, {columns}").withColumnRenamed("key", id_col)
+    return map_arrow(d, _encode_pass(content, output), f"key {key}, {columns}").withColumnRenamed("key", id_col)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,19 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             at = stop
 
 
+#: Bytes of an Arrow batch: what a task and its Python worker hold at a time, some copies of it each.
+BATCH_BYTES = 8 << 20
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with batches of a bounded size in bytes, however long the texts are."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(name).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a shared folder's URI, from any process."""
     if "://" in uri or uri.startswith("file:"):

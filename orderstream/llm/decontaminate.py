@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import text_or_empty, written
+from orderstream.llm.common import map_arrow, text_or_empty, written
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BLOCK = 3
@@ -185,7 +185,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     blocks = _blocks(benchmark, item_id, item_text, block_chars)
     first, second = next(blocks), next(blocks, None)
     if second is None:
-        return d.mapInArrow(_pass(spark.sparkContext.broadcast(first), window), schema).withColumnRenamed("key", id_col)
+        return map_arrow(d, _pass(spark.sparkContext.broadcast(first), window), schema).withColumnRenamed("key", id_col)
     # One row a block and document: written, then put together by document. Rows
     # that repeat an id are told apart by their text's digest and counted back.
     times = d.select("key", F.sha2("text", 256).alias("sha")).groupBy("key", "sha").agg(F.count(F.lit(1)).alias("times"))
@@ -193,7 +193,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     for items in itertools.chain([first, second], blocks):
         once = d.withColumn("sha", F.sha2("text", 256)).dropDuplicates(["key", "sha"])
         marked = once.select(F.struct("key", "sha").alias("key"), "text")
-        run = marked.mapInArrow(_pass(spark.sparkContext.broadcast(items), window),
+        run = map_arrow(marked, _pass(spark.sparkContext.broadcast(items), window),
                                 schema.replace(f"key {key}", f"key struct<key:{key},sha:string>", 1))
         part = written(spark, run.select("key.key", "key.sha", "n_words", "hits", "items"), "leak-pass")
         parts = part if parts is None else parts.unionByName(part)
@@ -230,5 +230,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 clean = [not scan((t.as_py() or "").encode(), searchers, window, only_first=True)[1] for t in batch.column(text_col)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = map_arrow(docs, run, schema)
     return docs

@@ -10,12 +10,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import bpe, decontaminate, exact_dedup, near_dedup
-from orderstream.llm.common import read_table
+from orderstream.llm import bpe, decontaminate, exact_dedup, lm, near_dedup, quality
+from orderstream.llm.common import fold, read_table, written
 
 BPE_FILE = "word_bpe_49k.json"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = written(spark, quality.document_statistics(read_table(spark, sf_dir, "documents")), "quality-statistics")
+    scored = quality.score(stats, quality.fit(stats, read_table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(fold(F.col("doc_id"), quality.HOLD_OUT_FOLDS) == quality.HELD_OUT, F.lit(True))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    learnt = F.coalesce(fold(F.col("doc_id"), 7) != 2, F.lit(False))
+    scored = lm.score(docs, lm.train(docs.where(learnt)))
+    return scored.select("doc_id", (~learnt).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +50,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op5_language_model": op5_language_model,
     "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_bpe": op9_bpe,
