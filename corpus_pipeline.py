@@ -8,18 +8,28 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from orderstream.llm import bpe, decontaminate, exact_dedup
+from orderstream.llm import bpe, decontaminate, exact_dedup, near_dedup, quality
 from orderstream.llm.common import read_table, written
 from orderstream.llm.queries import BPE_FILE
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go; it learns from labels as operator 1's query does."""
+    stats = written(spark, quality.document_statistics(docs), "quality-statistics")
+    return quality.keep_accepted(docs, quality.fit(stats, read_table(spark, sf_dir, "labels")))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the smallest doc_id stays."""
     return exact_dedup.deduplicate(docs, keep="min")
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the smallest doc_id stays."""
+    return near_dedup.keep_one(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
@@ -31,7 +41,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", drop_low_quality),
     ("exact dedup", drop_copies),
+    ("MinHash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_contaminated),
     ("BPE encoding and decoding", encode),
 ]
