@@ -134,16 +134,19 @@ class Encoder:
         s[-1] += MARK
         return " ".join([self.fragments[f] for f in self.cut(s)])
 
-    def plain(self, text: str) -> list[str]:
-        """Ids of each word of a text without special tokens."""
+    def words_of(self, text: str) -> list[str]:
+        """The normalised words of a text without special tokens."""
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower case goes by single characters
         text = text.lower()
-        found = (wide_pattern() if BEYOND.search(text) else NARROW).findall(text)
+        return (wide_pattern() if BEYOND.search(text) else NARROW).findall(text)
+
+    def plain(self, text: str) -> list[str]:
+        """Ids of each word of a text without special tokens."""
         words = self.words
-        return [words[w] for w in found]
+        return [words[w] for w in self.words_of(text)]
 
     def encode(self, text: str) -> str:
         """The ids as decimal numbers, joined by one space."""

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.llm import bpe, decontaminate, exact_dedup, lm, near_dedup, quality
+from orderstream.llm import bpe, decontaminate, exact_dedup, html_main, language, lm, near_dedup, pii, quality, word_pieces
 from orderstream.llm.common import fold, read_table, written
 
 BPE_FILE = "word_bpe_49k.json"
@@ -23,6 +23,26 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    line = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[n(kind) for kind in pii.KINDS], F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    learnt = F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(False))
+    found = language.identify(docs, language.fit(docs.where(learnt)))
+    return found.select("doc_id", (~learnt).alias("held_out"), "lang_pred", "score", "language")
+
+
+def op4_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_main.extract(pages, html_main.fit(pages), ["page_id", "url"])
+
+
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     learnt = F.coalesce(fold(F.col("doc_id"), 7) != 2, F.lit(False))
@@ -30,6 +50,10 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~learnt).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+def op6_word_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_pieces.count_pieces(read_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
 
@@ -51,7 +75,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_pii": op2_pii,
+    "op3_language_id": op3_language_id,
+    "op4_html_main": op4_html_main,
     "op5_language_model": op5_language_model,
+    "op6_word_pieces": op6_word_pieces,
     "op7_minhash": op7_minhash,
     "op8_decontamination": op8_decontamination,
     "op9_bpe": op9_bpe,
