@@ -14,7 +14,7 @@ are one vertex from the start. In each band bucket every vertex is first held ag
 one centre, the member that shares most buckets with others, so a group of m near
 copies costs about m verifications. Only members whose bucket then still shows
 several components are held against the members of the other components, with
-the agreement of the registers' sketches as a join condition; what is already
+the agreement of finer sketches as a join condition; what is already
 connected isn't compared again, and no other pair is left out. Links are verified
 on whole texts: the exact probability Jaccard, or the plain Jaccard of the shingle sets,
 reaches the threshold. Classes are the connected components of the links.
@@ -32,18 +32,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import sliced, text_or_empty, unused, written
+from orderstream.llm.common import map_arrow, sliced, text_or_empty, unused, written
 from orderstream.llm.components import connected_components
+from orderstream.llm.id_sets import id_number, keep_members, write_id_set
 from orderstream.llm.words import ALNUM, U, hash_batch, mix
 
 REGISTERS, BANDS, ROWS = 256, 28, 6
-SKETCH_LONGS = REGISTERS * 2 // 64
-#: Estimated similarity below which pairs of the second round aren't verified:
-#: more than three standard errors under the threshold.
-ESTIMATE_SLACK = 0.1
+#: How far under the threshold an estimate of so many registers may be for a pair
+#: to be verified: more than three standard errors.
+FINE_REGISTERS = 1024
+#: So many shingles still in play or less are few: numpy's own overhead counts more than the arrivals.
+FEW = 2000
+SLACK, FINE_SLACK = 0.1, 0.05
 GOLD = U(0x9E3779B97F4A7C15)
 
 
@@ -92,16 +95,19 @@ def signatures(x: np.ndarray, w: np.ndarray, starts: np.ndarray, k: int = REGIST
     state = mix(x ^ U(0x5851F42D4C957F2D))
     rank = 0
     while len(x):
+        steps = 1 if len(x) > FEW else 32  # a few processes run several arrivals at a time
         with np.errstate(over="ignore"):
-            rank += 1
-            r1, r2 = mix(state + U(2 * rank) * GOLD), mix(state + U(2 * rank + 1) * GOLD)
-        now = now - np.log(((r1 >> U(11)).astype(np.float64) + 0.5) / 9007199254740992.0) / w
-        alive = now < latest[doc]
-        x, w, doc, now, state, r2 = x[alive], w[alive], doc[alive], now[alive], state[alive], r2[alive]
-        slot = doc * k + (r2 % U(k)).astype(np.int64)
-        np.minimum.at(time, slot, now)
-        first = time[slot] == now
-        sig[slot[first]] = x[first]
+            ranks = U(2) * np.arange(rank + 1, rank + 1 + steps, dtype=U)
+            r1, r2 = mix(state[:, None] + ranks * GOLD), mix(state[:, None] + (ranks + U(1)) * GOLD)
+        rank += steps
+        times = now[:, None] - np.cumsum(np.log(((r1 >> U(11)).astype(np.float64) + 0.5) / 9007199254740992.0), axis=1) / w[:, None]
+        row, step = np.nonzero(times < latest[doc][:, None])
+        at = times[row, step]
+        slot = doc[row] * k + (r2[row, step] % U(k)).astype(np.int64)
+        np.minimum.at(time, slot, at)
+        first = time[slot] == at
+        sig[slot[first]] = x[row[first]]
+        now = times[:, -1]
         active = doc[np.flatnonzero(np.diff(doc, prepend=-1))]
         latest[active] = time.reshape(texts, k)[active].max(axis=1)
         go = now < latest[doc]
@@ -122,18 +128,28 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
 
 def sketches(sig: np.ndarray) -> np.ndarray:
     """Two bits of each register, 32 registers to a 64-bit word."""
-    bits = (mix(sig) & U(3)).reshape(len(sig), SKETCH_LONGS, 32)
+    bits = (mix(sig) & U(3)).reshape(len(sig), -1, 32)
     return np.bitwise_or.reduce(bits << (U(2) * np.arange(32, dtype=U)), axis=2)
 
 
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(rows.view(np.int64).ravel()), rows.shape[1]).cast(pa.list_(pa.int64()))
+
+
+def _sign_finely(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, "text"):
+        x, c, starts, _ = shingles(batch.column("text"), k)
+        yield pa.RecordBatch.from_arrays([batch.column("v"), _lists(sketches(signatures(x, weights(c), starts, FINE_REGISTERS)))], names=["v", "fine"])
+
+
 def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text", 8 << 20):
+    for batch in sliced(batches, "text"):
         x, c, starts, keys = shingles(batch.column("text"), k)
         sig = signatures(x, weights(c), starts)
         n = len(sig)
         empty = pa.array(np.diff(starts) == 0)
-        bands = pa.FixedSizeListArray.from_arrays(pa.array(band_hashes(sig).view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
-        sketch = pa.FixedSizeListArray.from_arrays(pa.array(sketches(sig).view(np.int64).ravel()), SKETCH_LONGS).cast(pa.list_(pa.int64()))
+        bands = _lists(band_hashes(sig))
+        sketch = _lists(sketches(sig))
         none = pa.nulls(n, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pc.if_else(empty, none, pa.array(keys[:, 0].view(np.int64))),
@@ -177,16 +193,24 @@ def _verify(batches: Iterator[pa.RecordBatch], k: int, threshold: float) -> Iter
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _agreement(x: str, y: str) -> F.Column:
+def _agreement(x: str, y: str, registers: int) -> Column:
     """Estimated similarity of two sketches: the share of registers with equal bits
     is J + (1 - J) / 4."""
     even = 0x5555555555555555
     differ = None
-    for i in range(SKETCH_LONGS):
+    for i in range(registers * 2 // 64):
         z = F.col(x)[i].bitwiseXOR(F.col(y)[i])
         n = F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(even)))
         differ = n if differ is None else differ + n
-    return (F.lit(1.0) - differ / F.lit(float(REGISTERS)) - 0.25) / 0.75
+    return (F.lit(1.0) - differ / F.lit(float(registers)) - 0.25) / 0.75
+
+
+def _first_shared_band(x: str, y: str) -> Column:
+    """The first band in which two vertices agree, so that a pair is taken from one bucket only."""
+    out = F.when(F.col(x)[0] == F.col(y)[0], F.lit(0))
+    for i in range(1, BANDS):
+        out = out.when(F.col(x)[i] == F.col(y)[i], F.lit(i))
+    return out
 
 
 def _verified(spark, pairs: DataFrame, texts: DataFrame, key: str, shingle: int, threshold: float) -> DataFrame:
@@ -194,7 +218,7 @@ def _verified(spark, pairs: DataFrame, texts: DataFrame, key: str, shingle: int,
     both = (pairs.join(t.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a")
             .join(t.select(F.col("v").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
-    return both.mapInArrow(lambda it: _verify(it, shingle, threshold), f"a {key}, b {key}")
+    return map_arrow(both, lambda it: _verify(it, shingle, threshold), f"a {key}, b {key}")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -204,20 +228,22 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     key = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
-    signed = written(spark, d.mapInArrow(
+    signed = written(spark, map_arrow(d, 
         lambda it: _sign(it, shingle), f"id {key}, key1 long, key2 long, bands array<bigint>, sketch array<bigint>"), "near-signed")
 
     # one vertex for each word sequence, named by its smallest id
     vertex = written(spark, signed.where("key1 IS NOT NULL").groupBy("key1", "key2").agg(F.min("id").alias("v")), "near-vertices")
     reps = (signed.join(vertex.where("v IS NOT NULL"), ["key1", "key2"]).where("id = v")
             .select("v", "bands", "sketch"))
-    rows = reps.select("v", F.explode("bands").alias("bucket"))
+    rows = reps.select("v", F.posexplode("bands").alias("band", "bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(spark, rows.join(sizes, "bucket"), "near-buckets")
     members = shared.select("v").distinct()
-    sketch = written(spark, signed.where("key1 IS NOT NULL").select(F.col("id").alias("v"), "sketch").join(members, "v", "left_semi")
-                     .dropDuplicates(["v"]), "near-sketches")
-    texts = written(spark, d.join(members, d["id"] == members["v"], "left_semi").select(F.col("id").alias("v"), "text"), "near-texts")
+    sketch = written(spark, reps.join(members, "v", "left_semi").dropDuplicates(["v"]), "near-sketches")
+    # the texts of these alone, picked where they are read: most documents share no bucket
+    numbered = d.withColumn("number", id_number(F.col("id"), key))
+    texts = written(spark, keep_members(numbered, "number", write_id_set(members, "v", "near-members"))
+                    .select(F.col("id").alias("v"), "text"), "near-texts")
 
     # first round: every member against its bucket's centre
     reach = shared.groupBy("v").agg(F.sum("n").alias("reach"))
@@ -226,26 +252,30 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     centres = ranked.groupBy("bucket").agg(F.max_by("v", "rank").alias("centre"))
     star = (shared.join(centres, "bucket").where("v != centre")
             .select(F.least("v", "centre").alias("a"), F.greatest("v", "centre").alias("b")).distinct())
-    cut = threshold - ESTIMATE_SLACK
     likely = (star.join(sketch.select(F.col("v").alias("a"), F.col("sketch").alias("sa")), "a")
               .join(sketch.select(F.col("v").alias("b"), F.col("sketch").alias("sb")), "b")
-              .where(_agreement("sa", "sb") >= cut).select("a", "b"))
+              .where(_agreement("sa", "sb", REGISTERS) >= threshold - SLACK).select("a", "b"))
     links = written(spark, _verified(spark, likely, texts, key, shingle, threshold), "near-links")
     comp = connected_components(links)
 
     # second round: where a bucket still shows several components, members outside
     # the centre's component against the members of all other components
-    labelled = (shared.select("bucket", "v").join(comp, "v", "left")
-                .select("bucket", "v", F.coalesce("component", "v").alias("c")))
+    labelled = (shared.select("bucket", "band", "v").join(comp, "v", "left")
+                .select("bucket", "band", "v", F.coalesce("component", "v").alias("c")))
     mixed = labelled.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("bucket")
-    open_rows = written(spark, labelled.join(mixed, "bucket").join(centres, "bucket").join(sketch, "v"), "near-open")
+    open_rows = written(spark, labelled.join(mixed, "bucket").join(centres, "bucket"), "near-open")
+    fine = map_arrow(texts.join(open_rows.select("v").distinct(), "v", "left_semi"), lambda it: _sign_finely(it, shingle), f"v {key}, fine array<bigint>")
+    fine = written(spark, fine.join(sketch.select("v", "bands"), "v"), "near-fine")
+    open_rows = written(spark, open_rows.join(fine, "v"), "near-open-signed")
     main = open_rows.where("v = centre").select("bucket", F.col("c").alias("main"))
     rest = open_rows.join(main, "bucket").where("c != main").select(
-        "bucket", F.col("v").alias("u"), F.col("c").alias("cu"), F.col("sketch").alias("su"))
+        "bucket", "band", F.col("v").alias("u"), F.col("c").alias("cu"), F.col("fine").alias("fu"), F.col("bands").alias("bu"))
     right = open_rows.join(main, "bucket").where("v != centre").select(
-        "bucket", F.col("v").alias("w"), F.col("c").alias("cw"), F.col("sketch").alias("sw"), "main")
+        "bucket", F.col("v").alias("w"), F.col("c").alias("cw"), F.col("fine").alias("fw"), F.col("bands").alias("bw"), "main")
     cross = (rest.join(right, (rest["bucket"] == right["bucket"]) & (F.col("cu") != F.col("cw"))
-                       & ((F.col("cw") == F.col("main")) | (F.col("u") < F.col("w"))) & (_agreement("su", "sw") >= cut))
+                       & ((F.col("cw") == F.col("main")) | (F.col("u") < F.col("w")))
+                       & (_agreement("fu", "fw", FINE_REGISTERS) >= threshold - FINE_SLACK)
+                       & (_first_shared_band("bu", "bw") == F.col("band")))
              .select(F.least("u", "w").alias("a"), F.greatest("u", "w").alias("b")).distinct())
     cross = cross.join(likely, ["a", "b"], "left_anti")
     more = written(spark, _verified(spark, cross, texts, key, shingle, threshold), "near-more-links")
