@@ -83,7 +83,7 @@ class Remembered(dict):
 
 
 class Encoder:
-    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], special: dict[str, int], remember: int = 400_000):
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], special: dict[str, int], remember: int = 200_000):
         self.vocab = vocab
         self.ranks = {pair: i for i, pair in enumerate(merges)}
         self.special = special

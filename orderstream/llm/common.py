@@ -46,7 +46,7 @@ def fold(id_column, folds: int):
     return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(folds))
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` has about ``max_bytes`` at most
     (one row at least), so that Python-side working memory has a bound."""
     for batch in batches:

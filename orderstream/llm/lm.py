@@ -38,7 +38,7 @@ from orderstream.llm.words import UNBLANK, U, hash_batch, mix
 from orderstream.session import scratch_path
 
 END = U(0x1B873593CC9E2D51)  # the end token's hash; words' hashes are mixed numbers like any
-FLUSH_TOKENS = 4 << 20
+FLUSH_TOKENS = 2 << 20
 BLOCK_BITS = 16
 ENCODED = "shard long, keys binary, counts binary"
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-PIECE = 1 << 22
+PIECE = 1 << 20
 _P = 0xD6E8FEB86659FD93 | 1
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
