@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The message texts, which receivers of the alerts rely on.
+DLQ_TEXT = (":red_circle: *DLQ Alert*\nOrder `%s` by user `%s` routed to dead letter queue\n"
+            "Amount: $%s | Topic: `%s` | Partition: %d")
+PERMANENT_TEXT = (":red_circle: *DLQ Permanent Failure*\nOrder `%s` by user `%s` failed after %d retries\n"
+                  "Amount: $%.2f | Status: %s")
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -30,8 +37,7 @@ def dlq_alert_text(value="value", topic="topic", partition="partition") -> Colum
     """Alert line for a record routed to the dead-letter topic."""
     fields = F.from_json(_col(value).cast("string"), "map<string,string>")
     return F.format_string(
-        ":red_circle: *DLQ Alert*\nOrder `%s` by user `%s` routed to dead letter queue\n"
-        "Amount: $%s | Topic: `%s` | Partition: %d",
+        DLQ_TEXT,
         _raw_field(fields, "order_id"),
         _raw_field(fields, "user_id"),
         _java_number_text(_raw_field(fields, "amount")),
@@ -44,8 +50,7 @@ def permanent_failure_text(order_id="order_id", user_id="user_id", retry_count="
                            amount="amount", status="status") -> Column:
     """Alert line for an event that exhausted its retries."""
     return F.format_string(
-        ":red_circle: *DLQ Permanent Failure*\nOrder `%s` by user `%s` failed after %d retries\n"
-        "Amount: $%.2f | Status: %s",
+        PERMANENT_TEXT,
         _col(order_id), _col(user_id), _col(retry_count), _col(amount), _col(status),
     )
 

@@ -85,6 +85,16 @@ def header_int(headers="headers", name: str = RETRY_HEADER, default: int = 0) ->
     )
 
 
+def with_headers(headers: Column | None, values: dict[str, Column]) -> Column:
+    """``headers`` with the named ones replaced by the given values as text; the
+    others stay in place.  ``None`` or null headers count as none."""
+    own = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").cast("binary").alias("value")) for k, v in values.items()])
+    if headers is None:
+        return own
+    kept = F.filter(headers, lambda h: ~F.coalesce(h["key"].isin(list(values)), F.lit(False)))
+    return F.when(headers.isNull(), own).otherwise(F.concat(kept, own))
+
+
 def retry_header(next_count, name: str = RETRY_HEADER) -> Column:
     """Header list carrying ``name = next_count`` as ASCII digits."""
     return F.array(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The exporter rule list (pattern, metric name, has topic label),
-# first match wins, patterns match the whole MBean string.
+# first match wins, patterns match anywhere in the MBean string.
 EXPORTER_RULES = [
     ("kafka.server<type=BrokerTopicMetrics, name=MessagesInPerSec, topic=(.+)><>OneMinuteRate",
      "kafka_server_broker_topic_metrics_messages_in_per_sec", True),
@@ -47,42 +49,43 @@ EXPORTER_RULES = [
 ]
 
 
-def _anchored(p: str) -> str:
-    return "^" + p + "$"
+# The parts of a bean string that the rules look at. The rules aren't anchored: text
+# before and after is allowed. As in the rules, a topic runs up to the last match of what follows.
+_BEAN = (r"(kafka.\w+)<type=(\w+), name=(\w+)(?:, request=(\w+?))?(?:, topic=(.+))?><>"
+         r"(OneMinuteRate|[0-9]+thPercentile|Mean|Value)")
+_SEP = "\x01"
 
 
-def rule_index(mbean="mbean", rules=EXPORTER_RULES) -> Column:
-    """1-based index of the first rule whose pattern matches (null = none)."""
-    m = F.col(mbean) if isinstance(mbean, str) else mbean
-    out = None
-    for i, (pat, _, _) in enumerate(rules, start=1):
-        cond = m.rlike(_anchored(pat))
-        out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
-    return out
+def _parts(text: str):
+    return re.search(_BEAN, text).groups("")
 
 
-def metric_name(idx="rule_idx", rules=EXPORTER_RULES, lowercase: bool = True) -> Column:
-    """Metric name of the matched rule."""
-    names = F.array(*[F.lit(n.lower() if lowercase else n) for _, n, _ in rules])
-    i = F.col(idx) if isinstance(idx, str) else idx
-    return F.when(i.isNotNull(), F.element_at(names, i))
+def _rule_key(pattern: str) -> tuple[str, ...]:
+    """(domain, type, name, request, whether a topic, attribute) of a rule's pattern."""
+    domain, kind, name, request, topic, attribute = _parts(pattern)
+    return domain, kind, name, request, "topic" if topic else "", attribute
 
 
-def topic_label(mbean="mbean", idx="rule_idx", rules=EXPORTER_RULES) -> Column:
-    """The ``topic`` label captured by the matched rule, if that rule has one
-    (only the matched rule's pattern is evaluated again)."""
-    m = F.col(mbean) if isinstance(mbean, str) else mbean
-    i = F.col(idx) if isinstance(idx, str) else idx
-    out = F.lit(None).cast("string")
-    for k, (pat, _, has_topic) in enumerate(rules, start=1):
-        if has_topic:
-            out = F.when(i == k, F.regexp_extract(m, _anchored(pat), 1)).otherwise(out)
-    return out
+def _lookup(rules) -> Column:
+    """Literal map from a rule's key to its metric name; the first rule of a key wins."""
+    names: dict[str, str] = {}
+    for pattern, name, _ in rules:
+        names.setdefault(_SEP.join(_rule_key(pattern)), name.lower())
+    return F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
 
 
 def parse_metric_names(df: DataFrame, mbean: str = "mbean", rules=EXPORTER_RULES) -> DataFrame:
-    """Name + label extraction; beans no rule matches are not exported (dropped)."""
-    out = df.withColumn("rule_idx", rule_index(mbean, rules))
-    out = out.where(F.col("rule_idx").isNotNull())
-    return (out.withColumn("metric", metric_name("rule_idx", rules))
-               .withColumn("topic", topic_label(mbean, "rule_idx", rules)).drop("rule_idx"))
+    """Name + label extraction; beans no rule matches are not exported (dropped).
+
+    A bean is taken apart by one expression; its name is then a map lookup."""
+    # without a match the text stays as it is and has no separators
+    parts = F.split(F.regexp_replace(F.col(mbean), r"(?s)^.*?" + _BEAN + r".*$", _SEP.join(f"${i}" for i in range(1, 7))), _SEP)
+    names = _lookup(rules)
+
+    def exported(p: Column) -> Column:
+        topic = F.when(p[4] != "", F.lit("topic")).otherwise(F.lit(""))
+        key = F.concat_ws(_SEP, p[0], p[1], p[2], p[3], topic, p[5])
+        return F.struct(F.when(F.size(p) == 6, names[key]).alias("metric"), F.when(F.size(p) == 6, F.nullif(p[4], F.lit(""))).alias("topic"))
+
+    # a generator of one row: the parts are taken once and not again by the filter
+    return df.select("*", F.inline(F.transform(F.array(parts), exported))).where(F.col("metric").isNotNull())

@@ -10,10 +10,24 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+MAX_LONG = 2 ** 63 - 1
+MAX_EPOCH_MS = 253402300799999  # 9999-12-31 23:59:59.999
+
+
 def backoff_ms(retry_count="retry_count", base_ms: int = 1000) -> Column:
-    """Exponential backoff ``base * 2^n`` in integer milliseconds."""
-    shift = F.call_function("shiftleft", F.lit(1).cast("bigint"), _col(retry_count).cast("int"))
-    return F.lit(base_ms).cast("bigint") * shift
+    """Exponential backoff ``base * 2^n`` in integer milliseconds.  A negative
+    count backs off like 0; a product beyond 64 bits stays at the largest long."""
+    n = F.greatest(_col(retry_count), F.lit(0))
+    top = (MAX_LONG // base_ms).bit_length() - 1  # the largest n whose product fits
+    shift = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.least(n, F.lit(top)).cast("int"))
+    return F.when(n > top, F.lit(MAX_LONG)).otherwise(F.lit(base_ms).cast("bigint") * shift)
+
+
+def after_ms(clock, delay_ms) -> Column:
+    """``clock`` plus a delay, at most the end of the year 9999."""
+    now, delay = F.unix_millis(_col(clock)), _col(delay_ms)
+    late = delay > F.lit(MAX_EPOCH_MS) - now
+    return F.timestamp_millis(F.when(late, F.lit(MAX_EPOCH_MS)).otherwise(now + F.when(~late, delay)))
 
 
 def safe_ratio(num, den, default=0.0) -> Column:
@@ -41,10 +55,11 @@ def label_default(label, default: str = "unknown") -> Column:
     return F.coalesce(F.nullif(_col(label), F.lit("")), F.lit(default))
 
 
-def money_sum(c, exact: bool = True) -> Column:
-    """Sum of a money column.  ``exact`` sums two-decimal amounts as
-    decimal(18,2) so the result does not depend on row order, then returns a
-    double; otherwise a plain double sum (the streaming default)."""
+def money_sum(c, exact: bool = False) -> Column:
+    """Sum of a money column: a double sum, in batch and stream alike, which keeps
+    NaN, fractions of a cent and amounts of any size.  ``exact`` is for inputs known
+    to be two-decimal amounts below 10^16: it sums them as decimal(18,2), so the
+    result does not depend on row order, and fails on an amount that does not fit."""
     if exact:
         return F.sum(_col(c).cast("decimal(18,2)")).cast("double")
     return F.sum(_col(c))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderstream.functions.scalar import severity_default
-from orderstream.operators.metrics import SERIES, increase, rate
+from orderstream.operators.metrics import SERIES, window_bound, counter_deltas, increase_column
 
 
 @dataclass(frozen=True)
@@ -49,10 +50,6 @@ DEFAULT_RULES = [
               ">", 10, 120, "critical", "High DLQ event rate (>10/sec)", "rate", 300, "order-events-dlq"),
 ]
 
-# Rule lists up to this many rows are broadcast (a few hundred bytes each);
-# a larger list falls back to a shuffle join on (metric, func, range).
-MAX_BROADCAST_RULES = 10000
-
 RULE_SCHEMA = ("alert string, metric string, op string, threshold double, for_s int, severity string, "
                "summary string, func string, range_s int, topic string")
 
@@ -63,58 +60,56 @@ def rules_frame(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
          for r in rules], RULE_SCHEMA)
 
 
-def _rule_inputs(samples: DataFrame, rules) -> DataFrame:
-    """The expression value of every rule at every sample of its series.
+def _rule_inputs(samples: DataFrame, rules, series: Sequence[str]) -> DataFrame:
+    """Every sample of a metric that a rule names, with its counter increase over
+    each range the rules use: one pass over the series, rate and increase of a
+    range share their deltas."""
+    s = samples.where(F.col("metric").isin(sorted({r.metric for r in rules})))
+    d = counter_deltas(s, series)
+    ranges = sorted({r.range_s for r in rules if r.func != "value"})
+    return d.select(*series, "ts", "ms", "value", *[increase_column(r, series).alias(f"inc_{r}") for r in ranges])
 
-    Each distinct (func, range) is computed once over the samples of the
-    metrics that use it, then matched to its rules with a broadcast of the
-    rule list (a few rows; its size is the rule count, independent of data).
-    """
-    parts = []
-    for func, rng in sorted({(r.func, r.range_s) for r in rules}, key=str):
-        metrics = sorted({r.metric for r in rules if r.func == func and r.range_s == rng})
-        s = samples.where(F.col("metric").isin(metrics))
-        if func == "value":
-            v = s.withColumn("expr_value", F.col("value"))
-        elif func == "rate":
-            v = rate(s, rng).withColumnRenamed("rate", "expr_value")
-        elif func == "increase":
-            v = increase(s, rng).withColumnRenamed("increase", "expr_value")
-        else:
-            raise ValueError(f"unknown rule function {func}")
-        parts.append(v.select(*SERIES, "ts", "expr_value", F.lit(func).alias("func"),
-                              F.lit(rng).cast("int").alias("range_s")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+
+def _expression(rules) -> Column:
+    """A rule's value at a sample, from the columns of ``_rule_inputs`` and the rule."""
+    out = F.when(F.col("func") == "value", F.col("value"))
+    for r in sorted({r.range_s for r in rules if r.func != "value"}):
+        inc = F.col(f"inc_{r}")
+        out = out.when((F.col("func") == "increase") & (F.col("range_s") == r), inc)
+        out = out.when((F.col("func") == "rate") & (F.col("range_s") == r), inc / F.lit(float(r)))
     return out
 
 
-def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 300) -> DataFrame:
-    """State of every (rule, series) at every evaluated sample.
+def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 300, series: Sequence[str] = SERIES,
+                   since=None, at=None) -> DataFrame:
+    """State of every (rule, series) at every sample in [since, at].
 
     A sample where the condition holds starts or continues an *island*; a false
     sample, or a gap longer than ``staleness_s`` since the previous sample,
-    ends it.  ``active_at`` = first sample of the island; ``firing`` once
-    ``ts - active_at >= for``, ``pending`` before, ``inactive`` when false.
+    ends it.  ``active_at`` = first sample of the island (in the time asked for);
+    ``firing`` once ``ts - active_at >= for``, ``pending`` before, ``inactive``
+    when false.  ``series`` names the label columns that tell series apart; it
+    has to include ``metric``, and ``topic`` if a rule selects by it.
     """
-    spark = samples.sparkSession
-    rf = rules_frame(spark, rules)
-    if len(rules) <= MAX_BROADCAST_RULES:
-        rf = F.broadcast(rf)
-    x = _rule_inputs(samples, rules)
-    j = x.join(
-        rf,
-        (x["metric"] == rf["metric"]) & (x["func"] == rf["func"])
-        & x["range_s"].eqNullSafe(rf["range_s"]) & (rf["topic"].isNull() | (x["topic"] == rf["topic"])),
-    ).select(x["metric"], x["topic"], x["instance"], x["ts"], x["expr_value"], rf["alert"], rf["op"],
-             rf["threshold"], rf["for_s"], rf["severity"], rf["summary"])
+    unknown = {r.func for r in rules} - {"value", "rate", "increase"}
+    if unknown:
+        raise ValueError(f"unknown rule function {sorted(unknown)}")
+    # the rule list is a local table: Spark sees its size and picks the join
+    rf = rules_frame(samples.sparkSession, rules).withColumnsRenamed({"metric": "rule_metric", "topic": "rule_topic"})
+    longest = max([r.range_s or 0 for r in rules], default=0)
+    x = _rule_inputs(window_bound(samples, longest, since, at), rules, series)
+    if since is not None:
+        x = x.where(F.col("ts") >= F.lit(since).cast("timestamp"))
+    on = F.col("metric") == F.col("rule_metric")
+    if "topic" in series:
+        on = on & (F.col("rule_topic").isNull() | (F.col("topic") == F.col("rule_topic")))
+    j = x.join(rf, on).withColumn("expr_value", _expression(rules))
     cond = (F.when(F.col("op") == ">", F.col("expr_value") > F.col("threshold"))
             .when(F.col("op") == "==", F.col("expr_value") == F.col("threshold"))
             .otherwise(F.lit(False)))
-    key = ["alert", *SERIES]
+    key = ["alert", *series]
     w = Window.partitionBy(*key).orderBy("ms")
-    j = j.withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp"))).withColumn("cond", F.coalesce(cond, F.lit(False)))
+    j = j.withColumn("cond", F.coalesce(cond, F.lit(False)))
     prev_cond = F.lag("cond").over(w)
     gap = F.col("ms") - F.lag("ms").over(w)
     start = F.col("cond") & (prev_cond.isNull() | ~prev_cond | (gap > staleness_s * 1000))
@@ -130,12 +125,18 @@ def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 3
     )
 
 
-def alert_states(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 300) -> DataFrame:
-    """Current state per (rule, series): the state at its newest sample."""
-    t = alert_timeline(samples, rules, staleness_s)
-    latest = t.groupBy("alert", *SERIES).agg(
+def alert_states(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 300, series: Sequence[str] = SERIES,
+                 since=None, at=None) -> DataFrame:
+    """State per (rule, series) at the time ``at``: that of its newest sample up to
+    then.  A series whose newest sample is ``staleness_s`` old or older has gone, and its
+    alerts with it.  Without ``at`` every series is judged at its own newest sample."""
+    t = alert_timeline(samples, rules, staleness_s, series, since, at)
+    latest = t.groupBy("alert", *series).agg(
         F.max_by(F.struct("ts", "value", "state", "active_at", "severity", "summary"), "ts").alias("s"))
-    return latest.select("alert", *SERIES, "s.*")
+    out = latest.select("alert", *series, "s.*")
+    if at is not None:
+        out = out.where(F.col("ts") > F.lit(at).cast("timestamp") - F.expr(f"INTERVAL {int(staleness_s)} SECONDS"))
+    return out
 
 
 def state_counts(states: DataFrame) -> DataFrame:

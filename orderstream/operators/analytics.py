@@ -9,29 +9,29 @@ from orderstream.functions.scalar import money_sum, safe_ratio
 from orderstream.schema import MALFORMED_JSON, MISSING_ORDER_ID, MISSING_USER_ID, NEGATIVE_AMOUNT
 
 
-def top_users(stats: DataFrame, n: int = 20, key: str = "user_id") -> DataFrame:
+def top_users(stats: DataFrame, n: int = 20, key: str = "user_id", exact: bool = False) -> DataFrame:
     """Users by total revenue, descending; ties broken by key.  The limit is the
     feature (a top-k report): Spark plans it as a per-partition top-k followed
     by one small merge, never a global sort."""
     agg = stats.groupBy(key).agg(
         F.sum("order_count").cast("bigint").alias("order_count"),
-        money_sum("total_amount").alias("total_amount"),
+        money_sum("total_amount", exact).alias("total_amount"),
     )
     return agg.orderBy(F.col("total_amount").desc(), F.col(key).asc()).limit(n)
 
 
-def _latest_windows(stats: DataFrame, measure: str, n: int) -> DataFrame:
+def _latest_windows(stats: DataFrame, measure: str, n: int, exact: bool = False) -> DataFrame:
     if measure == "total_amount":
-        m = money_sum("total_amount").alias("total_amount")
+        m = money_sum("total_amount", exact).alias("total_amount")
     else:
         m = F.sum(measure).cast("bigint").alias(measure)
     latest = stats.groupBy("window_start").agg(m).orderBy(F.col("window_start").desc()).limit(n)
     return latest.orderBy("window_start")
 
 
-def revenue_over_time(stats: DataFrame, n: int = 60) -> DataFrame:
+def revenue_over_time(stats: DataFrame, n: int = 60, exact: bool = False) -> DataFrame:
     """Revenue of the latest ``n`` windows, shown oldest first."""
-    return _latest_windows(stats, "total_amount", n)
+    return _latest_windows(stats, "total_amount", n, exact)
 
 
 def volume_over_time(stats: DataFrame, n: int = 60) -> DataFrame:
@@ -39,12 +39,12 @@ def volume_over_time(stats: DataFrame, n: int = 60) -> DataFrame:
     return _latest_windows(stats, "order_count", n)
 
 
-def kpis(users: DataFrame) -> DataFrame:
-    """Revenue, orders and average order value over per-user totals (one row).
-    Over ``top_users`` this is the dashboard's top-N KPI; over all users it is
-    the global KPI."""
-    agg = users.agg(
-        money_sum("total_amount").alias("revenue"),
+def kpis(stats: DataFrame, exact: bool = False) -> DataFrame:
+    """Revenue, orders and average order value (one row).  Over ``top_users`` this
+    is the dashboard's top-N KPI; over the result table itself it is the global
+    KPI, one aggregate without a grouping by user."""
+    agg = stats.agg(
+        money_sum("total_amount", exact).alias("revenue"),
         F.coalesce(F.sum("order_count"), F.lit(0)).cast("bigint").alias("orders"),
     )
     return agg.select(
@@ -54,10 +54,10 @@ def kpis(users: DataFrame) -> DataFrame:
     )
 
 
-def user_totals(stats: DataFrame, key: str = "user_id") -> DataFrame:
+def user_totals(stats: DataFrame, key: str = "user_id", exact: bool = False) -> DataFrame:
     return stats.groupBy(key).agg(
         F.sum("order_count").cast("bigint").alias("order_count"),
-        money_sum("total_amount").alias("total_amount"),
+        money_sum("total_amount", exact).alias("total_amount"),
     )
 
 

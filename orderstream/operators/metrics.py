@@ -100,16 +100,65 @@ def counter_deltas(samples: DataFrame, series: Sequence[str] = SERIES) -> DataFr
     return s.withColumn("delta", delta).drop("_prev")
 
 
-def increase(samples: DataFrame, range_s: int = 300, series: Sequence[str] = SERIES) -> DataFrame:
-    """``increase(x[range])`` evaluated at every sample: counter growth between
-    the samples inside (t - range, t], without extrapolation."""
-    d = counter_deltas(samples, series)
+def window_bound(samples: DataFrame, range_s: int, start, end) -> DataFrame:
+    """The samples that windows ending in [start, end] can see; both bounds reach a parquet scan."""
+    if end is not None:
+        samples = samples.where(F.col("ts") <= _ts_lit(end))
+    if start is not None:
+        samples = samples.where(F.col("ts") > _ts_lit(start) - F.expr(f"INTERVAL {int(range_s)} SECONDS"))
+    return samples
+
+
+def increase_column(range_s: int, series: Sequence[str] = SERIES) -> Column:
+    """Over ``counter_deltas`` rows: counter growth between the samples inside (t - range, t]."""
     w = Window.partitionBy(*series).orderBy("ms").rangeBetween(-(range_s * 1000 - 1), 0)
-    inc = F.sum("delta").over(w) - F.first("delta").over(w)
-    return d.withColumn("increase", inc).drop("delta", "ms")
+    return F.sum("delta").over(w) - F.first("delta").over(w)
+
+
+def increase(samples: DataFrame, range_s: int = 300, series: Sequence[str] = SERIES, start=None, end=None) -> DataFrame:
+    """``increase(x[range])`` evaluated at every sample (from ``start`` to ``end``): counter
+    growth between the samples inside (t - range, t], without extrapolation."""
+    d = counter_deltas(window_bound(samples, range_s, start, end), series)
+    out = d.withColumn("increase", increase_column(range_s, series)).drop("delta", "ms")
+    return out if start is None else out.where(F.col("ts") >= _ts_lit(start))
 
 
-def rate(samples: DataFrame, range_s: int = 300, series: Sequence[str] = SERIES) -> DataFrame:
+def rate(samples: DataFrame, range_s: int = 300, series: Sequence[str] = SERIES, start=None, end=None) -> DataFrame:
     """``rate(x[range])`` = ``increase / range`` per second."""
-    inc = increase(samples, range_s, series)
+    inc = increase(samples, range_s, series, start, end)
     return inc.withColumn("rate", F.col("increase") / F.lit(float(range_s))).drop("increase")
+
+
+def increase_range(samples: DataFrame, start, end, step_s: int = 15, range_s: int = 300,
+                   series: Sequence[str] = SERIES) -> DataFrame:
+    """``increase(x[range])`` on the step grid ``start, start+step, ... <= end``, for
+    series with two samples or more inside (t - range, t].
+
+    A sample's growth since the previous one counts at the steps whose window
+    holds both, so each sample expands to range/step steps at most.
+    """
+    st, en = _ts_lit(start), _ts_lit(end)
+    step = step_s * 1000
+    w = Window.partitionBy(*series).orderBy("ms")
+    d = counter_deltas(window_bound(samples, range_s, start, end), series)
+    d = d.withColumn("prev_ms", F.lag("ms").over(w)).where(F.col("prev_ms").isNotNull())
+    start_ms = F.unix_millis(st)
+    last = F.least(F.col("prev_ms") + range_s * 1000 - 1, F.unix_millis(en))
+    k_lo = F.greatest(-floor_div(start_ms - F.col("ms"), step), F.lit(0).cast("bigint"))
+    d = d.select(*series, "delta", k_lo.alias("k_lo"), floor_div(last - start_ms, step).alias("k_hi")).where(F.col("k_lo") <= F.col("k_hi"))
+    steps = d.select(*series, "delta", F.explode(F.sequence("k_lo", "k_hi")).alias("k"))
+    g = steps.groupBy(*series, "k").agg(F.sum("delta").alias("value"))
+    return g.select(*series, F.timestamp_millis(start_ms + F.col("k") * step).alias("ts"), "value")
+
+
+def rate_range(samples: DataFrame, start, end, step_s: int = 15, range_s: int = 300, series: Sequence[str] = SERIES) -> DataFrame:
+    """``rate(x[range])`` on the step grid."""
+    inc = increase_range(samples, start, end, step_s, range_s, series)
+    return inc.withColumn("value", F.col("value") / F.lit(float(range_s)))
+
+
+def sum_rate_range(samples: DataFrame, start, end, step_s: int = 15, range_s: int = 300,
+                   series: Sequence[str] = SERIES, by: Sequence[str] = ("metric", "ts")) -> DataFrame:
+    """``sum(rate(x[range]))`` on the step grid: increases are added up, then divided once."""
+    total = sum_by(increase_range(samples, start, end, step_s, range_s, series), by)
+    return total.withColumn("value", F.col("value") / F.lit(float(range_s)))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from orderstream.functions.alert_text import permanent_failure_text
 from orderstream.functions.codec import (
-    decode_order_json, decoded_columns, encode_order_json, header_int, kafka_key, retry_header,
+    decode_order_json, decoded_columns, encode_order_json, header_int, kafka_key, with_headers,
 )
-from orderstream.functions.scalar import backoff_ms
-from orderstream.schema import BASE_BACKOFF_MS, MAX_RETRIES, ORDER_TOPIC
+from orderstream.functions.scalar import after_ms, backoff_ms
+from orderstream.schema import BASE_BACKOFF_MS, MAX_RETRIES, ORDER_TOPIC, RETRY_HEADER
 
 RETRY = "RETRY"
 PERMANENT = "PERMANENT"
@@ -22,7 +22,7 @@ def decode_dlq_records(records: DataFrame) -> DataFrame:
     Adds ``undecodable`` (true when the value is not a valid event JSON); those
     rows are skipped by the planner and land in the reject output.
     """
-    cols = [c for c in ("topic", "partition", "offset") if c in records.columns]
+    cols = [c for c in ("topic", "partition", "offset", "key", "headers") if c in records.columns]
     rec_ts = F.col("timestamp").cast("timestamp") if "timestamp" in records.columns else F.lit(None).cast("timestamp")
     base = records.select(
         *cols, rec_ts.alias("record_ts"), F.col("value"),
@@ -39,7 +39,7 @@ def plan_retries(dlq: DataFrame, max_retries: int = MAX_RETRIES, base_ms: int =
     """Stateless retry decision per dead-letter event.
 
     ``decision`` is PERMANENT once ``retry_count >= max_retries``, else RETRY
-    with ``backoff_ms = base * 2^retry_count``, ``next_retry_count`` and
+    with ``backoff_ms = base * 2^retry_count`` (a negative count as 0), ``next_retry_count`` and
     ``next_attempt_at = clock + backoff``.  Nothing sleeps inside a task; a
     release step (batch filter or the streaming timer) honours
     ``next_attempt_at``.
@@ -52,18 +52,19 @@ def plan_retries(dlq: DataFrame, max_retries: int = MAX_RETRIES, base_ms: int =
         F.when(permanent, F.lit(PERMANENT)).otherwise(F.lit(RETRY)).alias("decision"),
         b.alias("backoff_ms"),
         F.when(~permanent, n + 1).alias("next_retry_count"),
-        F.when(~permanent, F.timestamp_millis(F.unix_millis(F.col(clock)) + b)).alias("next_attempt_at"),
+        F.when(~permanent, after_ms(clock, b)).alias("next_attempt_at"),
     )
 
 
-def retry_records(planned: DataFrame, topic: str = ORDER_TOPIC) -> DataFrame:
+def retry_records(planned: DataFrame, topic: str = ORDER_TOPIC, keep: tuple[str, ...] = ()) -> DataFrame:
     """RETRY rows as records for the original topic: key=user id, JSON value,
-    ``retry-count`` header carrying the incremented count."""
+    ``retry-count`` header carrying the incremented count, other headers kept."""
     r = planned.where(F.col("decision") == RETRY)
+    had = F.col("headers") if "headers" in planned.columns else None
     return r.select(
-        kafka_key("user_id").alias("key"),
+        *keep, kafka_key("user_id").alias("key"),
         encode_order_json().alias("value"),
-        retry_header("next_retry_count").alias("headers"),
+        with_headers(had, {RETRY_HEADER: F.col("next_retry_count")}).alias("headers"),
         F.lit(topic).alias("topic"),
         "next_attempt_at",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderstream.schema import STATS_KEYS, STATS_UPDATE_COLS
@@ -16,41 +16,27 @@ def upsert_latest(log: DataFrame, keys: Sequence[str] = STATS_KEYS,
 
     Per key, ``update_cols`` come from the latest write (highest ``order_col``);
     every other column keeps the value of the first write, exactly like
-    ``INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols``.  Expressed as
-    a hash aggregate (``max_by``/``min_by``) rather than a sorted window, so it
-    partially aggregates before the shuffle and needs no per-key sort.
+    ``INSERT ... ON CONFLICT (keys) DO UPDATE SET update_cols``.  A key has one
+    row in a batch.  One ``max_by``/``min_by`` per column: over fixed-width columns
+    that is a hash aggregate, combined before the shuffle and without a sort
+    (a string column makes Spark sort instead).
     """
     keep_first = [c for c in log.columns if c not in keys and c not in update_cols and c != order_col]
     o = F.col(order_col)
-    aggs = [F.max_by(F.struct(*[F.col(c) for c in update_cols]), o).alias("_latest")]
-    if keep_first:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in keep_first]), o).alias("_first"))
-    g = log.groupBy(*keys).agg(*aggs)
-    cols = []
-    for c in log.columns:
-        if c == order_col:
-            continue
-        if c in keys:
-            cols.append(F.col(c))
-        elif c in update_cols:
-            cols.append(F.col(f"_latest.{c}").alias(c))
-        else:
-            cols.append(F.col(f"_first.{c}").alias(c))
-    return g.select(*cols)
+    aggs = [F.max_by(F.col(c), o).alias(c) for c in update_cols] + [F.min_by(F.col(c), o).alias(c) for c in keep_first]
+    return log.groupBy(*keys).agg(*aggs).select(*[c for c in log.columns if c != order_col])
 
 
 def dedup_first(df: DataFrame, key: str = "order_id", order: Sequence[str] = ("timestamp", "event_id")) -> DataFrame:
     """Keep one row per ``key``: the first by ``order`` (deterministic).
 
-    A hash aggregate with ``min_by`` (partial aggregation on the map side), not
-    a window sort, so heavy duplication of one key collapses before the shuffle.
+    A ranked window of which only rank 1 is asked for: Spark limits every key to
+    its first row in each map task already, so a key that holds a large share of
+    all rows reaches its reducer as one row a task.
     """
     order = [c for c in order if c in df.columns]
-    rest = [c for c in df.columns if c != key]
-    g = df.groupBy(key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order])).alias("_r")
-    )
-    return g.select(*[F.col(key) if c == key else F.col(f"_r.{c}").alias(c) for c in df.columns])
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
 def dedup_streaming(df: DataFrame, key: str = "order_id") -> DataFrame:

@@ -30,7 +30,7 @@ def with_event_watermark(df: DataFrame, event_time: str = "event_time", delay: s
 
 
 def windowed_stats(df: DataFrame, key: str = "user_id", event_time: str = "event_time",
-                   width: str = "1 minute", amount: str = "amount", exact: bool = True,
+                   width: str = "1 minute", amount: str = "amount", exact: bool = False,
                    extra_aggs: list[Column] | None = None) -> DataFrame:
     """Per-key tumbling-window count and amount sum.
 

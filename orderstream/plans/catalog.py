@@ -7,22 +7,31 @@ Timestamps leave as zone-less values (``timestamp_ntz``).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.functions.alert_text import dlq_alert_text
+from orderstream.functions.alert_text import alert_payload, dlq_alert_text
 from orderstream.functions.codec import encode_order_json
 from orderstream.functions.metric_names import parse_metric_names
-from orderstream.functions.scalar import band, naive
+from orderstream.functions.scalar import band, from_epoch_s, naive, sample_value
 from orderstream.operators import alerts as AL
 from orderstream.operators import analytics as AN
 from orderstream.operators import loadtest as LT
 from orderstream.operators import metrics as M
 from orderstream.operators import retry as R
-from orderstream.operators.upsert import dedup_first, upsert_latest
+from orderstream.operators.upsert import dedup_first, dedup_streaming, upsert_latest
 from orderstream.operators.validate import decode_events, status_is, tag_events
-from orderstream.operators.windows import windowed_stats
+from orderstream.operators.windows import guarded_filter, windowed_stats, with_event_watermark
 from orderstream.plans import fixtures as FX
+from orderstream.schema import MAX_RETRIES, ORDER_EVENT, REASON_HEADER, USER_ORDER_STATS
+from orderstream.session import apply_core_conf, scratch_path
+from orderstream.sources.files import dlq_archive, read_samples, read_value_stream, write_summary, write_values
+from orderstream.sources.kafka import as_dlq_records, partition_by_key
+from orderstream.sources.notify import AlertSink
+from orderstream.sources.tables import KeyedTable
+from orderstream.streaming.job import dlq_plan, order_stats_plan, tagged_events
 
 # Fixed query parameters.
 TOP_N = 20
@@ -30,6 +39,7 @@ LATEST_WINDOWS = 60
 RANGE_START = "2024-01-01 00:20:00"
 RANGE_END = "2024-01-01 00:35:00"
 INSTANT_AT = "2024-01-01 00:30:00"
+ALERT_SINCE, ALERT_AT = "2024-01-01 00:10:00", "2024-01-01 00:40:00"
 
 
 def _stats_out(df: DataFrame) -> DataFrame:
@@ -43,8 +53,21 @@ def _placed_valid(oe: DataFrame) -> DataFrame:
 
 
 def order_stats(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> DataFrame:
-    """The result table: per-user one-minute stats of valid PLACED orders."""
-    return windowed_stats(_placed_valid(FX.order_events(spark, sf_dir, dense=True)), width=width)
+    """Per-user one-minute stats of valid PLACED orders (two-decimal amounts)."""
+    return windowed_stats(_placed_valid(FX.order_events(spark, sf_dir, dense=True)), width=width, exact=True)
+
+
+_STORED: dict[tuple[str, str], KeyedTable] = {}
+
+
+def stored_stats(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    """The result table as the dashboards read it: written once a session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        table = KeyedTable(scratch_path(spark, "user-order-stats"))
+        table.write_batch(order_stats(spark, sf_dir), 0)
+        _STORED[key] = table
+    return _STORED[key]
 
 
 # ---- validation and routing ------------------------------------------------
@@ -93,8 +116,6 @@ def q_dlq_rate_by_window(spark, sf_dir):
 
 def q_partitioned_by_user(spark, sf_dir):
     t = tag_events(FX.order_events(spark, sf_dir), None).where(F.col("dlq_reason").isNull())
-    from orderstream.sources.kafka import partition_by_key
-
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return partition_by_key(t.select("user_id", "order_id", "amount", "status", "timestamp"), n)
 
@@ -107,35 +128,35 @@ def q_order_stats_1m(spark, sf_dir):
 
 def q_orders_daily_stats(spark, sf_dir):
     oe = FX.orders_as_events(spark, sf_dir)
-    return _stats_out(windowed_stats(_placed_valid(oe), width="1 day"))
+    return _stats_out(windowed_stats(_placed_valid(oe), width="1 day", exact=True))
 
 
 def q_top_users(spark, sf_dir):
-    return AN.top_users(order_stats(spark, sf_dir), TOP_N)
+    return AN.top_users(stored_stats(spark, sf_dir).read(spark), TOP_N, exact=True)
 
 
 def q_revenue_over_time(spark, sf_dir):
-    r = AN.revenue_over_time(order_stats(spark, sf_dir), LATEST_WINDOWS)
+    r = AN.revenue_over_time(stored_stats(spark, sf_dir).latest(spark, LATEST_WINDOWS), LATEST_WINDOWS, exact=True)
     return r.select(naive("window_start").alias("window_start"), "total_amount")
 
 
 def q_volume_over_time(spark, sf_dir):
-    r = AN.volume_over_time(order_stats(spark, sf_dir), LATEST_WINDOWS)
+    r = AN.volume_over_time(stored_stats(spark, sf_dir).latest(spark, LATEST_WINDOWS), LATEST_WINDOWS)
     return r.select(naive("window_start").alias("window_start"), "order_count")
 
 
 def q_kpi_top20(spark, sf_dir):
-    return AN.kpis(AN.top_users(order_stats(spark, sf_dir), TOP_N))
+    return AN.kpis(AN.top_users(stored_stats(spark, sf_dir).read(spark), TOP_N, exact=True), exact=True)
 
 
 def q_kpi_global(spark, sf_dir):
-    return AN.kpis(AN.user_totals(order_stats(spark, sf_dir)))
+    return AN.kpis(stored_stats(spark, sf_dir).read(spark), exact=True)
 
 
 def q_upsert_latest(spark, sf_dir):
     oe = _placed_valid(FX.order_events(spark, sf_dir, dense=True))
-    b0 = windowed_stats(oe.where(F.col("event_id") % 2 == 0)).withColumn("batch_id", F.lit(0).cast("bigint"))
-    b1 = windowed_stats(oe).withColumn("batch_id", F.lit(1).cast("bigint"))
+    b0 = windowed_stats(oe.where(F.col("event_id") % 2 == 0), exact=True).withColumn("batch_id", F.lit(0).cast("bigint"))
+    b1 = windowed_stats(oe, exact=True).withColumn("batch_id", F.lit(1).cast("bigint"))
     return _stats_out(upsert_latest(b0.unionByName(b1)))
 
 
@@ -174,6 +195,29 @@ def q_dlq_alert_text(spark, sf_dir):
     return r.select("offset", dlq_alert_text("value", "topic", "partition").alias("alert_text"))
 
 
+def q_dlq_roundtrip(spark, sf_dir):
+    """Every dead-letter record through the whole loop: order topic -> dead-letter
+    topic -> retry plan -> order topic, until it is PERMANENT. The events stay
+    bad, so a record comes back once for every retry; a malformed value is
+    rejected by the first plan with its own bytes. Each topic is a written table."""
+    topic = FX.json_events(spark, sf_dir).select(
+        F.col("offset"), F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+        F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"))
+    ended = []
+    for _ in range(MAX_RETRIES + 1):
+        bad = dlq_plan(topic, keep=("offset",))
+        path = scratch_path(spark, "dlq-topic")
+        as_dlq_records(bad, keep=("offset",)).write.parquet(path)
+        dlq = R.plan_retries(R.decode_dlq_records(spark.read.parquet(path)).withColumn("record_ts", F.timestamp_millis(F.lit(0))))
+        reason = F.decode(F.filter("headers", lambda h: h["key"] == REASON_HEADER)[0]["value"], "UTF-8")
+        over = F.when(F.col("undecodable"), F.lit("REJECTED")).when(F.col("decision") == R.PERMANENT, F.lit(R.PERMANENT))
+        ended.append(dlq.select(F.col("offset").alias("event_id"), reason.alias("reason"), F.col("retry_count").alias("attempts"),
+                                over.alias("outcome"), F.hex("value").alias("value_hex")).where(F.col("outcome").isNotNull()))
+        again = dlq.where(~F.col("undecodable"))
+        topic = R.retry_records(again, keep=("offset",)).select("offset", "key", F.col("value").cast("binary").alias("value"), "headers")
+    return functools.reduce(DataFrame.unionByName, ended)
+
+
 # ---- metrics and alerts --------------------------------------------------------
 
 def _samples_out(df: DataFrame, value: str = "value") -> DataFrame:
@@ -201,12 +245,22 @@ def q_per_instance_latest(spark, sf_dir):
 
 def q_metric_rate_5m(spark, sf_dir):
     s = M.select_series(FX.metric_samples(spark, sf_dir), FX.MESSAGES_IN)
-    return _samples_out(M.rate(s, 300), "rate")
+    return _samples_out(M.rate(s, 300, start=RANGE_START, end=RANGE_END), "rate")
 
 
 def q_metric_increase_5m(spark, sf_dir):
     s = M.select_series(FX.metric_samples(spark, sf_dir), FX.MESSAGES_IN)
-    return _samples_out(M.increase(s, 300), "increase")
+    return _samples_out(M.increase(s, 300, start=RANGE_START, end=RANGE_END), "increase")
+
+
+def q_dlq_rate_sum_range(spark, sf_dir):
+    """``sum(rate(messages_in{topic=dlq}[5m]))`` on the dashboard's step grid."""
+    s = M.select_series(FX.metric_samples(spark, sf_dir), FX.MESSAGES_IN, topic="order-events-dlq")
+    return M.sum_rate_range(s, RANGE_START, RANGE_END).select("metric", naive("ts").alias("ts"), "value")
+
+
+def _states(spark, sf_dir):
+    return AL.alert_states(FX.metric_samples(spark, sf_dir), since=ALERT_SINCE, at=ALERT_AT)
 
 
 def _alert_out(df: DataFrame) -> DataFrame:
@@ -215,33 +269,33 @@ def _alert_out(df: DataFrame) -> DataFrame:
 
 
 def q_alert_states(spark, sf_dir):
-    return _alert_out(AL.alert_states(FX.metric_samples(spark, sf_dir)))
+    return _alert_out(_states(spark, sf_dir))
 
 
 def q_alert_timeline(spark, sf_dir):
-    return _alert_out(AL.alert_timeline(FX.metric_samples(spark, sf_dir)))
+    return _alert_out(AL.alert_timeline(FX.metric_samples(spark, sf_dir), since=ALERT_SINCE, at=ALERT_AT))
 
 
 def q_active_alerts(spark, sf_dir):
     """Alerts currently firing or pending for the DLQ and latency rules."""
-    st = AL.alert_states(FX.metric_samples(spark, sf_dir))
-    st = AL.by_name(AL.by_state(st, "firing", "pending"), "DLQEventsDetected", "DLQHighRate",
+    st = AL.by_name(AL.by_state(_states(spark, sf_dir), "firing", "pending"), "DLQEventsDetected", "DLQHighRate",
                     "KafkaHighProducerLatency")
     return _alert_out(st)
 
 
 def q_alert_state_counts(spark, sf_dir):
-    return AL.state_counts(AL.alert_states(FX.metric_samples(spark, sf_dir)))
+    return AL.state_counts(_states(spark, sf_dir))
 
 
 def q_status_bands(spark, sf_dir):
+    """Produce latency by instance, and the summed dead-letter rate on the step grid."""
     samples = FX.metric_samples(spark, sf_dir)
     s = M.select_series(samples, FX.PRODUCE_P99)
-    r = M.rate(M.select_series(samples, FX.MESSAGES_IN, topic="order-events-dlq"), 300)
+    r = M.sum_rate_range(M.select_series(samples, FX.MESSAGES_IN, topic="order-events-dlq"), RANGE_START, RANGE_END)
     lat = s.select("metric", "instance", naive("ts").alias("ts"), "value",
                    band("value", 10, 6).alias("band"))
-    dlq = r.select("metric", "instance", naive("ts").alias("ts"), F.col("rate").alias("value"),
-                   band("rate", 5, 1).alias("band"))
+    dlq = r.select("metric", F.lit(None).cast("string").alias("instance"), naive("ts").alias("ts"), "value",
+                   band("value", 5, 1).alias("band"))
     return lat.unionByName(dlq)
 
 
@@ -253,31 +307,49 @@ def q_metric_names_parsed(spark, sf_dir):
 # ---- streaming ---------------------------------------------------------------------
 
 SENTINEL_USER = "__end_of_stream__"
+LATE_USER = "__late__"
+STREAM_PARTS = 4
 
 
 def q_stream_order_stats(spark, sf_dir):
     """The streaming job end to end: dense order events as JSON files -> file
     stream -> decode/validate/guarded filter/watermark/window -> keyed table
-    (idempotent per-batch upsert).  Two far-future sentinel events close every
-    data window; the sentinel user is then excluded from the result."""
-    from orderstream.session import scratch_path
-    from orderstream.sources.files import read_value_stream, write_values
-    from orderstream.sources.tables import KeyedTable
-    from orderstream.streaming.job import order_stats_plan
+    (idempotent per-batch upsert).
 
+    The events arrive in ``STREAM_PARTS`` data batches by event time; before the
+    last one a valid order for the first window arrives and is dropped as late.
+    Two far-future sentinel events then close every data window; the sentinel
+    user is excluded from the result."""
+    apply_core_conf(spark)
     src, out, ck = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ck"))
-    write_values(FX.json_events(spark, sf_dir, dense=True), src)
+    events = FX.json_events(spark, sf_dir, dense=True, extra=("timestamp",))
+    low, high = events.agg(F.min("timestamp"), F.max("timestamp")).first()
     table = KeyedTable(out)
+
+    def arrive(df):
+        write_values(df, src)
+
+    def order(order_id, user_id, ms):
+        return spark.range(1).select(encode_order_json(
+            order_id=F.lit(order_id), user_id=F.lit(user_id), amount=F.lit(0.0), status=F.lit("PLACED"), timestamp=F.lit(ms)).alias("value"))
+
+    if low is None:
+        return _stats_out(spark.createDataFrame([], USER_ORDER_STATS))
+    part = F.least(F.expr(f"(`timestamp` - {low}) * {STREAM_PARTS} div {high - low + 1}"), F.lit(STREAM_PARTS - 1))
+    arrive(events.where(part == 0))
     plan = order_stats_plan(read_value_stream(spark, src), exact=True)
     q = (plan.writeStream.outputMode("append").foreachBatch(table.write_batch)
          .option("checkpointLocation", ck).start())
     try:
         q.processAllAvailable()
+        for i in range(1, STREAM_PARTS):
+            if i == STREAM_PARTS - 1:
+                arrive(order("late", LATE_USER, low))
+                q.processAllAvailable()
+            arrive(events.where(part == i))
+            q.processAllAvailable()
         for i in range(2):
-            end = spark.range(1).select(encode_order_json(
-                order_id=F.lit(f"end-{i}"), user_id=F.lit(SENTINEL_USER), amount=F.lit(0.0),
-                status=F.lit("PLACED"), timestamp=F.lit(4102444800000 + i)).alias("value"))
-            write_values(end, src)
+            arrive(order(f"end-{i}", SENTINEL_USER, 4102444800000 + i))
             q.processAllAvailable()
     finally:
         q.stop()
@@ -285,21 +357,93 @@ def q_stream_order_stats(spark, sf_dir):
 
 
 def q_stream_retry_release(spark, sf_dir):
-    """Dead-letter records through the streaming retry release (timers at
-    micro-batch boundaries, default 1 s base backoff): every decodable record
-    comes out once - PERMANENT at once, RETRY after its backoff with the
-    incremented count."""
-    from orderstream.session import scratch_path
+    """Dead-letter records through the retry release (default 1 s base backoff):
+    every decodable record comes out once - PERMANENT at once, RETRY when its
+    backoff is over, with the incremented count."""
     from orderstream.streaming.retry_release import run_release
 
     recs = FX.dlq_records(spark, sf_dir)
     src, ck, out = (scratch_path(spark, n) for n in ("retry-src", "retry-ck", "retry-out"))
     recs.write.parquet(src)
-    expected = spark.read.parquet(src).where(F.col("offset") % 900 != 0).count()
-    rel = run_release(spark, src, recs.schema, ck, out, expected=expected)
+    rel = run_release(spark, src, recs.schema, ck, out)
     return rel.select("offset", "order_id", "user_id", "retry_count", "decision")
 
 
+def _arrive_in_parts(spark, df, ms: str, src: str, query) -> None:
+    """The rows' values as ``STREAM_PARTS`` data batches in order of the time column ``ms``."""
+    low, high = df.agg(F.min(ms), F.max(ms)).first()
+    if low is None:
+        return
+    part = F.least(F.expr(f"(`{ms}` - {low}) * {STREAM_PARTS} div {high - low + 1}"), F.lit(STREAM_PARTS - 1))
+    for i in range(STREAM_PARTS):
+        write_values(df.where(part == i), src)
+        query.processAllAvailable()
+
+
+def q_stream_dedup_orders(spark, sf_dir):
+    """Orders that arrive twice, through streaming duplicate suppression: a copy
+    comes within the watermark's delay of its first and is dropped."""
+    apply_core_conf(spark)
+    src, out, ck = (scratch_path(spark, n) for n in ("dedup-src", "dedup-out", "dedup-ck"))
+    orders = FX.order_events_dup(spark, sf_dir)
+    json = orders.where(F.col("order_id") != "").select("timestamp", encode_order_json().alias("value"))
+    write_values(json.limit(0), src)
+    events = with_event_watermark(tagged_events(read_value_stream(spark, src)))
+    kept = dedup_streaming(guarded_filter(events, F.col("dlq_reason").isNull()))
+    q = (kept.select("order_id", "user_id", "amount", "status", "timestamp").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ck).outputMode("append").start())
+    try:
+        _arrive_in_parts(spark, json, "timestamp", src, q)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.schema(ORDER_EVENT).parquet(out)
+
+
+def q_stream_dlq_archive(spark, sf_dir):
+    """The dead-letter branch of the event stream into the JSON archive, read back."""
+    src, out, ck = (scratch_path(spark, n) for n in ("archive-src", "archive-out", "archive-ck"))
+    write_values(FX.json_events(spark, sf_dir), src)
+    q = dlq_archive(dlq_plan(read_value_stream(spark, src)).select("value", "dlq_reason"), out, ck, trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.schema("value string, dlq_reason string").json(out)
+
+
+def q_dlq_notifications(spark, sf_dir):
+    """Dead-letter alert lines through the notifier's table, written twice as a replay would."""
+    path = scratch_path(spark, "alerts")
+    sink = AlertSink(table_path=path, webhook_url="")
+    lines = q_dlq_alert_text(spark, sf_dir)
+    for _ in range(2):
+        sink(lines, 0)
+    return spark.read.parquet(path).select("offset", "alert_text")
+
+
+def q_alert_payloads(spark, sf_dir):
+    """The webhook bodies of the dead-letter alert lines."""
+    return q_dlq_alert_text(spark, sf_dir).select("offset", alert_payload("alert_text").alias("payload"))
+
+
+def q_parsed_samples(spark, sf_dir):
+    """Samples whose value and time travel as text and epoch seconds, parsed."""
+    return FX.raw_samples(spark, sf_dir).select("event_id", sample_value("v").alias("value"), naive(from_epoch_s("t")).alias("ts"))
+
+
+def q_load_summary_file(spark, sf_dir):
+    """The load summary written as its JSON file and read back."""
+    path = scratch_path(spark, "summary")
+    summary = LT.load_summary(FX.send_log(spark, sf_dir))
+    write_summary(summary, path)
+    return spark.read.schema(summary.schema).json(path)
+
+
+def q_metric_samples(spark, sf_dir):
+    """The whole samples table, written and scanned as the metric operators read it."""
+    path = scratch_path(spark, "samples")
+    FX.metric_samples(spark, sf_dir).write.parquet(path)
+    return _samples_out(read_samples(spark, path))
+
+
 # ---- load summaries --------------------------------------------------------------
 
 def q_load_summary(spark, sf_dir):
@@ -307,7 +451,7 @@ def q_load_summary(spark, sf_dir):
 
 
 def q_latency_percentiles(spark, sf_dir):
-    return LT.latency_percentiles(FX.send_log(spark, sf_dir))
+    return LT.latency_percentiles(FX.send_log(spark, sf_dir), exact_money=True)
 
 
 def q_slo_check(spark, sf_dir):
@@ -317,10 +461,6 @@ def q_slo_check(spark, sf_dir):
 def _with_core_conf(fn):
     """Registered queries may run on a session built elsewhere: pin the
     settings their semantics depend on (UTC session zone) before planning."""
-    import functools
-
-    from orderstream.session import apply_core_conf
-
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_core_conf(spark)
@@ -351,12 +491,14 @@ QUERIES = {
     "retry_outcomes": q_retry_outcomes,
     "retry_permanent_alerts": q_retry_permanent_alerts,
     "dlq_alert_text": q_dlq_alert_text,
+    "dlq_roundtrip": q_dlq_roundtrip,
     "metric_latest": q_metric_latest,
     "metric_range": q_metric_range,
     "metric_sum": q_metric_sum,
     "per_instance_latest": q_per_instance_latest,
     "metric_rate_5m": q_metric_rate_5m,
     "metric_increase_5m": q_metric_increase_5m,
+    "dlq_rate_sum_range": q_dlq_rate_sum_range,
     "alert_states": q_alert_states,
     "alert_timeline": q_alert_timeline,
     "alert_state_counts": q_alert_state_counts,
@@ -365,6 +507,13 @@ QUERIES = {
     "metric_names_parsed": q_metric_names_parsed,
     "stream_order_stats": q_stream_order_stats,
     "stream_retry_release": q_stream_retry_release,
+    "stream_dedup_orders": q_stream_dedup_orders,
+    "stream_dlq_archive": q_stream_dlq_archive,
+    "dlq_notifications": q_dlq_notifications,
+    "alert_payloads": q_alert_payloads,
+    "parsed_samples": q_parsed_samples,
+    "metric_samples": q_metric_samples,
+    "load_summary_file": q_load_summary_file,
     "load_summary": q_load_summary,
     "latency_percentiles": q_latency_percentiles,
     "slo_check": q_slo_check,

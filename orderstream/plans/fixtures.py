@@ -20,6 +20,7 @@ EPOCH0_MS = 1704067200000          # 2024-01-01 00:00:00 UTC
 DENSE_FACTOR = 1000                # event-time compression of the dense variant
 COUNTER_RESET_MS = EPOCH0_MS + 20 * 60 * 1000
 SCRAPE_MS = 15000
+NEGATIVE_COUNT, HUGE_COUNT = -3, 4_000_000_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,25 +57,30 @@ def order_events(spark: SparkSession, sf_dir: str, dense: bool = False, extra: t
     return out.withColumn("event_time", event_time("timestamp"))
 
 
-def json_events(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+def json_events(spark: SparkSession, sf_dir: str, dense: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
     """Order events as JSON record values; every 1000th event (id % 1000 = 999)
-    is truncated and every id % 1000 = 500 is empty, i.e. undecodable."""
+    is truncated and every id % 1000 = 500 is empty, i.e. undecodable.  ``extra``
+    names columns of the events to keep beside the value."""
     oe = order_events(spark, sf_dir, dense)
     m = F.col("event_id") % 1000
     js = encode_order_json()
     return oe.select(
         F.col("event_id").alias("offset"),
         F.when(m == 999, F.substring(js, 1, 25)).when(m == 500, F.lit("")).otherwise(js).alias("value"),
+        *[F.col(c) for c in extra],
     )
 
 
 def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poison events as dead-letter topic records with ``retry-count`` headers
     (``event_id div 50 % 7``) in several header shapes; every id % 900 = 0 has
-    an undecodable value."""
+    an undecodable value.  The headers of ids % 1100 = 50 hold a negative count,
+    those of ids % 1300 = 100 one far beyond any backoff."""
     oe = order_events(spark, sf_dir).where(is_poison())
     eid = F.col("event_id")
-    n = F.expr("event_id div 50 % 7").cast("string").cast("binary")
+    count = (F.when(eid % 1100 == 50, F.lit(NEGATIVE_COUNT)).when(eid % 1300 == 100, F.lit(HUGE_COUNT))
+             .otherwise(F.expr("event_id div 50 % 7")))
+    n = count.cast("string").cast("binary")
 
     def h(k, v):
         return F.struct(F.lit(k).alias("key"), v.alias("value"))
@@ -131,6 +137,16 @@ def orders_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("event_time", event_time("timestamp"))
 
 
+# Gauges for the alert rules: (metric, instance, out of so many scrape intervals the
+# first so many have the odd value, odd value, normal value).
+GAUGES = [
+    ("kafka_server_replica_manager_under_replicated_partitions", "kafka-2", 40, 8, 2, 0),
+    ("kafka_controller_offline_partitions_count", "kafka-1", 60, 3, 1, 0),
+    ("kafka_controller_active_controller_count", "kafka-1", 50, 6, 0, 1),
+    ("flink_jobmanager_job_lastCheckpointDuration", "flink-1", 45, 25, 70000, 5000),
+    ("flink_jobmanager_job_uptime", "flink-1", 80, 12, 0, 60000),
+]
+FAILED_CHECKPOINTS = "flink_jobmanager_job_numberOfFailedCheckpoints"
 MESSAGES_IN = "kafka_server_broker_topic_metrics_messages_in_total"
 PRODUCE_P99 = "kafka_network_request_metrics_produce_total_time_ms_p99"
 
@@ -144,6 +160,9 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
       at ``COUNTER_RESET_MS``.  Samples exist where the series had traffic.
     * ``produce_total_time_ms_p99`` - a gauge per instance: max event value in
       the scrape interval / 20.
+    * for the other alert rules: gauges per instance that leave their normal value
+      for some scrape intervals in every so many (``GAUGES``), and a counter of
+      failed checkpoints that grows every 30 intervals.
 
     The running count is taken over per-interval pre-aggregates, so each
     series window holds one row per scrape interval, not one per event.
@@ -158,8 +177,8 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("timestamp") - F.col("timestamp") % SCRAPE_MS).alias("bucket_ms"),
         F.col("value"),
     )
-    # one scan, one shuffle: per (topic, instance, interval) count and max value;
-    # the gauge is then folded from these pre-aggregates (a few rows per interval)
+    # per (topic, instance, interval) count and max value; the gauges are folded
+    # from these pre-aggregates (a few rows per interval)
     counts = base.groupBy("topic", "instance", "bucket_ms").agg(
         F.count(F.lit(1)).alias("n"), F.max("value").alias("mx"))
     seg = ((F.col("instance") == "kafka-2") & (F.col("bucket_ms") >= COUNTER_RESET_MS)).alias("segment")
@@ -174,7 +193,22 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(PRODUCE_P99).alias("metric"), F.lit(None).cast("string").alias("topic"), "instance",
         F.timestamp_millis("bucket_ms").alias("ts"), (F.col("mx") / 20.0).alias("value"),
     )
-    return counter.unionByName(gauge)
+    k = F.expr(f"(bucket_ms - {EPOCH0_MS}) div {SCRAPE_MS}")
+    others = [F.struct(F.lit(metric).alias("metric"), F.lit(instance).alias("instance"),
+                       F.when(k % every < first, F.lit(float(odd))).otherwise(F.lit(float(normal))).alias("value"))
+              for metric, instance, every, first, odd, normal in GAUGES]
+    others.append(F.struct(F.lit(FAILED_CHECKPOINTS).alias("metric"), F.lit("flink-1").alias("instance"),
+                           F.expr(f"(bucket_ms - {EPOCH0_MS}) div {30 * SCRAPE_MS}").cast("double").alias("value")))
+    rest = (counts.select("bucket_ms").distinct().select("bucket_ms", F.explode(F.array(*others)).alias("g"))
+            .select("g.metric", F.lit(None).cast("string").alias("topic"), "g.instance", F.timestamp_millis("bucket_ms").alias("ts"), "g.value"))
+    return counter.unionByName(gauge).unionByName(rest)
+
+
+def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples as an exporter prints them: value as text (every tenth isn't a number), time in seconds."""
+    e = _events(spark, sf_dir)
+    return e.select("event_id", F.when(F.col("event_id") % 10 == 3, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("v"),
+                    (_ts_ms(False) / F.lit(1000.0)).alias("t"))
 
 
 JMX_BEANS = [
@@ -193,7 +227,8 @@ JMX_TOPICS = ["order-events", "order-events-dlq", "order-stats"]
 
 def jmx_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw MBean samples (name, value) derived from ``events``: bean shape by
-    ``event_id % 8``, topic by ``user_id % 3``."""
+    ``event_id % 8``, topic by ``user_id % 3``; some with text before the bean, some
+    with the value after it, as scrapers print them."""
     e = _events(spark, sf_dir)
     topic = F.element_at(F.array(*[F.lit(t) for t in JMX_TOPICS]), (F.col("user_id") % 3 + 1).cast("int"))
     k = F.col("event_id") % len(JMX_BEANS)
@@ -205,4 +240,6 @@ def jmx_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             txt = F.lit(tmpl)
         name = F.when(k == i, txt) if name is None else name.when(k == i, txt)
-    return e.select("event_id", name.alias("mbean"), F.col("value"))
+    before = F.when(F.col("event_id") % 5 == 1, F.lit("jmx ")).otherwise(F.lit(""))
+    after = F.when(F.col("event_id") % 7 == 2, F.lit(": 1.5")).otherwise(F.lit(""))
+    return e.select("event_id", F.concat(before, name, after).alias("mbean"), F.col("value"))

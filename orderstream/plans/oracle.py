@@ -76,16 +76,33 @@ def _latest(measure_sql: str, name: str) -> str:
 JSON_MAL = "(event_id % 1000 IN (999, 500))"
 
 DLQ_RECORDS = f"""dr AS (SELECT *, event_id AS "offset", CAST(event_id // 50 % 3 AS INTEGER) AS "partition",
-  CASE WHEN event_id % 4 = 2 THEN 0 ELSE event_id // 50 % 7 END AS retry_count,
+  CASE WHEN event_id % 4 = 2 THEN 0 WHEN event_id % 1100 = 50 THEN -3 WHEN event_id % 1300 = 100 THEN 4000000000000
+       ELSE event_id // 50 % 7 END AS retry_count,
   event_id % 900 = 0 AS undecodable
   FROM oe WHERE {POISON})"""
 
 PLAN = """SELECT *, CASE WHEN retry_count >= 5 THEN 'PERMANENT' ELSE 'RETRY' END AS decision,
-  CASE WHEN retry_count < 5 THEN CAST(1000 * (CAST(1 AS BIGINT) << CAST(retry_count AS INTEGER)) AS BIGINT) END AS backoff_ms,
+  CASE WHEN retry_count < 5 THEN CAST(1000 * (CAST(1 AS BIGINT) << CAST(greatest(retry_count, 0) AS INTEGER)) AS BIGINT) END AS backoff_ms,
   CASE WHEN retry_count < 5 THEN retry_count + 1 END AS next_retry_count
 FROM dr"""
 
 MESSAGES_IN = FX.MESSAGES_IN
+
+
+def _gauges() -> str:
+    """The samples of the rules that the events themselves don't feed, written out."""
+    rows = [
+        ("kafka_server_replica_manager_under_replicated_partitions", "kafka-2", "CASE WHEN k % 40 < 8 THEN 2.0 ELSE 0.0 END"),
+        ("kafka_controller_offline_partitions_count", "kafka-1", "CASE WHEN k % 60 < 3 THEN 1.0 ELSE 0.0 END"),
+        ("kafka_controller_active_controller_count", "kafka-1", "CASE WHEN k % 50 < 6 THEN 0.0 ELSE 1.0 END"),
+        ("flink_jobmanager_job_lastCheckpointDuration", "flink-1", "CASE WHEN k % 45 < 25 THEN 70000.0 ELSE 5000.0 END"),
+        ("flink_jobmanager_job_uptime", "flink-1", "CASE WHEN k % 80 < 12 THEN 0.0 ELSE 60000.0 END"),
+        ("flink_jobmanager_job_numberOfFailedCheckpoints", "flink-1", "k // 30"),
+    ]
+    return " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST(NULL AS VARCHAR) AS topic, '{i}' AS instance, {_ts('bucket_ms')} AS ts, "
+                              f"CAST({v} AS DOUBLE) AS value FROM buckets" for m, i, v in rows)
+
+
 SAMPLES_CTE = f"""WITH oe AS ({_oe(True)}),
 base AS (SELECT CASE WHEN {POISON} THEN 'order-events-dlq' ELSE 'order-events' END AS topic,
   'kafka-' || CAST(event_id % 3 + 1 AS VARCHAR) AS instance, timestamp - timestamp % {FX.SCRAPE_MS} AS bucket_ms, value
@@ -96,7 +113,9 @@ counter AS (SELECT '{MESSAGES_IN}' AS metric, topic, instance, {_ts('bucket_ms')
         ORDER BY bucket_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM counts),
 gauge AS (SELECT '{FX.PRODUCE_P99}' AS metric, CAST(NULL AS VARCHAR) AS topic, instance, {_ts('bucket_ms')} AS ts,
   MAX(value) / CAST(20 AS DOUBLE) AS value FROM base GROUP BY instance, bucket_ms),
-samples AS (SELECT * FROM counter UNION ALL SELECT * FROM gauge)
+buckets AS (SELECT DISTINCT bucket_ms, (bucket_ms - {FX.EPOCH0_MS}) // {FX.SCRAPE_MS} AS k FROM base),
+rest AS ({_gauges()}),
+samples AS (SELECT * FROM counter UNION ALL SELECT * FROM gauge UNION ALL SELECT * FROM rest)
 """
 
 
@@ -121,6 +140,22 @@ def _increase(src: str, range_s: int = 300) -> str:
 FROM ({_deltas(src)})"""
 
 
+def _bounded(src: str, range_s: int, start: str, end: str) -> str:
+    return f"(SELECT * FROM {src} WHERE ts <= TIMESTAMP '{end}' AND {_ms('ts')} > {_epoch(start) - range_s * 1000})"
+
+
+def _sum_rate_range(src: str, start: str, end: str, step_s: int = 15, range_s: int = 300) -> str:
+    """sum(rate(x[range])) straight from its definition: at each step, for each series
+    the growth between the samples inside the window, over all series."""
+    s_ms, steps = _epoch(start), (_epoch(end) - _epoch(start)) // (step_s * 1000)
+    return f"""SELECT metric, {_ts(f'{s_ms} + k * {step_s * 1000}')} AS ts, SUM(growth) / CAST({range_s} AS DOUBLE) AS value FROM (
+  SELECT metric, topic, instance, k, SUM(delta) - arg_min(delta, ms) AS growth
+  FROM ({_deltas(src)}) d, (SELECT unnest(generate_series(0, {steps})) AS k) g
+  WHERE ms <= {s_ms} + k * {step_s * 1000} AND ms > {s_ms} + k * {step_s * 1000} - {range_s * 1000}
+  GROUP BY metric, topic, instance, k HAVING COUNT(*) >= 2)
+GROUP BY metric, k"""
+
+
 def _range(src: str, start: str, end: str, step_s: int = 15, lookback_s: int = 300) -> str:
     s_ms, e_ms, step, lb = _epoch(start), _epoch(end), step_s * 1000, lookback_s * 1000
     return f"""SELECT metric, topic, instance, {_ts(f'{s_ms} + k * {step}')} AS ts, value FROM (
@@ -158,7 +193,7 @@ def _timeline() -> str:
     parts = []
     for func, rng in funcs:
         metrics = ", ".join(sorted({_sql_str(r.metric) for r in DEFAULT_RULES if r.func == func and r.range_s == rng}))
-        src = f"(SELECT * FROM samples WHERE metric IN ({metrics}))"
+        src = _bounded(f"(SELECT * FROM samples WHERE metric IN ({metrics}))", 300, C.ALERT_SINCE, C.ALERT_AT)
         rs = "CAST(NULL AS INTEGER)" if rng is None else f"CAST({rng} AS INTEGER)"
         if func == "value":
             parts.append(f"SELECT metric, topic, instance, ts, value AS expr_value, 'value' AS func, {rs} AS range_s FROM {src}")
@@ -172,7 +207,8 @@ def _timeline() -> str:
 rules AS ({_rules_values()}),
 j AS (SELECT x.metric, x.topic, x.instance, x.ts, x.expr_value, r.alert, r.op, r.threshold, r.for_s, r.severity, r.summary
       FROM x JOIN rules r ON x.metric = r.metric AND x.func = r.func AND x.range_s IS NOT DISTINCT FROM r.range_s
-       AND (r.topic IS NULL OR x.topic = r.topic)),
+       AND (r.topic IS NULL OR x.topic = r.topic)
+      WHERE x.ts >= TIMESTAMP '{C.ALERT_SINCE}'),
 c AS (SELECT *, {_ms('ts')} AS ms,
   COALESCE(CASE WHEN op = '>' THEN expr_value > threshold WHEN op = '==' THEN expr_value = threshold ELSE false END, false) AS cond
   FROM j),
@@ -188,9 +224,9 @@ tl2 AS (SELECT alert, metric, topic, instance, ts, value, state, active_at,
 """
 
 
-STATES = _timeline() + """, st AS (SELECT alert, metric, topic, instance, ts, value, state, active_at, severity, summary
+STATES = _timeline() + f""", st AS (SELECT alert, metric, topic, instance, ts, value, state, active_at, severity, summary
   FROM (SELECT *, row_number() OVER (PARTITION BY alert, metric, topic, instance ORDER BY ts DESC) AS rn FROM tl2)
-  WHERE rn = 1)
+  WHERE rn = 1 AND {_ms('ts')} > {_epoch(C.ALERT_AT) - 300000})
 """
 
 
@@ -204,11 +240,12 @@ def _jmx() -> str:
         else:
             cases.append(f"WHEN {i} THEN {_sql_str(tmpl)}")
     bean = f"CASE event_id % {len(FX.JMX_BEANS)} " + " ".join(cases) + " END"
-    name = "CASE " + " ".join(f"WHEN regexp_full_match(mbean, {_sql_str(p)}) THEN {_sql_str(n)}"
+    bean = f"CASE WHEN event_id % 5 = 1 THEN 'jmx ' ELSE '' END || {bean} || CASE WHEN event_id % 7 = 2 THEN ': 1.5' ELSE '' END"
+    name = "CASE " + " ".join(f"WHEN regexp_matches(mbean, {_sql_str(p)}) THEN {_sql_str(n)}"
                               for p, n, _ in EXPORTER_RULES) + " END"
     topic = "CASE " + " ".join(
-        f"WHEN regexp_full_match(mbean, {_sql_str(p)}) THEN "
-        + (f"regexp_extract(mbean, {_sql_str('^' + p + '$')}, 1)" if t else "CAST(NULL AS VARCHAR)")
+        f"WHEN regexp_matches(mbean, {_sql_str(p)}) THEN "
+        + (f"regexp_extract(mbean, {_sql_str(p)}, 1)" if t else "CAST(NULL AS VARCHAR)")
         for p, _, t in EXPORTER_RULES) + " END"
     return f"""SELECT * FROM (SELECT event_id, lower({name}) AS metric, {topic} AS topic, value
 FROM (SELECT event_id, {bean} AS mbean, value FROM events)) WHERE metric IS NOT NULL"""
@@ -313,6 +350,13 @@ SELECT CASE WHEN undecodable THEN 'REJECTED' ELSE decision END AS decision, COUN
 SELECT "offset", {_perm_text()} AS alert_text FROM dr WHERE NOT undecodable AND retry_count >= 5""",
     "dlq_alert_text": f"""WITH oe AS ({_oe()}), {DLQ_RECORDS}
 SELECT "offset", {_dlq_text()} AS alert_text FROM dr""",
+    "dlq_roundtrip": f"""WITH oe AS ({_oe()}), j AS (SELECT *, {JSON_MAL} AS mal,
+  '{{"order_id":"' || order_id || '","user_id":"' || user_id || '","amount":' || CAST(amount AS VARCHAR)
+  || ',"status":"' || status || '","timestamp":' || CAST(timestamp AS VARCHAR) || '}}' AS js FROM oe)
+SELECT event_id, CASE WHEN mal THEN 'MALFORMED_JSON' ELSE {REASON} END AS reason,
+  CAST(CASE WHEN mal THEN 0 ELSE 5 END AS BIGINT) AS attempts, CASE WHEN mal THEN 'REJECTED' ELSE 'PERMANENT' END AS outcome,
+  hex(CASE WHEN event_id % 1000 = 500 THEN '' WHEN event_id % 1000 = 999 THEN substr(js, 1, 25) ELSE js END) AS value_hex
+FROM j WHERE mal OR {POISON}""",
     "metric_latest": SAMPLES_CTE + f"""SELECT metric, topic, instance, max(ts) AS ts, arg_max(value, ts) AS value FROM samples
 WHERE ts <= TIMESTAMP '{C.INSTANT_AT}' AND {_ms('ts')} > {_epoch(C.INSTANT_AT) - 300000}
 GROUP BY metric, topic, instance""",
@@ -324,9 +368,13 @@ GROUP BY metric, ts""",
   arg_max(value, ts) AS value FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events'
 GROUP BY 1""",
     "metric_rate_5m": SAMPLES_CTE + f"""SELECT metric, topic, instance, ts, increase / CAST(300 AS DOUBLE) AS value
-FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')")})""",
+FROM ({_increase(_bounded(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')", 300, C.RANGE_START, C.RANGE_END))})
+WHERE ts >= TIMESTAMP '{C.RANGE_START}'""",
     "metric_increase_5m": SAMPLES_CTE + f"""SELECT metric, topic, instance, ts, increase AS value
-FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')")})""",
+FROM ({_increase(_bounded(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')", 300, C.RANGE_START, C.RANGE_END))})
+WHERE ts >= TIMESTAMP '{C.RANGE_START}'""",
+    "dlq_rate_sum_range": SAMPLES_CTE + _sum_rate_range(
+        f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events-dlq')", C.RANGE_START, C.RANGE_END),
     "alert_timeline": _timeline() + "SELECT * FROM tl2",
     "alert_states": STATES + "SELECT * FROM st",
     "active_alerts": STATES + """SELECT * FROM st WHERE state IN ('firing', 'pending')
@@ -337,15 +385,32 @@ FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')")})"""
   CASE WHEN value >= 10 THEN 'critical' WHEN value >= 6 THEN 'warning' ELSE 'ok' END AS band
 FROM samples WHERE metric = '{FX.PRODUCE_P99}'
 UNION ALL
-SELECT metric, instance, ts, increase / CAST(300 AS DOUBLE) AS value,
-  CASE WHEN increase / CAST(300 AS DOUBLE) >= 5 THEN 'critical' WHEN increase / CAST(300 AS DOUBLE) >= 1 THEN 'warning' ELSE 'ok' END AS band
-FROM ({_increase(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events-dlq')")})""",
+SELECT metric, CAST(NULL AS VARCHAR) AS instance, ts, value, CASE WHEN value >= 5 THEN 'critical' WHEN value >= 1 THEN 'warning' ELSE 'ok' END AS band
+FROM ({_sum_rate_range(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events-dlq')", C.RANGE_START, C.RANGE_END)})""",
     "metric_names_parsed": _jmx(),
     "stream_order_stats": f"WITH oe AS ({_oe(True)}), ok AS (SELECT * FROM oe WHERE NOT {JSON_MAL})\n" + _stats("ok"),
     "stream_retry_release": f"""WITH oe AS ({_oe()}), {DLQ_RECORDS}
 SELECT "offset", order_id, user_id, CASE WHEN retry_count >= 5 THEN retry_count ELSE retry_count + 1 END AS retry_count,
   CASE WHEN retry_count >= 5 THEN 'PERMANENT' ELSE 'RETRY' END AS decision
 FROM dr WHERE NOT undecodable""",
+    "stream_dedup_orders": f"""WITH oe AS ({_oe()})
+SELECT order_id, user_id, amount, status, timestamp FROM oe WHERE NOT {POISON}""",
+    "stream_dlq_archive": f"""WITH oe AS ({_oe()}), j AS (SELECT *, {JSON_MAL} AS mal,
+  '{{"order_id":"' || order_id || '","user_id":"' || user_id || '","amount":' || CAST(amount AS VARCHAR)
+  || ',"status":"' || status || '","timestamp":' || CAST(timestamp AS VARCHAR) || '}}' AS js FROM oe)
+SELECT CASE WHEN event_id % 1000 = 500 THEN '' WHEN event_id % 1000 = 999 THEN substr(js, 1, 25) ELSE js END AS value,
+  CASE WHEN mal THEN 'MALFORMED_JSON' ELSE {REASON} END AS dlq_reason
+FROM j WHERE mal OR {POISON}""",
+    "dlq_notifications": f"""WITH oe AS ({_oe()}), {DLQ_RECORDS}
+SELECT "offset", {_dlq_text()} AS alert_text FROM dr""",
+    "alert_payloads": f"""WITH oe AS ({_oe()}), {DLQ_RECORDS}
+SELECT "offset", '{{"text":"' || replace(replace({_dlq_text()}, '"', '\\"'), {NL}, '\\n') || '"}}' AS payload FROM dr""",
+    "parsed_samples": f"""SELECT event_id, CASE WHEN event_id % 10 = 3 THEN NULL ELSE value END AS value,
+  make_timestamp(CAST(trunc(CAST({_ms('ts')} AS DOUBLE) / CAST(1000 AS DOUBLE) * CAST(1000000 AS DOUBLE)) AS BIGINT)) AS ts FROM events""",
+    "metric_samples": SAMPLES_CTE + "SELECT metric, topic, instance, ts, value FROM samples",
+    "load_summary_file": SEND_LOG + f"""SELECT total_messages, duration_s,
+  CASE WHEN duration_s > 0 THEN CAST(round(total_messages / duration_s) AS BIGINT) END AS throughput,
+  p50_ms, p95_ms, p99_ms, error_rate_pct FROM ({SUMMARY})""",
     "load_summary": SEND_LOG + f"""SELECT total_messages, duration_s,
   CASE WHEN duration_s > 0 THEN CAST(round(total_messages / duration_s) AS BIGINT) END AS throughput,
   p50_ms, p95_ms, p99_ms, error_rate_pct FROM ({SUMMARY})""",

@@ -64,6 +64,7 @@ ORDER_TOPIC = "order-events"
 DLQ_TOPIC = "order-events-dlq"
 STATS_TOPIC = "order-stats"
 RETRY_HEADER = "retry-count"
+REASON_HEADER = "dlq-reason"
 PLACED = "PLACED"
 WINDOW = "1 minute"
 WATERMARK_DELAY = "5 seconds"

@@ -8,19 +8,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package relies on.  Event time is epoch-ms UTC,
-# so the session zone is pinned; AQE re-plans shuffle sizes and skewed joins
-# at runtime.  Anything the cluster already set is left alone.
-CORE_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+# What the package's results depend on: event time is epoch-ms UTC.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+# What it runs best with; values that the session already has are left alone.
+# AQE re-plans shuffle sizes and skewed joins at runtime, RocksDB keeps streaming
+# state off the heap and commits change logs instead of snapshots.
+PREFERRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # commit state as change logs instead of full snapshots per batch
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+CORE_CONF = REQUIRED_CONF | PREFERRED_CONF
 
 
 def local_session(cpus: int | str = 8, app: str = "orderstream", extra: dict | None = None) -> SparkSession:
@@ -42,11 +44,14 @@ def local_session(cpus: int | str = 8, app: str = "orderstream", extra: dict | N
 
 
 def apply_core_conf(spark: SparkSession) -> SparkSession:
-    """Set the package's runtime SQL settings on an existing session (cluster use)."""
-    for k, v in CORE_CONF.items():
-        if k.startswith("spark.sql.streaming.stateStore"):
-            continue  # static for a running query; set at submit time on clusters
+    """Set what results depend on, and what the session hasn't set itself of the
+    rest.  A streaming query reads its state store settings when it starts, so this
+    has to come before."""
+    for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    for k, v in PREFERRED_CONF.items():
+        if not spark._jsparkSession.conf().contains(k):
+            spark.conf.set(k, v)
     return spark
 
 

@@ -1,9 +1,10 @@
 """Relational result table over JDBC: DDL, staged upsert sink, query scan.
 
-The upsert runs per micro-batch: executors write the batch in parallel into a
-staging table (``batchsize`` rows per round trip), then the driver issues one
-set-based merge statement and clears the staged batch.  Row data never passes
-through the driver.  No JDBC driver for a server database ships with this
+The upsert runs per micro-batch: rows that an earlier attempt at the batch staged
+are deleted, executors write the batch in parallel into a staging table
+(``batchsize`` rows per round trip), then the driver issues one set-based merge
+statement and clears the staged batch.  A replay after a crash at any of these
+steps stages and merges every row once.  Row data never passes through the driver.  No JDBC driver for a server database ships with this
 image, so tests cover statement generation only.
 """
 
@@ -26,8 +27,8 @@ STATS_TABLE = "user_order_stats"
 STATS_DDL = [
     """CREATE TABLE IF NOT EXISTS user_order_stats (
     user_id VARCHAR(255) NOT NULL,
-    order_count BIGINT NOT NULL,
-    total_amount DOUBLE PRECISION NOT NULL,
+    order_count BIGINT NOT NULL DEFAULT 0,
+    total_amount DOUBLE PRECISION NOT NULL DEFAULT 0.0,
     window_start TIMESTAMP NOT NULL,
     window_end TIMESTAMP NOT NULL,
     PRIMARY KEY (user_id, window_start)
@@ -35,6 +36,19 @@ STATS_DDL = [
     "CREATE INDEX IF NOT EXISTS idx_user_order_stats_window ON user_order_stats (window_start, window_end)",
 ]
 
+# The staging table: the result table's columns and the micro-batch they are from.
+STAGING_DDL = [
+    """CREATE TABLE IF NOT EXISTS user_order_stats_staging (
+    user_id VARCHAR(255) NOT NULL,
+    order_count BIGINT NOT NULL,
+    total_amount DOUBLE PRECISION NOT NULL,
+    window_start TIMESTAMP NOT NULL,
+    window_end TIMESTAMP NOT NULL,
+    batch_id BIGINT NOT NULL
+)""",
+    "CREATE INDEX IF NOT EXISTS idx_user_order_stats_staging_batch ON user_order_stats_staging (batch_id)",
+]
+
 
 def upsert_statement(table: str, staging: str, columns: Sequence[str], keys: Sequence[str] = STATS_KEYS,
                      update_cols: Sequence[str] = STATS_UPDATE_COLS, dialect: str = "postgres") -> str:
@@ -95,22 +109,29 @@ class JdbcUpsertSink:
         spark = df.sparkSession
         cols = [c for c in df.columns if c != "batch_id"]
         staged = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        staged.write.jdbc(self.url, self.staging, mode="append", properties=self.properties())
         merge = upsert_statement(self.table, self.staging, cols, self.keys, self.update_cols, self.dialect)
         clear = f"DELETE FROM {self.staging} WHERE batch_id = ?"
+        self._retried(spark, batch_id, [(clear, [batch_id])])
+        self._stage(staged)
+        self._retried(spark, batch_id, [(merge, [batch_id]), (clear, [batch_id])])
+
+    def _stage(self, staged: DataFrame) -> None:
+        staged.write.jdbc(self.url, self.staging, mode="append", properties=self.properties())
+
+    def _retried(self, spark: SparkSession, batch_id: int, statements: list[tuple[str, list]]) -> None:
+        """The statements as one transaction, tried again a few times if it fails."""
         for attempt in range(self.max_retries + 1):
             try:
-                self._execute(spark, [(merge, [batch_id]), (clear, [batch_id])])
-                return
+                return self._execute(spark, statements)
             except Exception:  # noqa: BLE001
                 if attempt == self.max_retries:
                     raise
-                log.warning("upsert of batch %s failed (attempt %d), retrying", batch_id, attempt + 1)
+                log.warning("batch %s failed (attempt %d), retrying", batch_id, attempt + 1)
                 time.sleep(min(2 ** attempt, 10))
 
 
 def ensure_table(spark: SparkSession, url: str, user: str | None = None, password: str | None = None,
-                 ddl: Sequence[str] = STATS_DDL) -> None:
+                 ddl: Sequence[str] = (*STATS_DDL, *STAGING_DDL)) -> None:
     """Idempotent DDL, run once when a sink starts."""
     sink = JdbcUpsertSink(url, user=user, password=password)
     sink._execute(spark, [(s, []) for s in ddl])

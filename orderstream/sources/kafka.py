@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderstream.functions.codec import encode_order_json, kafka_key
-from orderstream.schema import DLQ_TOPIC, ORDER_TOPIC, STATS_TOPIC
+from orderstream.functions.codec import encode_order_json, header_int, kafka_key, with_headers
+from orderstream.schema import DLQ_TOPIC, MALFORMED_JSON, ORDER_TOPIC, REASON_HEADER, RETRY_HEADER, STATS_TOPIC
 
 
 def source_options(brokers: str, topic: str, starting: str = "latest", group_id: str | None = None,
@@ -48,14 +48,25 @@ def sink_options(brokers: str, topic: str, idempotent: bool = True) -> dict:
     return opts
 
 
-def as_dlq_records(dlq: DataFrame) -> DataFrame:
-    """Dead-letter events -> records: key = user id, JSON value, reason header."""
-    return dlq.select(
-        kafka_key("user_id").alias("key"),
-        encode_order_json().alias("value"),
-        F.array(F.struct(F.lit("dlq-reason").alias("key"),
-                         F.col("dlq_reason").cast("binary").alias("value"))).alias("headers"),
-    )
+def as_dlq_records(dlq: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Dead-letter events -> records.
+
+    The value is the event's JSON, but a malformed record keeps its own bytes
+    (column ``value``) and key; nothing could be re-encoded from it.  Headers
+    travel on: ``retry-count`` keeps the count it came with (0 if none) and
+    ``dlq-reason`` is added.
+    """
+    has = set(dlq.columns)
+    malformed = F.col("dlq_reason") == F.lit(MALFORMED_JSON)
+    key, value = kafka_key("user_id"), encode_order_json().cast("binary")
+    if "key" in has:
+        key = F.when(malformed, F.col("key").cast("binary")).otherwise(key)
+    if "value" in has:
+        value = F.when(malformed, F.col("value").cast("binary")).otherwise(value)
+    headers = F.col("headers") if "headers" in has else None
+    count = header_int("headers") if headers is not None else F.lit(0)
+    return dlq.select(*keep, key.alias("key"), value.alias("value"),
+                      with_headers(headers, {RETRY_HEADER: count, REASON_HEADER: F.col("dlq_reason")}).alias("headers"))
 
 
 def as_stats_records(stats: DataFrame) -> DataFrame:

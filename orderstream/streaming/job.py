@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from orderstream.operators.upsert import dedup_streaming
 from orderstream.operators.validate import decode_events, status_is, tag_events
 from orderstream.operators.windows import guarded_filter, windowed_stats, with_event_watermark
 from orderstream.schema import PLACED, WATERMARK_DELAY, WINDOW
-from orderstream.session import checkpoint_root
+from orderstream.session import apply_core_conf, checkpoint_root
 
 
 def tagged_events(values: DataFrame, value: str = "value", keep: tuple[str, ...] = (),
@@ -37,13 +38,15 @@ def order_stats_plan(values: DataFrame, *, value: str = "value", delay: str = WA
     pred = F.col("dlq_reason").isNull() & status_is(status)
     kept = guarded_filter(wm, pred) if guard else wm.where(pred)
     if dedup:
-        kept = kept.dropDuplicatesWithinWatermark(["order_id"])
+        kept = dedup_streaming(kept)
     return windowed_stats(kept, key=key, width=width, exact=exact)
 
 
 def dlq_plan(values: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Dead-letter branch: every event with a reason, plus the raw value."""
-    t = tagged_events(values, value, keep=keep + (value,))
+    """Dead-letter branch: every event with a reason, plus the raw value and, where
+    the records have them, key and headers (the retry count travels there)."""
+    own = tuple(c for c in ("key", "headers") if c in values.columns and c not in keep)
+    t = tagged_events(values, value, keep=keep + own + (value,))
     return t.where(F.col("dlq_reason").isNotNull())
 
 
@@ -53,6 +56,7 @@ def start_order_job(spark: SparkSession, values: DataFrame, stats_sink: Callable
     """Start the stats query (append mode: a window is emitted once, when the
     watermark passes its end) and, if given, the dead-letter query.  Each has
     its own checkpoint under the shared checkpoint folder."""
+    apply_core_conf(spark)
     root = (checkpoint or f"{checkpoint_root(spark).rstrip('/')}/{name}").rstrip("/")
     trig = trigger or {"processingTime": "30 seconds"}
     stats = order_stats_plan(values, **plan_kw)

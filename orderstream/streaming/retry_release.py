@@ -1,97 +1,151 @@
-"""Non-blocking delayed retries with processing-time timeouts.
-
-Each RETRY row is held in keyed state and released once its backoff has
-elapsed (checked when the key's processing-time timeout fires, i.e. at a
-micro-batch boundary); PERMANENT rows pass through at once.  Nothing sleeps
-inside a task, so one slow retry never blocks a partition.  Keyed by the
-record's coordinates (topic, partition, offset), which are unique, so state
-spreads evenly even when many poison events share an (empty) order id.
-
-Uses ``applyInPandasWithState`` (Arrow batches).  The newer
-``transformWithState`` API fails to plan its second micro-batch on PySpark
-4.1.2 in this environment, so it is not used.
+"""Delayed retries: a pending table by due minute and releases by time range.
+
+Ingest is a stream: each micro-batch writes its RETRY rows, with the time they
+fall due, to the pending table and its PERMANENT rows straight to the released one.
+A release moves the pending rows that fell due in (last release, now]. Both are
+plain projections and filters; partitions of the due minute bound what a release
+reads. Nothing waits inside a task.
+
+A micro-batch's rows are pending once its folder is complete; a repeated micro-batch
+finds it complete and leaves it, or replaces what an attempt left unfinished and no
+release has looked at. A release overwrites its own partition; its time range is
+recorded after its rows are written, and ranges are adjacent, so every row comes
+out in exactly one of them.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-RELEASED_SCHEMA = ("topic string, partition int, offset long, order_id string, user_id string, value string, retry_count long, decision string, "
-                   "due_ms long, released_ms long")
-STATE_SCHEMA = ("pending array<struct<order_id:string,user_id:string,value:string,next_retry_count:long,"
-                "due_ms:long>>")
-_OUT_COLS = ["topic", "partition", "offset", "order_id", "user_id", "value", "retry_count", "decision", "due_ms", "released_ms"]
-
-
-def _release(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    topic, partition, offset = key[0], int(key[1]), int(key[2])
-    now = int(time.time() * 1000)
-    fields = ("order_id", "user_id", "value", "next_retry_count", "due_ms")
-    pending = []
-    if state.exists:
-        for p in state.get[0]:
-            pending.append(tuple(p[f] for f in fields) if isinstance(p, dict) else tuple(p))
-    out = []
-    if not state.hasTimedOut:
-        for pdf in pdfs:
-            for r in pdf.itertuples(index=False):
-                if r.decision == "PERMANENT":
-                    out.append((topic, partition, offset, r.order_id, r.user_id, r.value, int(r.retry_count),
-                                "PERMANENT", None, now))
-                else:
-                    pending.append((r.order_id, r.user_id, r.value, int(r.next_retry_count),
-                                    now + int(r.backoff_ms)))
-    keep = []
-    for order_id, user_id, value, n, due in pending:
-        if due <= now:
-            out.append((topic, partition, offset, order_id, user_id, value, int(n), "RETRY", int(due), now))
-        else:
-            keep.append((order_id, user_id, value, int(n), int(due)))
-    if keep:
-        state.update(([dict(zip(fields, k)) for k in keep],))
-        state.setTimeoutDuration(max(1, min(k[-1] for k in keep) - now))
-    elif state.exists:
-        state.remove()
-    if out:
-        yield pd.DataFrame(out, columns=_OUT_COLS)
-
-
-def release_retries(planned: DataFrame) -> DataFrame:
-    """Planned dead-letter rows (``order_id, user_id, value, retry_count,
-    decision, backoff_ms, next_retry_count``) -> released records."""
-    cols = planned.select("topic", "partition", "offset", "order_id", "user_id",
-                          planned["value"].cast("string").alias("value"),
-                          "retry_count", "decision", "backoff_ms", "next_retry_count")
-    return cols.groupBy("topic", "partition", "offset").applyInPandasWithState(
-        _release, RELEASED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
-
-
-def run_release(spark, records_path: str, schema, checkpoint: str, sink_path: str, *, expected: int | None = None,
-                max_wait_s: float = 120.0, base_ms: int = 1000, trigger: str = "1 second"):
-    """Drive the release stream over a folder of dead-letter records until
-    ``expected`` records were released (or ``max_wait_s``), then stop.  With
-    processing-time timeouts the engine keeps scheduling batches, so this polls
-    the sink instead of waiting for the stream to go idle."""
-    from pyspark.sql import functions as F
-    from orderstream.operators.retry import decode_dlq_records, plan_retries
-
-    stream = spark.readStream.schema(schema).parquet(records_path)
-    planned = plan_retries(decode_dlq_records(stream).where(~F.col("undecodable")), base_ms=base_ms)
-    q = (release_retries(planned).writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint).outputMode("append").trigger(processingTime=trigger).start())
-    t0 = time.time()
-    try:
-        while time.time() - t0 < max_wait_s:
-            time.sleep(1.0)
-            if expected is not None and q.lastProgress is not None:
-                done = spark.read.schema(RELEASED_SCHEMA).parquet(sink_path).count()
-                if done >= expected:
-                    break
-    finally:
-        q.stop()
-    return spark.read.schema(RELEASED_SCHEMA).parquet(sink_path)
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orderstream.operators.retry import PERMANENT, RETRY, decode_dlq_records, plan_retries
+
+MINUTE_MS = 60_000
+_FIELDS = [T.StructField(n, t) for n, t in (
+    ("topic", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("order_id", T.StringType()),
+    ("user_id", T.StringType()), ("value", T.StringType()), ("retry_count", T.LongType()), ("decision", T.StringType()),
+    ("due_ms", T.LongType()))]
+PENDING_SCHEMA = T.StructType([*_FIELDS, T.StructField("due_minute", T.LongType()), T.StructField("batch_id", T.LongType())])
+RELEASED_SCHEMA = T.StructType([*_FIELDS, T.StructField("released_ms", T.LongType()), T.StructField("release", T.StringType())])
+_RANGES_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("release_id", "from_ms", "to_ms")])
+
+
+class ReleaseIncomplete(RuntimeError):
+    """The run ended before every pending record was released."""
+
+
+def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _files(spark, path)
+    return fs.exists(p)
+
+
+def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def with_due_time(planned: DataFrame, now_ms: int | Column) -> DataFrame:
+    """Planned rows in the tables' shape: RETRY rows carry the incremented count and
+    fall due a backoff after ``now_ms``; PERMANENT rows keep their count."""
+    retry = F.col("decision") == RETRY
+    now = F.lit(now_ms).cast("long") if isinstance(now_ms, int) else now_ms
+    due = F.when(F.col("backoff_ms") > F.lit(2 ** 62) - now, F.lit(2 ** 62)).otherwise(now + F.col("backoff_ms"))
+    return planned.select("topic", "partition", "offset", "order_id", "user_id", F.col("value").cast("string").alias("value"),
+                          F.when(retry, F.col("next_retry_count")).otherwise(F.col("retry_count")).alias("retry_count"),
+                          "decision", F.when(retry, due).alias("due_ms"))
+
+
+@dataclass
+class RetryRelease:
+    """The two tables and the releases between them, under one folder."""
+    spark: SparkSession
+    folder: str
+    base_ms: int = 1000
+    clock_ms: Callable[[], int] = lambda: int(time.time() * 1000)
+
+    @property
+    def pending_path(self) -> str:
+        return f"{self.folder}/pending"
+
+    @property
+    def released_path(self) -> str:
+        return f"{self.folder}/released"
+
+    def ingest(self, records: DataFrame, batch_id: int) -> None:
+        """One micro-batch of dead-letter records (a ``foreachBatch`` function)."""
+        folder = f"{self.pending_path}/batch_id={int(batch_id)}"
+        if _exists(self.spark, f"{folder}/_SUCCESS"):
+            return
+        planned = plan_retries(decode_dlq_records(records).where(~F.col("undecodable")), base_ms=self.base_ms)
+        rows = with_due_time(planned, self.clock_ms())
+        retry = rows.where(F.col("decision") == RETRY)
+        at_once = rows.where(F.col("decision") == PERMANENT)
+        _overwrite(at_once.select("*", F.lit(self.clock_ms()).cast("long").alias("released_ms"), F.lit(f"batch-{int(batch_id)}").alias("release")),
+                   self.released_path, "release")
+        (retry.select("*", F.expr(f"due_ms div {MINUTE_MS}").alias("due_minute")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("due_minute").parquet(folder))
+
+    def _last(self) -> tuple[int, int]:
+        """(number of the next release, time up to which rows were released)."""
+        r = _table(self.spark, f"{self.folder}/ranges", _RANGES_SCHEMA).agg(F.max("release_id"), F.max("to_ms")).first()
+        return (0, -1) if r[0] is None else (r[0] + 1, r[1])
+
+    def _waiting(self, since_ms: int) -> DataFrame:
+        fs, root = _files(self.spark, self.pending_path)
+        batches = [s.getPath().toString() for s in fs.listStatus(root)] if fs.exists(root) else []
+        whole = [b for b in batches if _exists(self.spark, f"{b}/_SUCCESS")]
+        p = self.spark.createDataFrame([], PENDING_SCHEMA)
+        if whole:
+            p = self.spark.read.schema(PENDING_SCHEMA).option("basePath", self.pending_path).parquet(*whole)
+        return p.where((F.col("due_minute") >= since_ms // MINUTE_MS) & (F.col("due_ms") > since_ms))
+
+    def release(self) -> int | None:
+        """Release what is due; the time at which the next row falls due, None if nothing is left."""
+        number, since = self._last()
+        now = self.clock_ms()
+        if now > since:
+            due = self._waiting(since).where((F.col("due_minute") <= now // MINUTE_MS) & (F.col("due_ms") <= now))
+            _overwrite(due.select(*[f.name for f in _FIELDS], F.lit(now).cast("long").alias("released_ms"),
+                                  F.lit(f"due-{number}").alias("release")), self.released_path, "release")
+            (self.spark.createDataFrame([(number, since, now)], _RANGES_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(f"{self.folder}/ranges"))
+            since = now
+        return self._waiting(since).agg(F.min("due_ms")).first()[0]
+
+    def released(self) -> DataFrame:
+        return _table(self.spark, self.released_path, RELEASED_SCHEMA)
+
+    def pending(self) -> int:
+        return self._waiting(self._last()[1]).count()
+
+
+def run_release(spark: SparkSession, records_path: str, schema, checkpoint: str, folder: str, *, base_ms: int = 1000,
+                stop: Callable[[], bool] = lambda: False, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Take in all dead-letter records of a folder and release them as they fall
+    due. Ends when nothing is pending. If ``stop`` asks for an earlier end, or the ingest
+    fails, it raises: a partial result is never returned."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    table = RetryRelease(spark, folder, base_ms)
+    query = (reader.parquet(records_path).writeStream.foreachBatch(table.ingest)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()  # raises what the stream failed with
+    while (due := table.release()) is not None:
+        if stop():
+            raise ReleaseIncomplete(f"stopped with {table.pending()} records pending")
+        time.sleep(max(0.0, (due - table.clock_ms()) / 1000))
+    return table.released()

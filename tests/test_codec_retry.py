@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from orderstream.functions.alert_text import alert_payload, dlq_alert_text, permanent_failure_text
-from orderstream.functions.codec import encode_order_json, header_int, retry_header
+from orderstream.functions.codec import encode_order_json, header_int, retry_header, with_headers
 from orderstream.functions.scalar import backoff_ms
 from orderstream.operators.retry import decode_dlq_records, plan_retries, retry_records
 
@@ -35,6 +35,24 @@ def test_backoff_sequence(spark):
     assert spark.range(1).select(backoff_ms(F.lit(3), 500)).first()[0] == 4000
 
 
+def test_backoff_of_odd_counts(spark):
+    df = spark.createDataFrame([(n,) for n in (-3, -1, 0, 52, 53, 60, 4_000_000_000_000)], "retry_count long")
+    df = df.withColumn("record_ts", F.timestamp_millis(F.lit(0)))
+    p = {r["retry_count"]: r for r in plan_retries(df, max_retries=10 ** 13).collect()}
+    assert [p[n]["backoff_ms"] for n in (-3, -1, 0)] == [1000] * 3
+    assert p[52]["backoff_ms"] == 1000 * 2 ** 52 and p[53]["backoff_ms"] == 1000 * 2 ** 53
+    assert p[60]["backoff_ms"] == p[4_000_000_000_000]["backoff_ms"] == 2 ** 63 - 1
+    assert p[60]["next_attempt_at"].year == 9999 and p[-3]["next_retry_count"] == -2
+    assert p[0]["next_attempt_at"].timestamp() == 1
+
+
+def test_headers_are_replaced_and_others_kept(spark):
+    df = spark.createDataFrame([(_h(("retry-count", "1"), ("trace", "x"), ("retry-count", "2")),), (None,), ([],)],
+                               "headers array<struct<key:string,value:binary>>")
+    got = [[(h["key"], bytes(h["value"])) for h in r[0]] for r in df.select(with_headers(F.col("headers"), {"retry-count": F.lit(7)})).collect()]
+    assert got == [[("trace", b"x"), ("retry-count", b"7")], [("retry-count", b"7")], [("retry-count", b"7")]]
+
+
 def test_retry_record_roundtrip(spark):
     ev = spark.createDataFrame([("o1", "u1", 12.5, "PLACED", 1000)],
                                "order_id string, user_id string, amount double, status string, timestamp long")

@@ -43,6 +43,28 @@ def test_rate_edges(spark):
     assert r["rise"][-1] == 30 / 300
 
 
+def test_rate_on_the_grid_and_its_sum(spark):
+    s = _samples(spark, {"a": [(0, 0), (15, 30), (30, 60)], "b": [(7, 5), (22, 8), (37, 2)], "lone": [(0, 4)]})
+    start, end = "2024-01-01 00:00:00", "2024-01-01 00:06:00"
+    g = M.increase_range(s, start, end, 15, 300)
+    of = lambda topic: {int(r["ts"].timestamp()) - T0: r["value"] for r in g.where(F.col("topic") == topic).collect()}
+    a, b = of("a"), of("b")
+    assert a[15] == 30 and a[30] == a[285] == 60 and a[300] == 30  # at 300 s the sample at 0 has left the window
+    assert max(a) == 300 and b[30] == 3 and b[45] == 5 and b[315] == 2 and max(b) == 315
+    assert of("lone") == {}
+    total = {int(r["ts"].timestamp()) - T0: r["value"] for r in M.sum_rate_range(s, start, end, 15, 300).collect()}
+    assert total[45] == (60 + 5) / 300 and total[15] == 30 / 300
+    r = M.rate_range(s, start, end).where("topic = 'a'").orderBy("ts").first()
+    assert r["value"] == 30 / 300
+
+
+def test_bounded_rate_equals_unbounded(spark):
+    s = _samples(spark, {"a": [(t * 15, t * t) for t in range(80)]})
+    whole = M.increase(s, 300).where(F.col("ts") >= F.timestamp_seconds(F.lit(T0 + 600)))
+    part = M.increase(s, 300, start="2024-01-01 00:10:00", end="2024-01-01 00:20:00")
+    assert sorted(whole.select("ts", "increase").collect()) == sorted(part.select("ts", "increase").collect())
+
+
 def test_range_grid_and_lookback(spark):
     s = _samples(spark, {"a": [(0, 1), (40, 2)], "b": [(20, 9)]})
     start, end = "2024-01-01 00:00:00", "2024-01-01 00:06:00"
@@ -90,6 +112,79 @@ def test_alert_flapping_resets(spark):
     assert tl[0]["severity"] == "warning"
 
 
+def test_alerts_at_a_time_know_gone_series(spark):
+    s = _gauge(spark, [(0, 11), (60, 11), (130, 11)])
+    at = lambda t: AL.alert_states(s, [RULE], at=F_ts(t)).collect()
+    assert [r["state"] for r in at(100)] == ["pending"] and [r["state"] for r in at(131)] == ["firing"]
+    assert [r["state"] for r in at(429)] == ["firing"] and at(430) == []  # 300 s old: the series has gone
+    assert [r["state"] for r in AL.alert_states(s, [RULE]).collect()] == ["firing"]
+
+
+def F_ts(t):
+    import datetime as dt
+
+    return dt.datetime.fromtimestamp(T0 + t, dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
+def test_labels_beyond_the_usual_keep_series_apart(spark):
+    rows = [("c", None, "i", job, T0 + t, float(v)) for job, pts in
+            {"x": [(0, 0), (10, 1), (20, 2)], "y": [(5, 100), (15, 100), (25, 100)]}.items() for t, v in pts]
+    df = spark.createDataFrame(rows, "metric string, topic string, instance string, job string, t long, value double")
+    s = df.select("metric", "topic", "instance", "job", F.timestamp_seconds("t").alias("ts"), "value")
+    rule = AL.AlertRule("Grows", "c", ">", 1.5, 0, "warning", "grows", "increase", 300)
+    series = ("metric", "topic", "instance", "job")
+    got = {r["job"]: (r["value"], r["state"]) for r in AL.alert_states(s, [rule], series=series).collect()}
+    assert got == {"x": (2.0, "firing"), "y": (0.0, "inactive")}
+
+
+def test_shipped_rules_as_written(spark):
+    """The shipped rules against expectations written by hand, not taken from the rule list."""
+    one = {
+        "KafkaHighProducerLatency": ("kafka_network_request_metrics_produce_total_time_ms_p99", None, [(0, 11), (120, 11)], "warning"),
+        "KafkaUnderReplicatedPartitions": ("kafka_server_replica_manager_under_replicated_partitions", None, [(0, 1), (60, 1)], "critical"),
+        "KafkaOfflinePartitions": ("kafka_controller_offline_partitions_count", None, [(0, 1), (60, 1)], "critical"),
+        "KafkaNoActiveController": ("kafka_controller_active_controller_count", None, [(0, 0), (60, 0)], "critical"),
+        "FlinkCheckpointFailed": ("flink_jobmanager_job_numberOfFailedCheckpoints", None, [(0, 0), (15, 1), (150, 2), (280, 3), (315, 4)], "critical"),
+        "FlinkCheckpointDurationHigh": ("flink_jobmanager_job_lastCheckpointDuration", None, [(0, 60001), (150, 60001), (300, 60001)], "warning"),
+        "FlinkJobNotRunning": ("flink_jobmanager_job_uptime", None, [(0, 0), (120, 0)], "critical"),
+        "DLQEventsDetected": ("kafka_server_broker_topic_metrics_messages_in_total", "order-events-dlq", [(0, 0), (15, 1), (150, 2), (315, 3)], "warning"),
+        "DLQHighRate": ("kafka_server_broker_topic_metrics_messages_in_total", "order-events-dlq", [(400, 0), (415, 4000), (535, 9000)], "critical"),
+    }
+    rows = [(m, t, name, T0 + x, float(v)) for name, (m, t, pts, _) in one.items() for x, v in pts]
+    df = spark.createDataFrame(rows, "metric string, topic string, instance string, t long, value double")
+    s = df.select("metric", "topic", "instance", F.timestamp_seconds("t").alias("ts"), "value")
+    firing = {(r["alert"], r["instance"]): r["severity"] for r in AL.alert_states(s).where("state = 'firing'").collect()}
+    assert {a: firing.get((a, a)) for a in one} == {a: severity for a, (*_, severity) in one.items()}
+
+
+def test_exact_percentiles_split_and_interpolate(spark):
+    import random
+
+    import numpy as np
+
+    from orderstream.operators.percentiles import exact_percentiles
+
+    rnd = random.Random(1)
+    rows = [("hot", float(rnd.randint(0, 300))) for _ in range(3000)] + [("b", rnd.random()) for _ in range(7)] + [("one", 4.0), ("none", None), (None, 2.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: (r["n"], r["p0"], r["p1"], r["p2"]) for r in exact_percentiles(df, "v", ["k"], (0.5, 0.95, 0.99)).collect()}
+    assert set(got) == {"hot", "b", "one", None}
+    for k in got:
+        v = [x for g, x in rows if g == k and x is not None]
+        assert got[k][0] == len(v)
+        np.testing.assert_allclose(got[k][1:], np.quantile(v, (0.5, 0.95, 0.99)), rtol=1e-12)
+
+
+def test_money_sums_keep_every_amount(spark):
+    from orderstream.operators.windows import windowed_stats
+
+    rows = [("nan", float("nan")), ("nan", 1.0), ("cent", 0.005), ("cent", 0.001), ("large", 1e17), ("large", 1.0)]
+    df = spark.createDataFrame(rows, "user_id string, amount double").withColumn("event_time", F.timestamp_seconds(F.lit(T0)))
+    got = {r["user_id"]: (r["order_count"], r["total_amount"]) for r in windowed_stats(df).collect()}
+    assert got["nan"][0] == 2 and got["nan"][1] != got["nan"][1]
+    assert got["cent"] == (2, 0.006) and got["large"] == (2, 1e17 + 1.0)
+
+
 def test_load_summary_and_slo(spark):
     rows = [(T0 + i, "r", 100, float(i), i == 9) for i in range(10)]
     log = spark.createDataFrame(rows, "t long, request string, batch_size int, duration_ms double, error boolean")

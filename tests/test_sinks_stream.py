@@ -113,3 +113,41 @@ def test_alert_sink_sends_from_executors(spark, tmp_dir):
     sink(df, 0)
     with open(out) as f:
         assert sorted(f.read().splitlines()) == ["a\\nb", "boom", "c"]
+
+
+def test_console_samples_and_summary(spark, tmp_dir):
+    from orderstream.sources.files import console, read_samples, write_summary
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(src, 0, ["to-the-console"])
+    q = console(read_value_stream(spark, src), os.path.join(tmp_dir, "ck"))
+    q.processAllAvailable()
+    q.stop()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1 and q.exception() is None
+
+    s = spark.createDataFrame([("m", None, "i", 1.5)], "metric string, topic string, instance string, value double").select(
+        "metric", "topic", "instance", F.timestamp_seconds(F.lit(5)).alias("ts"), "value")
+    path = os.path.join(tmp_dir, "samples")
+    s.write.parquet(path)
+    assert read_samples(spark, path).collect() == s.collect()
+    assert read_samples(spark, path, streaming=True).isStreaming
+
+    write_summary(s.select("metric", "value"), os.path.join(tmp_dir, "sum"))
+    assert [tuple(r) for r in spark.read.json(os.path.join(tmp_dir, "sum")).select("metric", "value").collect()] == [("m", 1.5)]
+
+
+def test_job_sets_the_state_store_before_it_starts(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    _write(src, 0, [_ev(1000, 5.0)])
+    new = spark.newSession()
+    name = "spark.sql.streaming.stateStore.providerClass"
+    values = new.readStream.format("text").load(src)
+    qs = start_order_job(new, values, KeyedTable(os.path.join(tmp_dir, "out")).write_batch, name="conf",
+                         checkpoint=os.path.join(tmp_dir, "ck"), trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination()
+    assert "RocksDB" in new.conf.get(name)
+    with open(os.path.join(tmp_dir, "ck", "stats", "offsets", "0")) as f:
+        assert "RocksDBStateStoreProvider" in f.read()
