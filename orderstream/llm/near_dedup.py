@@ -3,7 +3,7 @@
 A document is a weighted set of shingles of ``shingle`` consecutive words (ASCII
 letters and digits and everything beyond ASCII, A-Z in lower case; a text of
 fewer words, but not none, is one shingle); a shingle that occurs c times weighs
-1 + ln c. Every shingle is a Poisson process of its weight as rate, driven by its hash:
+1 + ln(c) / 8. Every shingle is a Poisson process of its weight as rate, driven by its hash:
 its arrivals go to random registers, a register keeps the shingle that came
 first, and a process ends early when its next arrival is later than the latest
 register of its document. Two documents agree in a register with the probability
@@ -41,12 +41,15 @@ from orderstream.llm.id_sets import id_number, keep_members, write_id_set
 from orderstream.llm.words import ALNUM, U, hash_batch, mix
 
 REGISTERS, BANDS, ROWS = 256, 28, 6
-#: How far under the threshold an estimate of so many registers may be for a pair
-#: to be verified: more than three standard errors.
+#: How far under the threshold an estimate from the registers, or from the finer sketch of the
+#: second round, may be for a pair to be verified: more than three standard errors.
 FINE_REGISTERS = 1024
+SLACK, FINE_SLACK = 0.1, 0.05
 #: So many shingles still in play or less are few: numpy's own overhead counts more than the arrivals.
 FEW = 2000
-SLACK, FINE_SLACK = 0.1, 0.05
+#: A shingle that occurs 8 times weighs a quarter more than one that occurs once: a text
+#: that repeats a line is told by its other shingles too.
+DAMPING = 8.0
 GOLD = U(0x9E3779B97F4A7C15)
 
 
@@ -81,7 +84,7 @@ def shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
-    return 1.0 + np.log(counts)
+    return 1.0 + np.log(counts) / DAMPING
 
 
 def signatures(x: np.ndarray, w: np.ndarray, starts: np.ndarray, k: int = REGISTERS) -> np.ndarray:

@@ -22,7 +22,7 @@ def words(text):
 def weighted(text, k=5):
     w = words(text)
     grams = [tuple(w[i:i + k]) for i in range(len(w) - k + 1)] or ([tuple(w)] if w else [])
-    return {g: 1 + np.log(grams.count(g)) for g in set(grams)}
+    return {g: 1 + np.log(grams.count(g)) / 8 for g in set(grams)}
 
 
 def pack(s):
