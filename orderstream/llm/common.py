@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -92,19 +93,41 @@ def write_file(uri: str, data) -> None:
     fs.move(part, path)
 
 
-def map_file(uri: str, dtype) -> np.ndarray:
-    """The array in a shared file, memory-mapped. A file outside mounted folders
-    is first copied once to this process's own temporary folder."""
-    import tempfile
-
-    fs, path = filesystem(uri)
-    if not isinstance(fs, pafs.LocalFileSystem):
-        local = os.path.join(tempfile.gettempdir(), uuid.uuid5(uuid.NAMESPACE_URL, uri).hex)
-        if not os.path.exists(local):
-            part = f"{local}.{uuid.uuid4().hex}"
-            pafs.copy_files(path, part, source_filesystem=fs, destination_filesystem=pafs.LocalFileSystem())
-            os.replace(part, local)
-        path = local
-    if os.path.getsize(path) == 0:
-        return np.empty(0, dtype=dtype)
-    return np.memmap(path, dtype=dtype, mode="r")
+class SharedArrays:
+    """Arrays of shared files in a worker process: memory-mapped where the folder is
+    mounted; from other file systems read into memory, the least recently used
+    given up beyond ``READ_BYTES``. A file that isn't there is an empty array."""
+
+    READ_BYTES = 256 << 20
+
+    def __init__(self):
+        self.mapped: dict[str, np.ndarray] = {}
+        self.read: OrderedDict[str, np.ndarray] = OrderedDict()
+
+    def get(self, uri: str, dtype) -> np.ndarray:
+        if uri in self.mapped:
+            return self.mapped[uri]
+        if uri in self.read:
+            self.read.move_to_end(uri)
+            return self.read[uri]
+        fs, path = filesystem(uri)
+        info = fs.get_file_info(path)
+        if info.type != pafs.FileType.File or not info.size:
+            return self._mapped(uri, np.empty(0, dtype))
+        if isinstance(fs, pafs.LocalFileSystem):
+            return self._mapped(uri, np.memmap(path, dtype=dtype, mode="r"))
+        with fs.open_input_file(path) as f:
+            self.read[uri] = np.frombuffer(f.read(), dtype)
+        while len(self.read) > 1 and sum(x.nbytes for x in self.read.values()) > self.READ_BYTES:
+            self.read.popitem(last=False)
+        return self.read[uri]
+
+    def _mapped(self, uri: str, array: np.ndarray) -> np.ndarray:
+        if len(self.mapped) > 20_000:  # open files
+            self.mapped.clear()
+        self.mapped[uri] = array
+        return array
+
+
+#: This process's arrays.
+shared_arrays = SharedArrays()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import map_arrow, map_file, write_file
+from orderstream.llm.common import map_arrow, shared_arrays, write_file
 from orderstream.session import scratch_path
 
 
@@ -37,23 +37,12 @@ class IdSet:
         return out
 
     def _in_shard(self, s: int, ids: np.ndarray) -> np.ndarray:
-        uri = f"{self.folder}/{s}"
-        if uri not in _maps:
-            if len(_maps) > 10_000:
-                _maps.clear()
-            try:
-                _maps[uri] = map_file(uri, np.int64)
-            except FileNotFoundError:  # no id fell in this shard
-                _maps[uri] = np.empty(0, np.int64)
-        keys = _maps[uri]
+        keys = shared_arrays.get(f"{self.folder}/{s}", np.int64)
         if not len(keys):
             return np.zeros(len(ids), bool)
         return keys[np.minimum(np.searchsorted(keys, ids), len(keys) - 1)] == ids
 
 
-_maps: dict[str, np.ndarray] = {}
-
-
 def write_id_set(ids: DataFrame, column: str, name: str) -> IdSet:
     """The ids in ``column``; nulls and repeats don't matter."""
     spark = ids.sparkSession

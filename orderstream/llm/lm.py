@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import map_arrow, map_file, sliced, text_or_empty, write_file
+from orderstream.llm.common import map_arrow, shared_arrays, sliced, text_or_empty, write_file
 from orderstream.llm.words import UNBLANK, U, hash_batch, mix
 from orderstream.session import scratch_path
 
@@ -134,7 +134,7 @@ class Model:
             return (mix(left.astype(U) * U(2) + U(1) + np.where(hot, mix(right.astype(U)), U(0))) & U(self.shards - 1)).astype(np.int64)
 
     def array(self, name: str, dtype) -> np.ndarray:
-        return _mapped(f"{self.folder}/{name}", dtype)
+        return shared_arrays.get(f"{self.folder}/{name}", dtype)
 
     def look_up_words(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id, count) of sorted word hashes; unknown: -1 and 0."""
@@ -179,20 +179,6 @@ class Model:
         return out
 
 
-_maps: dict[str, np.ndarray] = {}
-
-
-def _mapped(uri: str, dtype) -> np.ndarray:
-    if uri not in _maps:
-        if len(_maps) > 20_000:
-            _maps.clear()
-        try:
-            _maps[uri] = map_file(uri, dtype)
-        except FileNotFoundError:  # a shard that no key fell in
-            _maps[uri] = np.empty(0, dtype)
-    return _maps[uri]
-
-
 def _dealt(df: DataFrame, shards: int) -> DataFrame:
     return df.repartition(shards, "shard").sortWithinPartitions("shard")
 
