@@ -47,17 +47,19 @@ SILENT = frozenset("script style noscript template title textarea select svg mat
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
-#: Words in class, id or role that mark boilerplate.
-HINT = re.compile(r"(?:^|[^a-z])(?:ad|ads|advert|advertisement|banner|sponsor(?:ed)?|promo|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|"
-                  r"header|masthead|cookies?|consent|notice|popup|modal|comments?|replies|reply|disqus|share|sharing|social|related|recommended|newsletter|"
-                  r"subscribe|login|search|widget|toolbar|copyright|legal|pagination|pager|tags|meta|byline-links)(?:$|[^a-z])", re.I)
+#: Words in class, id or role that mark boilerplate, as words of their own or anywhere;
+#: readers' comments, whatever element they are in; and what inside an article is a part of it.
+HINT = re.compile(r"(?:^|[^a-z])(?:ads?|banner|promo|side|menu|nav|header|masthead|notice|popup|modal|reply|share|sharing|social|related|"
+                  r"recommended|login|search|widget|toolbar|legal|pager|tags|meta)(?:$|[^a-z])|"
+                  r"advert|sponsor|sidebar|navbar|navigation|breadcrumb|footer|cookie|consent|newsletter|subscribe|copyright|pagination", re.I)
+COMMENT_HINT = re.compile(r"comment|replies|disqus", re.I)
+OWN_HEADER = re.compile(r"(?:^|[^a-z])(?:header|masthead)(?:$|[^a-z])", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[a-zA-Z/]|[!?])(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+>?", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:_-]*)")
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 IMPLIED_END = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")),
                "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")), "option": frozenset(("option",))}
 LEAFY = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre blockquote".split())
-STATE = ("none", "content", "boiler")
 MARKS = 3  # the first features are the surroundings
 
 
@@ -74,7 +76,8 @@ def read_blocks(html: str) -> list[Block]:
     """The page's blocks with their innermost landmark, tag, parent element and linked characters."""
     blocks: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # (tag, state, number of the element)
+    # (tag, state, number of the element); state 3: boilerplate by a name, which an article inside overrules
+    stack: list[tuple[str, int, int]] = [("", 0, 0)]
     open_count: dict[str, int] = {}
     link = linked = number = 0
 
@@ -89,7 +92,7 @@ def read_blocks(html: str) -> list[Block]:
                 tag = stack[k][0]
                 while k and stack[k][0] in LEAFY:
                     k -= 1
-                blocks.append(Block(text, stack[-1][1], tag, stack[k][2], min(linked, len(text))))
+                blocks.append(Block(text, min(stack[-1][1], 2), tag, stack[k][2], min(linked, len(text))))
         linked = 0
 
     def pop() -> str:
@@ -142,15 +145,18 @@ def read_blocks(html: str) -> list[Block]:
             pop()
         state = stack[-1][1]
         if tag in CONTENT_TAGS:
-            state = 1 if state != 2 else 2
+            state = 2 if state == 2 else 1  # a wrapper's name doesn't speak for the article inside
         elif tag in BOILER_TAGS or tag == "header" and state != 1:
             state = 2
         elif tag == "body":
             state = 0
         if state != 2 and tag not in ("html", "body") and "=" in m.group():
             for v in _MARKS.findall(m.group()):
-                if HINT.search(v[0] or v[1] or v[2]):
+                words = v[0] or v[1] or v[2]
+                if COMMENT_HINT.search(words):
                     state = 2
+                elif state < 2 and tag not in CONTENT_TAGS and HINT.search(OWN_HEADER.sub(" ", words) if state == 1 else words):
+                    state = 3
         number += 1
         stack.append((tag, state, number))
         open_count[tag] = open_count.get(tag, 0) + 1

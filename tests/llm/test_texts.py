@@ -183,6 +183,15 @@ def test_blocks_of_odd_html():
         html_main.Model(html_main.prior_weights(), html_main.prior_weights()).extract(long)
 
 
+def test_surroundings():
+    state = lambda h: [(b.text, b.state) for b in html_main.read_blocks(h)]
+    assert state("<div class='layout with-sidebar'><article class=post><div class=article-header><h1>T</h1></div><p>a</p>"
+                 "<aside>x</aside><div class='commentlist'><article>c</article></div><p>b</p><div class=share-bar>s</div></article><p>r</p></div>") == [
+        ("T", 1), ("a", 1), ("x", 2), ("c", 2), ("b", 1), ("s", 2), ("r", 2)]
+    assert state("<header><h1>Site</h1></header><main><header><h1>T</h1></header>a<footer>f</footer></main><nav>n</nav>z") == [
+        ("Site", 2), ("T", 1), ("a", 1), ("f", 2), ("n", 2), ("z", 0)]
+
+
 def test_html_cases(spark):
     df = spark.createDataFrame([(1, "u", None, 0), (2, None, "", 0), (3, "u", "just text", 0), (3, "u", "just text", 0)], "page_id long, url string, html string, text int")
     m = html_main.fit(df)
