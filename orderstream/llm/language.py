@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import map_arrow, sliced
+from orderstream.llm.common import map_arrow, sliced, written
+from orderstream.llm.id_sets import id_number, keep_members, write_id_set
 from orderstream.llm.words import U, buffers, mix
 
 BUCKETS, DIMENSIONS = 1 << 16, 16
 MAX_TEXTS = 500
 EPOCHS, RATE, PART = 6, 0.5, (8, 400)
+RANK_PARTS = 16  # parts of a language that are ranked on their own first
 CALIBRATION_SHARE = 5  # every fifth sample text isn't trained on
 PRECISION = 0.99  # wanted among the texts that aren't rejected
 UNKNOWN = "und"
@@ -144,13 +146,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Learn from ``docs``; the caller leaves out what is held out."""
     d = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"),
                     F.col(f"`{lang_col}`").cast("string").alias("lang")).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    draw = F.xxhash64("id", F.lit(seed))
-    # the smallest draws of each language, first thinned by its count so that no language meets in one task
-    counts = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    thin = (d.select("id", "lang", draw.alias("draw")).join(counts, "lang")
-            .where(F.pmod("draw", F.lit(1 << 30)) < F.least(F.lit(1.0), 4.0 * max_texts / F.col("n") + 1e-6) * (1 << 30)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id"))
-    chosen = thin.withColumn("place", place).where(F.col("place") <= max_texts).select("id", "lang").distinct()
+    # the smallest draws of each language, first within parts of it: a language that
+    # holds most texts is ranked by many tasks, each of which passes on max_texts at most
+    drawn = d.select("id", "lang", F.xxhash64("id", F.lit(seed)).alias("draw"), F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(RANK_PARTS)).alias("part"))
+    for own in (("lang", "part"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*own).orderBy("draw", "id"))
+        drawn = drawn.withColumn("place", place).where(F.col("place") <= max_texts)
+    chosen = drawn.select("id", "lang").distinct()
 
     def take(batches):
         for batch in sliced(batches, "text", 1 << 20):
@@ -158,7 +160,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(
                 [b[at[i]:at[i + 1]].astype(np.uint16).tobytes() for i in range(batch.num_rows)], pa.binary())], names=["id", "lang", "subwords"])
 
-    sample = map_arrow(d.join(chosen, ["id", "lang"], "left_semi"), take, "id string, lang string, subwords binary")
+    # picked where they are read: a join would move every text to find these few
+    chosen = written(docs.sparkSession, chosen, "language-sample")
+    picked = keep_members(d.withColumn("number", id_number(F.col("id"), "string")), "number", write_id_set(chosen, "id", "language-ids")).drop("number")
+    sample = map_arrow(picked.join(chosen, ["id", "lang"], "left_semi"), take, "id string, lang string, subwords binary")
     rows = sorted(sample.toLocalIterator(), key=lambda r: (r.lang, r.id))  # max_texts a language
     languages = sorted({r.lang for r in rows})
     if not languages:
