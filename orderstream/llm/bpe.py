@@ -24,7 +24,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -42,6 +42,7 @@ NUMERAL = "0-9\xb2\xb3\xb9\xbc-\xbe"
 CONTRACTION = "'(?:s|t|re|ve|m|ll|d)"
 NARROW = re.compile(f"[{LETTER}]+|{CONTRACTION}|[{NUMERAL}]|[^{SPACE}{LETTER}{NUMERAL}]+")
 BEYOND = re.compile("[^\x00-ɏ]")
+SHORT = 48  # symbols of a fragment for which single merges are the faster way
 
 
 @lru_cache(maxsize=1)
@@ -88,6 +89,7 @@ class Encoder:
         self.ranks = {pair: i for i, pair in enumerate(merges)}
         self.special = special
         self.letters = byte_letters()
+        self.id_of = {t: str(i) for t, i in vocab.items()}
         self.inside = {pair for t in vocab for s in [self.symbols(t)] for pair in zip(s, s[1:])}
         self.token_of = {str(i): t for t, i in [*vocab.items(), *special.items()]}
         self.fragments = Remembered(self.merge, remember // 4)
@@ -101,11 +103,26 @@ class Encoder:
             return (*body[:-1], body[-1] + MARK)
         return tuple(token)
 
-    def merge(self, fragment: tuple[str, ...]) -> str:
+    def merge(self, fragment: Sequence[str]) -> str:
         """Ids of one fragment, joined by a space."""
         parts, ranks = list(fragment), self.ranks
         none = len(ranks)
-        while len(parts) > 1:
+        if len(parts) <= SHORT:  # one merge at a time; only the ranks beside it change
+            rank_of = ranks.get
+            rank = [rank_of(p, none) for p in zip(parts, parts[1:])]
+            while rank:
+                best = min(rank)
+                if best == none:
+                    break
+                i = rank.index(best)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                del rank[i]
+                if i:
+                    rank[i - 1] = rank_of((parts[i - 1], parts[i]), none)
+                if i < len(rank):
+                    rank[i] = rank_of((parts[i], parts[i + 1]), none)
+            return " ".join([self.id_of[p] for p in parts])
+        while len(parts) > 1:  # all places of the best pair at a time
             best = min(zip(parts, parts[1:]), key=lambda p: ranks.get(p, none))
             if best not in ranks:
                 break
@@ -118,7 +135,7 @@ class Encoder:
                     out.append(parts[i])
                     i += 1
             parts = out
-        return " ".join([str(self.vocab[p]) for p in parts])
+        return " ".join([self.id_of[p] for p in parts])
 
     def cut(self, symbols: list[str]) -> list[tuple[str, ...]]:
         inside, out, start = self.inside, [], 0
@@ -132,6 +149,8 @@ class Encoder:
     def word(self, word: str) -> str:
         s = [self.letters[b] for b in word.encode("utf-8", "replace")]
         s[-1] += MARK
+        if self.inside.issuperset(zip(s, s[1:])):  # no cut, as in most words
+            return self.merge(s)
         return " ".join([self.fragments[f] for f in self.cut(s)])
 
     def words_of(self, text: str) -> list[str]:
