@@ -216,10 +216,10 @@ def _first_shared_band(x: str, y: str) -> Column:
     return out
 
 
-def _verified(spark, pairs: DataFrame, texts: DataFrame, key: str, shingle: int, threshold: float) -> DataFrame:
-    t = texts
-    both = (pairs.join(t.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(t.select(F.col("v").alias("b"), F.col("text").alias("text_b")), "b")
+def _verified(pairs: DataFrame, texts: DataFrame, key: str, shingle: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose whole texts reach the threshold."""
+    both = (pairs.join(texts.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a")
+            .join(texts.select(F.col("v").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
     return map_arrow(both, lambda it: _verify(it, shingle, threshold), f"a {key}, b {key}")
 
@@ -231,8 +231,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     key = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
-    signed = written(spark, map_arrow(d, 
-        lambda it: _sign(it, shingle), f"id {key}, key1 long, key2 long, bands array<bigint>, sketch array<bigint>"), "near-signed")
+    signed = written(spark, map_arrow(d, lambda it: _sign(it, shingle),
+                                      f"id {key}, key1 long, key2 long, bands array<bigint>, sketch array<bigint>"), "near-signed")
 
     # one vertex for each word sequence, named by its smallest id
     vertex = written(spark, signed.where("key1 IS NOT NULL").groupBy("key1", "key2").agg(F.min("id").alias("v")), "near-vertices")
@@ -258,7 +258,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     likely = (star.join(sketch.select(F.col("v").alias("a"), F.col("sketch").alias("sa")), "a")
               .join(sketch.select(F.col("v").alias("b"), F.col("sketch").alias("sb")), "b")
               .where(_agreement("sa", "sb", REGISTERS) >= threshold - SLACK).select("a", "b"))
-    links = written(spark, _verified(spark, likely, texts, key, shingle, threshold), "near-links")
+    links = written(spark, _verified(likely, texts, key, shingle, threshold), "near-links")
     comp = connected_components(links)
 
     # second round: where a bucket still shows several components, members outside
@@ -281,7 +281,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        & (_first_shared_band("bu", "bw") == F.col("band")))
              .select(F.least("u", "w").alias("a"), F.greatest("u", "w").alias("b")).distinct())
     cross = cross.join(likely, ["a", "b"], "left_anti")
-    more = written(spark, _verified(spark, cross, texts, key, shingle, threshold), "near-more-links")
+    more = written(spark, _verified(cross, texts, key, shingle, threshold), "near-more-links")
     comp = connected_components(links.unionByName(more), known=comp)
 
     named = (vertex.join(comp, "v", "left")
