@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderstream.schema import CORRUPT_COL, ORDER_EVENT, ORDER_EVENT_WITH_CORRUPT, RETRY_HEADER
+from orderstream.schema import CORRUPT_COL, ORDER_EVENT_WITH_CORRUPT, RETRY_HEADER
 
 
 def _col(c) -> Column:
