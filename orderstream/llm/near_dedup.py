@@ -7,15 +7,17 @@ fewer words, but not none, is one shingle); a shingle that occurs c times weighs
 its arrivals go to random registers, a register keeps the shingle that came
 first, and a process ends early when its next arrival is later than the latest
 register of its document. Two documents agree in a register with the probability
-of their probability Jaccard similarity.
+of their probability Jaccard similarity. A document with repeated shingles has a second,
+plain set of registers in which every shingle weighs 1, so that two documents agree there
+with the probability of their plain Jaccard similarity; without repeats the two sets are equal.
 
-Candidates agree in a whole band of registers. Texts of the same word sequence
+Candidates agree in a whole band of registers, weighted or plain. Texts of the same word sequence
 are one vertex from the start. In each band bucket every vertex is first held against
 one centre, the member that shares most buckets with others, so a group of m near
 copies costs about m verifications. Only members whose bucket then still shows
 several components are held against the members of the other components, with
-the agreement of finer sketches as a join condition; what is already
-connected isn't compared again, and no other pair is left out. Links are verified
+the agreement of finer sketches, weighted or plain, as a join condition; what is already
+connected or verified isn't compared again, and no other pair is left out. Links are verified
 on whole texts: the exact probability Jaccard, or the plain Jaccard of the shingle sets,
 reaches the threshold. Classes are the connected components of the links.
 
@@ -131,18 +133,50 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
 
 def sketches(sig: np.ndarray) -> np.ndarray:
     """Two bits of each register, 32 registers to a 64-bit word."""
-    bits = (mix(sig) & U(3)).reshape(len(sig), -1, 32)
+    bits = (mix(sig) & U(3)).reshape(len(sig), sig.shape[1] // 32, 32)
     return np.bitwise_or.reduce(bits << (U(2) * np.arange(32, dtype=U)), axis=2)
 
 
+def repeating(counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether a text has a shingle that occurs more than once: only there plain registers differ."""
+    more = np.concatenate([[0], np.cumsum(counts > 1)])
+    return more[starts[1:]] > more[starts[:-1]]
+
+
+def plain_signatures(x: np.ndarray, starts: np.ndarray, texts: np.ndarray, k: int = REGISTERS) -> np.ndarray:
+    """Registers of the texts marked in ``texts`` with every shingle of weight 1."""
+    n = np.diff(starts)
+    own = x[np.repeat(texts, n)]
+    return signatures(own, np.ones(len(own)), np.concatenate([[0], np.cumsum(n[texts])]), k)
+
+
 def _lists(rows: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(pa.array(rows.view(np.int64).ravel()), rows.shape[1]).cast(pa.list_(pa.int64()))
 
 
+def _lists_where(rows: np.ndarray, where: np.ndarray) -> pa.Array:
+    """The rows at the places marked in ``where``, null elsewhere."""
+    at = np.where(where, np.cumsum(where) - 1, 0)
+    return _lists(rows).take(pa.array(at, mask=~where))
+
+
+def _buckets(bands: np.ndarray, plain: np.ndarray, where: np.ndarray) -> pa.Array:
+    """The bands of each text, with the plain ones that differ."""
+    also = np.zeros_like(bands)
+    also[where] = plain
+    keep = np.ones((len(bands), 2 * BANDS), bool)
+    keep[:, BANDS:] = where[:, None] & (also != bands)
+    ends = np.concatenate([[0], np.cumsum(keep.sum(axis=1))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([bands, also], axis=1)[keep].view(np.int64)))
+
+
 def _sign_finely(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text"):
         x, c, starts, _ = shingles(batch.column("text"), k)
-        yield pa.RecordBatch.from_arrays([batch.column("v"), _lists(sketches(signatures(x, weights(c), starts, FINE_REGISTERS)))], names=["v", "fine"])
+        again = repeating(c, starts)
+        plain = _lists_where(sketches(plain_signatures(x, starts, again, FINE_REGISTERS)), again)
+        yield pa.RecordBatch.from_arrays([batch.column("v"), _lists(sketches(signatures(x, weights(c), starts, FINE_REGISTERS))), plain],
+                                         names=["v", "fine", "fine_plain"])
 
 
 def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -151,13 +185,16 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         sig = signatures(x, weights(c), starts)
         n = len(sig)
         empty = pa.array(np.diff(starts) == 0)
-        bands = _lists(band_hashes(sig))
+        again = repeating(c, starts)
+        plain = plain_signatures(x, starts, again)
+        bands = _buckets(band_hashes(sig), band_hashes(plain), again)
         sketch = _lists(sketches(sig))
         none = pa.nulls(n, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pc.if_else(empty, none, pa.array(keys[:, 0].view(np.int64))),
-             pc.if_else(empty, none, pa.array(keys[:, 1].view(np.int64))), bands, sketch],
-            names=["id", "key1", "key2", "bands", "sketch"])
+             pc.if_else(empty, none, pa.array(keys[:, 1].view(np.int64))), bands, sketch,
+             _lists_where(sketches(plain), again)],
+            names=["id", "key1", "key2", "bands", "sketch", "plain"])
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
@@ -208,12 +245,19 @@ def _agreement(x: str, y: str, registers: int) -> Column:
     return (F.lit(1.0) - differ / F.lit(float(registers)) - 0.25) / 0.75
 
 
-def _first_shared_band(x: str, y: str) -> Column:
-    """The first band in which two vertices agree, so that a pair is taken from one bucket only."""
-    out = F.when(F.col(x)[0] == F.col(y)[0], F.lit(0))
-    for i in range(1, BANDS):
-        out = out.when(F.col(x)[i] == F.col(y)[i], F.lit(i))
-    return out
+def _likely(a: str, b: str, registers: int, least: float) -> Column:
+    """Whether the weighted or the plain estimate of columns named after ``a`` and ``b`` is at least ``least``."""
+    plain = (F.col(f"repeats_{a}") | F.col(f"repeats_{b}")) & (_agreement(f"plain_{a}", f"plain_{b}", registers) >= least)
+    return (_agreement(f"sketch_{a}", f"sketch_{b}", registers) >= least) | plain
+
+
+def _sketch_of(v: str, sketch: str, plain: str) -> list[Column]:
+    return [F.col(sketch).alias(f"sketch_{v}"), F.coalesce(plain, sketch).alias(f"plain_{v}"), F.col(plain).isNotNull().alias(f"repeats_{v}")]
+
+
+def _first_shared(x: str, y: str) -> Column:
+    """The lowest bucket that two vertices share, so that a pair is taken from one bucket only."""
+    return F.array_min(F.array_intersect(x, y))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, key: str, shingle: int, threshold: float) -> DataFrame:
@@ -232,13 +276,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     key = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
     signed = written(spark, map_arrow(d, lambda it: _sign(it, shingle),
-                                      f"id {key}, key1 long, key2 long, bands array<bigint>, sketch array<bigint>"), "near-signed")
+                                      f"id {key}, key1 long, key2 long, bands array<bigint>, sketch array<bigint>, plain array<bigint>"), "near-signed")
 
     # one vertex for each word sequence, named by its smallest id
     vertex = written(spark, signed.where("key1 IS NOT NULL").groupBy("key1", "key2").agg(F.min("id").alias("v")), "near-vertices")
     reps = (signed.join(vertex.where("v IS NOT NULL"), ["key1", "key2"]).where("id = v")
-            .select("v", "bands", "sketch"))
-    rows = reps.select("v", F.posexplode("bands").alias("band", "bucket"))
+            .select("v", "bands", "sketch", "plain"))
+    rows = reps.select("v", F.explode("bands").alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(spark, rows.join(sizes, "bucket"), "near-buckets")
     members = shared.select("v").distinct()
@@ -255,30 +299,31 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     centres = ranked.groupBy("bucket").agg(F.max_by("v", "rank").alias("centre"))
     star = (shared.join(centres, "bucket").where("v != centre")
             .select(F.least("v", "centre").alias("a"), F.greatest("v", "centre").alias("b")).distinct())
-    likely = (star.join(sketch.select(F.col("v").alias("a"), F.col("sketch").alias("sa")), "a")
-              .join(sketch.select(F.col("v").alias("b"), F.col("sketch").alias("sb")), "b")
-              .where(_agreement("sa", "sb", REGISTERS) >= threshold - SLACK).select("a", "b"))
+    likely = (star.join(sketch.select(F.col("v").alias("a"), *_sketch_of("a", "sketch", "plain")), "a")
+              .join(sketch.select(F.col("v").alias("b"), *_sketch_of("b", "sketch", "plain")), "b")
+              .where(_likely("a", "b", REGISTERS, threshold - SLACK)).select("a", "b"))
     links = written(spark, _verified(likely, texts, key, shingle, threshold), "near-links")
     comp = connected_components(links)
 
     # second round: where a bucket still shows several components, members outside
-    # the centre's component against the members of all other components
-    labelled = (shared.select("bucket", "band", "v").join(comp, "v", "left")
-                .select("bucket", "band", "v", F.coalesce("component", "v").alias("c")))
+    # the centre's component against the members of all other components, the centre too:
+    # a pair that the first round's sketches refused is told by the finer ones
+    labelled = (shared.select("bucket", "v").join(comp, "v", "left")
+                .select("bucket", "v", F.coalesce("component", "v").alias("c")))
     mixed = labelled.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("bucket")
     open_rows = written(spark, labelled.join(mixed, "bucket").join(centres, "bucket"), "near-open")
-    fine = map_arrow(texts.join(open_rows.select("v").distinct(), "v", "left_semi"), lambda it: _sign_finely(it, shingle), f"v {key}, fine array<bigint>")
+    fine = map_arrow(texts.join(open_rows.select("v").distinct(), "v", "left_semi"), lambda it: _sign_finely(it, shingle), f"v {key}, fine array<bigint>, fine_plain array<bigint>")
     fine = written(spark, fine.join(sketch.select("v", "bands"), "v"), "near-fine")
     open_rows = written(spark, open_rows.join(fine, "v"), "near-open-signed")
     main = open_rows.where("v = centre").select("bucket", F.col("c").alias("main"))
     rest = open_rows.join(main, "bucket").where("c != main").select(
-        "bucket", "band", F.col("v").alias("u"), F.col("c").alias("cu"), F.col("fine").alias("fu"), F.col("bands").alias("bu"))
-    right = open_rows.join(main, "bucket").where("v != centre").select(
-        "bucket", F.col("v").alias("w"), F.col("c").alias("cw"), F.col("fine").alias("fw"), F.col("bands").alias("bw"), "main")
+        "bucket", F.col("v").alias("u"), F.col("c").alias("cu"), F.col("bands").alias("bu"), *_sketch_of("u", "fine", "fine_plain"))
+    right = open_rows.join(main, "bucket").select(
+        "bucket", F.col("v").alias("w"), F.col("c").alias("cw"), F.col("bands").alias("bw"), "main", *_sketch_of("w", "fine", "fine_plain"))
     cross = (rest.join(right, (rest["bucket"] == right["bucket"]) & (F.col("cu") != F.col("cw"))
                        & ((F.col("cw") == F.col("main")) | (F.col("u") < F.col("w")))
-                       & (_agreement("fu", "fw", FINE_REGISTERS) >= threshold - FINE_SLACK)
-                       & (_first_shared_band("bu", "bw") == F.col("band")))
+                       & _likely("u", "w", FINE_REGISTERS, threshold - FINE_SLACK)
+                       & (_first_shared("bu", "bw") == rest["bucket"]))
              .select(F.least("u", "w").alias("a"), F.greatest("u", "w").alias("b")).distinct())
     cross = cross.join(likely, ["a", "b"], "left_anti")
     more = written(spark, _verified(cross, texts, key, shingle, threshold), "near-more-links")

@@ -154,3 +154,30 @@ def test_query_over_the_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in queries.op7_minhash(spark, SF001).collect()}
     assert got == brute_classes([d for d in docs])
+
+
+def test_passages_repeated_in_one_text_only(spark):
+    rnd = random.Random(29)
+    docs = []
+    for i in range(60):
+        base = [f"d{i}w{j}" for j in range(204)]
+        passage = [f"d{i}p{j}" for j in range(rnd.randint(40, 45))]
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base + passage * (20, 100, 1000)[i % 3]))]
+    for (_, a), (_, b) in zip(docs[:6:2], docs[1:6:2]):
+        x, y = weighted(a).keys(), {tuple(g) for w in [words(b)] for g in zip(*(w[j:] for j in range(5)))}
+        assert 0.8 <= len(x & y) / len(x | y) < 0.82
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in nd.near_classes(df).collect()} == {i: i - i % 2 for i, _ in docs}
+
+
+def test_plain_registers_only_where_shingles_repeat():
+    texts = pa.array([b"a b c d e f g", b"", b"a b c d e f " * 9, b"x"], pa.binary())
+    x, c, starts, _ = nd.shingles(texts, 5)
+    again = nd.repeating(c, starts)
+    assert again.tolist() == [False, False, True, False]
+    plain = nd.plain_signatures(x, starts, again)
+    assert (plain == nd.signatures(x, np.ones(len(x)), starts)[again]).all()
+    sig = nd.signatures(x, nd.weights(c), starts)
+    buckets = nd._buckets(nd.band_hashes(sig), nd.band_hashes(plain), again).to_pylist()
+    assert [len(b) for b in buckets][:2] == [nd.BANDS] * 2 and len(buckets[2]) > nd.BANDS and all(len(b) == len(set(b)) for b in buckets)
+    assert [r is None for r in nd._lists_where(nd.sketches(plain), again).to_pylist()] == [True, True, False, True]
