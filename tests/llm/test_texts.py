@@ -82,6 +82,16 @@ def test_model_adds_rewritten_values_and_little_else(pii_rows):
         assert model.added(t, pii.base_spans(t)) == []
 
 
+def test_written_addresses_are_proposed_without_an_at_sign_nearby():
+    rng = np.random.default_rng(1)
+    forms = {pii._rewritten("john.doe@mail.example.com", 0, rng) for _ in range(400)} - {"john.doe@mail.example.com"}
+    forms = {f for f in forms if "@" not in f}
+    assert len(forms) == 16
+    for f in [*forms, "john at example.com", "john at example[.]com", "john [AT] example.com", "john (AT) example (DOT) com",
+              "john {at} example{dot}com", "john ( at ) example.com"]:
+        assert (0, 9, 9 + len(f)) in list(pii.candidates(f"write to {f}, soon")), f
+
+
 def test_pii_cases(spark):
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "é😀 a@b.co", 0), (3, "é😀 a@b.co", 0)], "doc_id long, text string, spans int")
     got = sorted((r.doc_id, [tuple(s) for s in r.spans]) for r in pii.find(df, pii.Model()).collect())
