@@ -92,6 +92,28 @@ def test_written_addresses_are_proposed_without_an_at_sign_nearby():
         assert (0, 9, 9 + len(f)) in list(pii.candidates(f"write to {f}, soon")), f
 
 
+def test_a_rare_kind_is_learnt_in_a_large_table(spark):
+    rnd = random.Random(8)
+    docs = []
+    for i in range(3000):
+        if i % 75 == 0:
+            docs.append((i, f"note {i} mail ann{i}@host{rnd.randint(1, 99)}.example.com for more"))
+        else:
+            docs.append((i, f"order {rnd.randint(10**7, 10**8)} of lot {rnd.randint(1, 9)} came at noon"))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    model = pii.fit(df, max_texts=60)
+    assert model.thresholds[0] <= 1
+    for t in ("mail jo@x.example.com or bob (at) corp (dot) example (dot) com", "write to ann [at] host7[.]example[.]com"):
+        assert any(k == 0 for k, *_ in model.added(t, pii.base_spans(t)))
+
+
+def test_shares_leave_small_groups_whole():
+    assert pii.level({0: 10, 4: 5}, 100) == {0: 1.0, 4: 1.0}
+    got = pii.level({0: 1000, 1: 10, 4: 500}, 110)
+    assert got[1] == 1.0 and got[0] == pytest.approx(0.05) and got[4] == pytest.approx(0.1)
+    assert pii.level({}, 5) == {}
+
+
 def test_pii_cases(spark):
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "é😀 a@b.co", 0), (3, "é😀 a@b.co", 0)], "doc_id long, text string, spans int")
     got = sorted((r.doc_id, [tuple(s) for s in r.spans]) for r in pii.find(df, pii.Model()).collect())
