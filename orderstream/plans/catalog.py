@@ -26,7 +26,7 @@ from orderstream.operators.validate import decode_events, status_is, tag_events
 from orderstream.operators.windows import guarded_filter, windowed_stats, with_event_watermark
 from orderstream.plans import fixtures as FX
 from orderstream.schema import MAX_RETRIES, ORDER_EVENT, REASON_HEADER, USER_ORDER_STATS
-from orderstream.session import apply_core_conf, scratch_path
+from orderstream.session import apply_core_conf, scratch_path, table_path
 from orderstream.sources.files import dlq_archive, read_samples, read_value_stream, write_summary, write_values
 from orderstream.sources.kafka import as_dlq_records, partition_by_key
 from orderstream.sources.notify import AlertSink
@@ -57,17 +57,29 @@ def order_stats(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> Da
     return windowed_stats(_placed_valid(FX.order_events(spark, sf_dir, dense=True)), width=width, exact=True)
 
 
-_STORED: dict[tuple[str, str], KeyedTable] = {}
+_STORED: dict[tuple[str, str], tuple[list, KeyedTable]] = {}
+
+
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time of change) of the files under a path of any store."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
 
 
 def stored_stats(spark: SparkSession, sf_dir: str) -> KeyedTable:
-    """The result table as the dashboards read it: written once a session and input."""
+    """The result table as the dashboards read it: written once a session and state of the input's files."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
+    files = _files(spark, table_path(sf_dir, "events"))
+    if key not in _STORED or _STORED[key][0] != files:
         table = KeyedTable(scratch_path(spark, "user-order-stats"))
         table.write_batch(order_stats(spark, sf_dir), 0)
-        _STORED[key] = table
-    return _STORED[key]
+        _STORED[key] = files, table
+    return _STORED[key][1]
 
 
 # ---- validation and routing ------------------------------------------------

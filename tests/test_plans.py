@@ -89,3 +89,16 @@ def test_alert_states_scan_once_and_take_fewer_exchanges(spark):
     samples = spark.createDataFrame([], METRIC_SAMPLE)
     plan = alert_states(samples, at="2024-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 3
+
+
+def test_dashboards_follow_a_table_rewritten_at_its_path(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    here = str(tmp_path / "here")
+    events.where("event_id % 2 = 0").write.parquet(f"{here}/events.parquet")
+    first = QUERIES["kpi_global"](spark, here).collect()
+    assert QUERIES["kpi_global"](spark, here).collect() == first
+    events.write.mode("overwrite").parquet(f"{here}/events.parquet")
+    there = str(tmp_path / "there")
+    events.write.parquet(f"{there}/events.parquet")
+    want = QUERIES["kpi_global"](spark, there).collect()
+    assert want != first and QUERIES["kpi_global"](spark, here).collect() == want
