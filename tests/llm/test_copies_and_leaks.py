@@ -28,7 +28,7 @@ def frame(spark, values, schema="doc_id long, text string, hash string, kept int
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF01)
     want = con.execute(queries.SQL[name])
