@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,16 @@ def with_event_watermark(df: DataFrame, event_time: str = "event_time", delay: s
     return df.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
 
 
+def watermark_by_split(splits: Sequence[DataFrame], event_time: str = "event_time", delay: str = "5 seconds") -> DataFrame:
+    """One stream of several splits (topic partitions), each with a watermark of its own.
+
+    Over a union Spark goes by the smallest of the watermarks (its default policy, ``spark.sql.streaming.multipleWatermarkPolicy`` = min),
+    so a split that lags behind the others loses no rows; a row is late if it lies behind its
+    slowest split. A split without any rows yet holds all windows open.
+    """
+    return functools.reduce(DataFrame.unionByName, [with_event_watermark(s, event_time, delay) for s in splits])
+
+
 def windowed_stats(df: DataFrame, key: str = "user_id", event_time: str = "event_time",
                    width: str = "1 minute", amount: str = "amount", exact: bool = False,
                    extra_aggs: list[Column] | None = None) -> DataFrame:

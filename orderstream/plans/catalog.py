@@ -8,12 +8,15 @@ Timestamps leave as zone-less values (``timestamp_ntz``).
 from __future__ import annotations
 
 import functools
+import itertools
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderstream.functions.alert_text import alert_payload, dlq_alert_text
-from orderstream.functions.codec import encode_order_json
+from orderstream.functions.codec import encode_order_json, header_int
 from orderstream.functions.metric_names import parse_metric_names
 from orderstream.functions.scalar import band, from_epoch_s, naive, sample_value
 from orderstream.operators import alerts as AL
@@ -25,13 +28,14 @@ from orderstream.operators.upsert import dedup_first, dedup_streaming, upsert_la
 from orderstream.operators.validate import decode_events, status_is, tag_events
 from orderstream.operators.windows import guarded_filter, windowed_stats, with_event_watermark
 from orderstream.plans import fixtures as FX
-from orderstream.schema import MAX_RETRIES, ORDER_EVENT, REASON_HEADER, USER_ORDER_STATS
+from orderstream.schema import MAX_RETRIES, ORDER_EVENT, REASON_HEADER, TOPIC_RECORD, USER_ORDER_STATS
 from orderstream.session import apply_core_conf, scratch_path, table_path
 from orderstream.sources.files import dlq_archive, read_samples, read_value_stream, write_summary, write_values
 from orderstream.sources.kafka import as_dlq_records, partition_by_key
 from orderstream.sources.notify import AlertSink
+from orderstream.sources.once import OnceTable
 from orderstream.sources.tables import KeyedTable
-from orderstream.streaming.job import dlq_plan, order_stats_plan, tagged_events
+from orderstream.streaming.job import dlq_plan, order_stats_plan, start_split_job, tagged_events
 
 # Fixed query parameters.
 TOP_N = 20
@@ -381,6 +385,162 @@ def q_stream_retry_release(spark, sf_dir):
     return rel.select("offset", "order_id", "user_id", "retry_count", "decision")
 
 
+class _Broken(RuntimeError):
+    """The forced end of a job in a query that shows how it goes on."""
+
+
+def _until_broken(query) -> None:
+    """Waits for a query that is to end with ``_Broken``; any other failure is raised."""
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as e:
+        if "_Broken" not in str(e):
+            raise
+
+
+def _parts_by_offset(records: DataFrame, path: str, parts: int = STREAM_PARTS) -> None:
+    """The records as ``parts`` lots of Parquet files under ``path``, dealt by offset."""
+    for i in range(parts):
+        records.where(F.expr(f"offset div 50 % {parts}") == i).coalesce(1).write.mode("append").parquet(path)
+
+
+def q_stream_retry_continuous(spark, sf_dir):
+    """Dead letters through the running retry service on a hand-driven clock: they arrive in four files, while a second
+    thread of work releases what has fallen due and publishes it to the order topic's table; then the clock
+    jumps from one due time to the next. Every republished record and every permanent failure, each once."""
+    from orderstream.streaming.retry_release import RETRY_RECORD, RetryRelease
+
+    apply_core_conf(spark)
+    recs = FX.dlq_records(spark, sf_dir)
+    src, ck, out, topic = (scratch_path(spark, n) for n in ("retry-src", "retry-ck", "retry-out", "retry-topic"))
+    ticks = itertools.count(1_700_000_000_000, 400)
+    clock = {"least": 0}
+    table = RetryRelease(spark, out, clock_ms=lambda: max(next(ticks), clock["least"]))
+    republished = OnceTable(topic, RETRY_RECORD, run="retries")
+    recs.limit(0).write.parquet(src)
+    ingest = (spark.readStream.schema(recs.schema).option("maxFilesPerTrigger", "1").parquet(src).writeStream.foreachBatch(table.ingest)
+              .option("checkpointLocation", ck).start())
+    try:
+        for i in range(STREAM_PARTS):
+            recs.where(F.expr(f"offset div 50 % {STREAM_PARTS}") == i).coalesce(1).write.mode("append").parquet(src)
+            table.release()  # while the part is being taken in
+            table.publish(republished.write_batch)
+        ingest.processAllAvailable()
+        while (due := table.release()) is not None:
+            table.publish(republished.write_batch)
+            clock["least"] = due
+        table.publish(republished.write_batch)
+    finally:
+        ingest.stop()
+    text = lambda c: F.col(c).cast("binary").cast("string")
+    permanent = table.released().where(F.col("decision") == R.PERMANENT)
+    sent = republished.read(spark).select("partition", "offset", F.lit(R.RETRY).alias("decision"), text("key").alias("record_key"),
+                                          text("value").alias("record_value"), header_int("headers").alias("retry_header"))
+    return sent.unionByName(permanent.select("partition", "offset", "decision", text("key").alias("record_key"), F.col("value").alias("record_value"),
+                                             header_int("headers").alias("retry_header")))
+
+
+def q_stream_dlq_once(spark, sf_dir):
+    """Dead letters of the order topic appended to a table once: the job ends between a batch's rows and its commit, goes on from
+    its checkpoint, and then runs again from the first offset with a new checkpoint."""
+    apply_core_conf(spark)
+    src, out = (scratch_path(spark, n) for n in ("once-src", "once-out"))
+    records = FX.order_records(spark, sf_dir)
+    _parts_by_offset(records, src)
+    schema = T.StructType([f for f in TOPIC_RECORD.fields if f.name != "timestamp"])
+    broken = []
+
+    class Breaks(OnceTable):
+        def write_rows(self, df, path):
+            super().write_rows(df, path)
+            if path.endswith("batch_id=1") and not broken:
+                broken.append(path)
+                raise _Broken("after the rows, before the commit")
+
+    table = Breaks(out, schema, offset_range=1000)
+
+    def run(ck):
+        stream = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", "1").parquet(src)
+        at = ("topic", "partition", "offset")
+        dead = as_dlq_records(dlq_plan(stream, keep=at), keep=at)
+        return dead.writeStream.foreachBatch(table.write_batch).option("checkpointLocation", ck).trigger(availableNow=True).start()
+
+    first, second = scratch_path(spark, "once-ck"), scratch_path(spark, "once-ck")
+    _until_broken(run(first))
+    run(first).awaitTermination()
+    run(second).awaitTermination()
+    reason = F.filter("headers", lambda h: h["key"] == REASON_HEADER)[0]["value"].cast("string")
+    return table.read(spark).select("topic", "partition", "offset", F.hex("value").alias("value_hex"), header_int("headers").alias("retry_header"),
+                                    reason.alias("reason"))
+
+
+def q_stream_split_job(spark, sf_dir):
+    """Valid events and dead letters from one query and one checkpoint; the job ends between a batch's two writes and
+    is started again."""
+    apply_core_conf(spark)
+    src, dead, good, ck = (scratch_path(spark, n) for n in ("split-src", "split-dead", "split-good", "split-ck"))
+    _parts_by_offset(FX.order_records(spark, sf_dir), src)
+    at = [f for f in TOPIC_RECORD.fields if f.name in ("topic", "partition", "offset")]
+    event = [f for f in ORDER_EVENT.fields]
+    dlq = OnceTable(dead, T.StructType([*at, *event, T.StructField("dlq_reason", T.StringType())]))
+    valid = OnceTable(good, T.StructType([*at, *event]))
+    broken = []
+
+    def valid_sink(df, batch_id):
+        if batch_id == 2 and not broken:
+            broken.append(batch_id)
+            raise _Broken("between the two outputs")
+        valid.write_batch(df, batch_id)
+
+    def start():
+        stream = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", "1").parquet(src)
+        return start_split_job(spark, stream, valid_sink, dlq.write_batch, name=f"split-{ck[-6:]}", checkpoint=ck, trigger={"availableNow": True})
+
+    _until_broken(start())
+    start().awaitTermination()
+    names = ["offset", *[f.name for f in event]]
+    out = valid.read(spark).select(*names, F.lit(None).cast("string").alias("dlq_reason")).unionByName(dlq.read(spark).select(*names, "dlq_reason"))
+    return out.withColumnRenamed("offset", "event_id")
+
+
+def q_stream_split_watermark(spark, sf_dir):
+    """The order job over two splits of the topic, of which the second lags a quarter of the whole time behind the
+    first. Each split has a watermark of its own, so all its orders count; one that a single watermark over
+    both would drop is counted, one behind its own split's watermark is not."""
+    apply_core_conf(spark)
+    srcs, out, ck = [scratch_path(spark, "split-src") for _ in range(2)], scratch_path(spark, "split-out"), scratch_path(spark, "split-ck")
+    events = FX.json_events(spark, sf_dir, dense=True, extra=("timestamp",))
+    low, high = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    table = KeyedTable(out)
+    if low is None:
+        return _stats_out(spark.createDataFrame([], USER_ORDER_STATS))
+    part = F.least(F.expr(f"(`timestamp` - {low}) * {STREAM_PARTS} div {high - low + 1}"), F.lit(STREAM_PARTS - 1))
+    for src in srcs:
+        write_values(events.limit(0), src)
+
+    def order(order_id, user_id, ms):
+        return spark.range(1).select(encode_order_json(
+            order_id=F.lit(order_id), user_id=F.lit(user_id), amount=F.lit(0.0), status=F.lit("PLACED"), timestamp=F.lit(ms)).alias("value"))
+
+    q = (order_stats_plan([read_value_stream(spark, s) for s in srcs], exact=True).writeStream.outputMode("append").foreachBatch(table.write_batch)
+         .option("checkpointLocation", ck).start())
+    try:
+        for step in range(STREAM_PARTS + 1):
+            for split, i in ((0, step), (1, step - 1)):
+                if 0 <= i < STREAM_PARTS:
+                    write_values(events.where((part == i) & (F.col("offset") % 2 == split)), srcs[split])
+            q.processAllAvailable()
+        write_values(order("late", LATE_USER, low), srcs[0])  # behind both splits by now
+        q.processAllAvailable()
+        for i in range(2):
+            for src in srcs:
+                write_values(order(f"end-{i}", SENTINEL_USER, 4102444800000 + i), src)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return _stats_out(table.read(spark).where(F.col("user_id") != SENTINEL_USER))
+
+
 def _arrive_in_parts(spark, df, ms: str, src: str, query) -> None:
     """The rows' values as ``STREAM_PARTS`` data batches in order of the time column ``ms``."""
     low, high = df.agg(F.min(ms), F.max(ms)).first()
@@ -519,6 +679,10 @@ QUERIES = {
     "metric_names_parsed": q_metric_names_parsed,
     "stream_order_stats": q_stream_order_stats,
     "stream_retry_release": q_stream_retry_release,
+    "stream_retry_continuous": q_stream_retry_continuous,
+    "stream_dlq_once": q_stream_dlq_once,
+    "stream_split_job": q_stream_split_job,
+    "stream_split_watermark": q_stream_split_watermark,
     "stream_dedup_orders": q_stream_dedup_orders,
     "stream_dlq_archive": q_stream_dlq_archive,
     "dlq_notifications": q_dlq_notifications,

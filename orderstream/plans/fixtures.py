@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orderstream.functions.codec import encode_order_json, event_time, kafka_key
 from orderstream.operators.validate import is_poison
-from orderstream.schema import DLQ_TOPIC, RETRY_HEADER
+from orderstream.schema import DLQ_TOPIC, ORDER_TOPIC, RETRY_HEADER
 from orderstream.session import table_path
 
 # Fixed values of the derivation (shared with the oracle SQL).
@@ -71,6 +71,15 @@ def json_events(spark: SparkSession, sf_dir: str, dense: bool = False, extra: tu
     )
 
 
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON events as records of the order topic's 12 partitions, with coordinates; every 7th carries headers."""
+    j = json_events(spark, sf_dir)
+    header = F.array(F.struct(F.lit(RETRY_HEADER).alias("key"), (F.col("offset") % 3).cast("string").cast("binary").alias("value")))
+    return j.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.lit(ORDER_TOPIC).alias("topic"),
+                    (F.col("offset") % 12).cast("int").alias("partition"), "offset", F.timestamp_millis(F.col("offset")).alias("timestamp"),
+                    F.when(F.col("offset") % 7 == 0, header).alias("headers"))
+
+
 def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poison events as dead-letter topic records with ``retry-count`` headers
     (``event_id div 50 % 7``) in several header shapes; every id % 900 = 0 has

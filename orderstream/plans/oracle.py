@@ -74,6 +74,8 @@ def _latest(measure_sql: str, name: str) -> str:
 
 
 JSON_MAL = "(event_id % 1000 IN (999, 500))"
+JS = """'{"order_id":"' || order_id || '","user_id":"' || user_id || '","amount":' || CAST(amount AS VARCHAR)
+  || ',"status":"' || status || '","timestamp":' || CAST(timestamp AS VARCHAR) || '}'"""
 
 DLQ_RECORDS = f"""dr AS (SELECT *, event_id AS "offset", CAST(event_id // 50 % 3 AS INTEGER) AS "partition",
   CASE WHEN event_id % 4 = 2 THEN 0 WHEN event_id % 1100 = 50 THEN -3 WHEN event_id % 1300 = 100 THEN 4000000000000
@@ -393,6 +395,20 @@ FROM ({_sum_rate_range(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' A
 SELECT "offset", order_id, user_id, CASE WHEN retry_count >= 5 THEN retry_count ELSE retry_count + 1 END AS retry_count,
   CASE WHEN retry_count >= 5 THEN 'PERMANENT' ELSE 'RETRY' END AS decision
 FROM dr WHERE NOT undecodable""",
+    "stream_retry_continuous": f"""WITH oe AS ({_oe()}), {DLQ_RECORDS}
+SELECT "partition", "offset", CASE WHEN retry_count >= 5 THEN 'PERMANENT' ELSE 'RETRY' END AS decision, user_id AS record_key,
+  {JS} AS record_value, CASE WHEN retry_count >= 5 THEN retry_count ELSE retry_count + 1 END AS retry_header
+FROM dr WHERE NOT undecodable""",
+    "stream_dlq_once": f"""WITH oe AS ({_oe()}), j AS (SELECT *, {JSON_MAL} AS mal, {JS} AS js FROM oe)
+SELECT 'order-events' AS topic, CAST(event_id % 12 AS INTEGER) AS "partition", event_id AS "offset",
+  hex(CASE WHEN event_id % 1000 = 500 THEN '' WHEN event_id % 1000 = 999 THEN substr(js, 1, 25) ELSE js END) AS value_hex,
+  CASE WHEN event_id % 7 = 0 THEN event_id % 3 ELSE 0 END AS retry_header, CASE WHEN mal THEN 'MALFORMED_JSON' ELSE {REASON} END AS reason
+FROM j WHERE mal OR {POISON}""",
+    "stream_split_job": f"""WITH oe AS ({_oe()}), j AS (SELECT *, {JSON_MAL} AS mal FROM oe)
+SELECT event_id, CASE WHEN NOT mal THEN order_id END AS order_id, CASE WHEN NOT mal THEN user_id END AS user_id,
+  CASE WHEN mal THEN 0.0 ELSE amount END AS amount, CASE WHEN NOT mal THEN status END AS status, CASE WHEN mal THEN 0 ELSE timestamp END AS timestamp,
+  CASE WHEN mal THEN 'MALFORMED_JSON' ELSE {REASON} END AS dlq_reason FROM j""",
+    "stream_split_watermark": f"WITH oe AS ({_oe(True)}), ok AS (SELECT * FROM oe WHERE NOT {JSON_MAL})\n" + _stats("ok"),
     "stream_dedup_orders": f"""WITH oe AS ({_oe()})
 SELECT order_id, user_id, amount, status, timestamp FROM oe WHERE NOT {POISON}""",
     "stream_dlq_archive": f"""WITH oe AS ({_oe()}), j AS (SELECT *, {JSON_MAL} AS mal,

@@ -4,7 +4,7 @@ dead-letter branch written from the same tagged definition."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderstream.operators.upsert import dedup_streaming
 from orderstream.operators.validate import decode_events, status_is, tag_events
-from orderstream.operators.windows import guarded_filter, windowed_stats, with_event_watermark
+from orderstream.operators.windows import guarded_filter, watermark_by_split, windowed_stats
 from orderstream.schema import PLACED, WATERMARK_DELAY, WINDOW
 from orderstream.session import apply_core_conf, checkpoint_root
 
@@ -23,7 +23,7 @@ def tagged_events(values: DataFrame, value: str = "value", keep: tuple[str, ...]
     return tag_events(decode_events(values, value, keep, on_malformed))
 
 
-def order_stats_plan(values: DataFrame, *, value: str = "value", delay: str = WATERMARK_DELAY,
+def order_stats_plan(values: DataFrame | Sequence[DataFrame], *, value: str = "value", delay: str = WATERMARK_DELAY,
                      width: str = WINDOW, status: str = PLACED, key: str = "user_id",
                      guard: bool = True, dedup: bool = False, exact: bool = False,
                      on_malformed: str = "dlq") -> DataFrame:
@@ -31,10 +31,11 @@ def order_stats_plan(values: DataFrame, *, value: str = "value", delay: str = WA
 
     The watermark is taken over *all* decoded events (bad and non-matching ones
     advance event time too); ``guard`` keeps the validity/status filter above
-    the watermark node so the optimizer cannot push it below.
+    the watermark node so the optimizer cannot push it below. ``values`` may be
+    several streams, one for each split of the source: each has its own watermark then.
     """
-    t = tagged_events(values, value, on_malformed=on_malformed)
-    wm = with_event_watermark(t, "event_time", delay)
+    splits = [values] if isinstance(values, DataFrame) else values
+    wm = watermark_by_split([tagged_events(v, value, on_malformed=on_malformed) for v in splits], "event_time", delay)
     pred = F.col("dlq_reason").isNull() & status_is(status)
     kept = guarded_filter(wm, pred) if guard else wm.where(pred)
     if dedup:
@@ -68,6 +69,31 @@ def start_order_job(spark: SparkSession, values: DataFrame, stats_sink: Callable
     return qs
 
 
+def start_split_job(spark: SparkSession, records: DataFrame, valid_sink: Callable[[DataFrame, int], None],
+                    dlq_sink: Callable[[DataFrame, int], None], *, value: str = "value", name: str = "split", checkpoint: str | None = None,
+                    trigger: dict | None = None) -> StreamingQuery:
+    """Valid events and dead letters from one query with one checkpoint: both outputs are always at the same offsets.
+
+    A micro-batch is decoded and tagged once; its dead letters are written first, then its valid rows are handed
+    on. Both sinks get the tagged events with the record's own columns and the number of the batch; if the job ends between the
+    two, the batch comes again as a whole, so each sink must know a batch that it has (``OnceTable.write_batch``).
+    """
+    apply_core_conf(spark)
+    root = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/{name}"
+    own = tuple(c for c in ("topic", "partition", "offset", "key", "headers") if c in records.columns)
+
+    def both(tagged: DataFrame, batch_id: int) -> None:
+        tagged = tagged.persist()
+        try:
+            dlq_sink(tagged.where(F.col("dlq_reason").isNotNull()), batch_id)
+            valid_sink(tagged.where(F.col("dlq_reason").isNull()), batch_id)
+        finally:
+            tagged.unpersist()
+
+    w = tagged_events(records, value, keep=(*own, value)).writeStream.foreachBatch(both).option("checkpointLocation", root).queryName(name)
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
 def dropped_late_rows(q: StreamingQuery) -> int:
     """Rows the watermark dropped as late, summed over the retained progress."""
     n = 0

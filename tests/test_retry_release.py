@@ -1,6 +1,7 @@
 """The dead-letter loop and the delayed release."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +140,117 @@ def test_settings_that_are_set_stay(spark):
     apply_core_conf(new)
     assert new.conf.get(name) == "false" and new.conf.get("spark.sql.session.timeZone") == "UTC"
     assert "RocksDB" in new.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_an_ingest_that_ends_after_a_release_loses_nothing(spark, tmp_dir):
+    """Its rows fall due at 6 s, a release at 10 s comes before its folder is whole."""
+    now, table = [1_000_000], None
+    inside = []
+
+    def clock():
+        t = now[0]
+        if inside:  # the ingest has read its clock; time goes on and a release comes in between
+            inside.clear()
+            now[0] = 1_010_000
+            assert table.release() == 1_011_000  # the row of batch 0 fell due; another one has not
+        return t
+
+    table = RetryRelease(spark, f"{tmp_dir}/t", base_ms=1000, clock_ms=clock)
+    table.ingest(_records(spark, 1), 0)
+    now[0] = 1_010_000
+    table.ingest(_records(spark, 1).withColumn("offset", F.lit(50)), 1)
+    now[0] = 1_005_000
+    inside.append(True)
+    table.ingest(_records(spark, 1).withColumn("offset", F.lit(77)), 2)
+    now[0] = 1_020_000
+    assert table.release() is None and table.pending() == 0
+    assert sorted(r["offset"] for r in table.released().collect()) == [0, 50, 77]
+
+
+def test_broken_off_releases_are_done_again(spark, tmp_dir):
+    now = [1_000_000]
+    t = RetryRelease(spark, f"{tmp_dir}/t", base_ms=1000, clock_ms=lambda: now[0])
+    t.ingest(_records(spark, 9, counts=3), 0)
+    now[0] = 1_001_500
+    close, t._close = t._close, lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError, match="lost"):
+        t.release()  # its rows are written, the ledger isn't
+    t._close = close
+    now[0] = 1_002_500
+    assert t.release() == 1_004_000
+    assert sorted(r["offset"] for r in t.released().collect()) == [0, 1, 3, 4, 6, 7]
+    now[0] = 999_000  # a clock that goes back releases nothing twice
+    t.release()
+    now[0] = 1_005_000
+    assert t.release() is None
+    assert sorted(r["offset"] for r in t.released().collect()) == list(range(9))
+
+
+def test_publishing_keeps_keys_headers_and_order_and_repeats_safely(spark, tmp_dir):
+    now, got = [1_000_000], []
+    t = RetryRelease(spark, f"{tmp_dir}/t", base_ms=1000, clock_ms=lambda: now[0])
+    value = b'{"order_id":"o","user_id":"u1","amount":1.0,"status":"PLACED","timestamp":5}'
+    rows = [(b"old", value, "dlq", 0, i, None, None if n is None else [("trace", b"t"), ("retry-count", n)]) for i, n in enumerate([b"0", b"1", None, b"5"])]
+    t.ingest(spark.createDataFrame(rows, TOPIC_RECORD), 0)
+
+    def sink(df, n):
+        got.extend((n, r["offset"], bytes(r["key"]), bytes(r["value"]), [(h["key"], bytes(h["value"])) for h in r["headers"]], r["to_topic"]) for r in df.collect())
+
+    assert t.publish(sink) == 0
+    now[0] = 1_001_000
+    t.release()
+    assert t.publish(sink) == 1 and t.publish(sink) == 0
+    now[0] = 1_009_000
+    t.release()
+    with pytest.raises(ZeroDivisionError):
+        t.publish(lambda df, n: 1 / 0)  # not handed on: comes again
+    t.publish(sink)
+    assert sorted(got) == [(1, 0, b"u1", value, [("trace", b"t"), ("retry-count", b"1")], "order-events"), (1, 2, b"u1", value, [("retry-count", b"1")], "order-events"),
+                           (2, 1, b"u1", value, [("trace", b"t"), ("retry-count", b"2")], "order-events")]
+    gave_up = t.released().where("decision = 'PERMANENT'").collect()
+    assert [(r["offset"], bytes(r["key"]), r["retry_count"], len(r["headers"])) for r in gave_up] == [(3, b"old", 5, 2)]
+
+
+def test_released_batches_can_be_dropped(spark, tmp_dir):
+    now = [1_000_000]
+    t = RetryRelease(spark, f"{tmp_dir}/t", base_ms=1000, clock_ms=lambda: now[0])
+    for b in range(5):
+        t.ingest(_records(spark, 3, counts=1 if b != 1 else 4).withColumn("offset", F.col("offset") + 10 * b), b)
+    now[0] = 1_001_000
+    t.release()
+    t.drop_released()
+    assert t._batches() == [1, 3, 4] and t.pending() == 2  # 1 has rows left, the newest two can be replayed
+    t.ingest(_records(spark, 3, counts=1), 4)
+    now[0] = 1_100_000
+    t.release()
+    t.drop_released()
+    assert t.pending() == 0 and t.released().count() == 15 and t.publish(lambda df, n: None) == 2
+
+
+def test_the_service_runs_until_it_is_stopped(spark, tmp_dir):
+    """Records that arrive while it runs, a stop in between, a second start from the checkpoints."""
+    from orderstream.sources.once import OnceTable
+    from orderstream.streaming.retry_release import RETRY_RECORD, start_service
+
+    _records(spark, 40, counts=2).write.parquet(f"{tmp_dir}/in")
+    t = RetryRelease(spark, f"{tmp_dir}/t", base_ms=200)
+    topic = OnceTable(f"{tmp_dir}/topic", RETRY_RECORD, run="retries")
+    stream = lambda: spark.readStream.schema(TOPIC_RECORD).parquet(f"{tmp_dir}/in")
+
+    def until(n):
+        queries = start_service(spark, stream(), t, topic.write_batch, f"{tmp_dir}/ck", poll="200 milliseconds", name=f"r{n}")
+        try:
+            for _ in range(240):
+                if topic.read(spark).count() >= n:
+                    break
+                assert all(q.isActive for q in queries), [q.exception() for q in queries]
+                time.sleep(0.25)
+        finally:
+            for q in queries:
+                q.stop()
+        got = [r["offset"] for r in topic.read(spark).select("offset").collect()]
+        assert len(got) == len(set(got)) == n
+
+    until(36)
+    _records(spark, 60, counts=2).where("offset >= 40").write.mode("append").parquet(f"{tmp_dir}/in")
+    until(54)
