@@ -24,6 +24,7 @@ from orderstream.operators import analytics as AN
 from orderstream.operators import loadtest as LT
 from orderstream.operators import metrics as M
 from orderstream.operators import retry as R
+from orderstream.operators.maintained import MaintainedTotals
 from orderstream.operators.upsert import dedup_first, dedup_streaming, upsert_latest
 from orderstream.operators.validate import decode_events, status_is, tag_events
 from orderstream.operators.windows import guarded_filter, windowed_stats, with_event_watermark
@@ -541,6 +542,94 @@ def q_stream_split_watermark(spark, sf_dir):
     return _stats_out(table.read(spark).where(F.col("user_id") != SENTINEL_USER))
 
 
+def q_stream_alert_timeline(spark, sf_dir):
+    """The alert rules on the stream of samples, which arrives in four batches of mixed order: the states in the time asked for,
+    with holds that began before it."""
+    from orderstream.streaming.alert_job import GONE, alert_stream
+
+    apply_core_conf(spark)
+    src, out, ck = (scratch_path(spark, n) for n in ("alert-src", "alert-out", "alert-ck"))
+    samples = FX.metric_samples(spark, sf_dir).withColumn("ms", F.unix_millis("ts"))
+    low, high = samples.agg(F.min("ms"), F.max("ms")).first()
+    samples.drop("ms").limit(0).write.parquet(src)
+    alerts = alert_stream(read_samples(spark, src, streaming=True))
+    q = alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append").start()
+    end = [("end_of_samples", None, None, 4102444800 + i, 0.0) for i in range(2)]  # no rule's metric: closes all windows
+    try:
+        if low is not None:
+            part = F.least(F.expr(f"(ms - {low}) * {STREAM_PARTS} div {high - low + 1}"), F.lit(STREAM_PARTS - 1))
+            for i in range(STREAM_PARTS):
+                samples.where(part == i).drop("ms").repartition(4).write.mode("append").parquet(src)
+                q.processAllAvailable()
+        for row in end:
+            (spark.createDataFrame([row], "metric string, topic string, instance string, s long, value double")
+             .select("metric", "topic", "instance", F.timestamp_seconds("s").alias("ts"), "value").write.mode("append").parquet(src))
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    kept = spark.read.schema(alerts.schema).parquet(out).where(F.col("state") != GONE)
+    return _alert_out(kept.where(F.col("ts").between(F.lit(ALERT_SINCE).cast("timestamp"), F.lit(ALERT_AT).cast("timestamp"))))
+
+
+def _median(key, start, end, rows):
+    """A user's lower median, spread and number of orders in a window."""
+    import pandas as pd
+
+    amounts = sorted(rows["amount"])
+    return pd.DataFrame([(key[0], start, end, amounts[(len(amounts) - 1) // 2], amounts[-1] - amounts[0], len(amounts))],
+                        columns=["user_id", "window_start", "window_end", "median_amount", "spread", "orders"])
+
+
+def q_stream_user_medians(spark, sf_dir):
+    """A function over all rows of each user's one-minute window: the median amount of the valid PLACED orders. An order
+    that comes after its window has closed is dropped."""
+    from orderstream.streaming.window_function import window_apply
+
+    apply_core_conf(spark)
+    src, out, ck = (scratch_path(spark, n) for n in ("median-src", "median-out", "median-ck"))
+    events = FX.json_events(spark, sf_dir, dense=True, extra=("timestamp",))
+    write_values(events.limit(0), src)
+    watched = with_event_watermark(tagged_events(read_value_stream(spark, src)))
+    placed = guarded_filter(watched, F.col("dlq_reason").isNull() & status_is("PLACED"))
+    schema = "user_id string, window_start timestamp, window_end timestamp, median_amount double, spread double, orders long"
+    q = (window_apply(placed, ["user_id"], ["amount"], _median, schema).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ck).outputMode("append").start())
+
+    def order(order_id, user_id, ms):
+        write_values(spark.range(1).select(encode_order_json(order_id=F.lit(order_id), user_id=F.lit(user_id), amount=F.lit(0.0),
+                                                             status=F.lit("PLACED"), timestamp=F.lit(ms)).alias("value")), src)
+        q.processAllAvailable()
+
+    try:
+        _arrive_in_parts(spark, events, "timestamp", src, q)
+        order("late", LATE_USER, FX.EPOCH0_MS)
+        for i in range(2):
+            order(f"end-{i}", SENTINEL_USER, 4102444800000 + i)
+    finally:
+        q.stop()
+    got = spark.read.schema(schema).parquet(out).where(F.col("user_id") != SENTINEL_USER)
+    return got.select("user_id", naive("window_start").alias("window_start"), naive("window_end").alias("window_end"), "median_amount", "spread", "orders")
+
+
+def q_maintained_totals(spark, sf_dir):
+    """Dashboard totals kept up to date over three batches of the result table: half of the orders, then all orders for
+    the earlier windows, then all of them with the last batch written twice and the changes folded."""
+    oe = _placed_valid(FX.order_events(spark, sf_dir, dense=True))
+    table = KeyedTable(scratch_path(spark, "maintained-table"))
+    totals = MaintainedTotals(table, scratch_path(spark, "maintained-changes"))
+    whole = windowed_stats(oe, exact=True)
+    low, high = oe.agg(F.min("timestamp"), F.max("timestamp")).first()
+    middle = F.timestamp_millis(F.lit(0 if low is None else (low + high) // 2))
+    totals.write_batch(windowed_stats(oe.where(F.col("event_id") % 2 == 0), exact=True), 0)
+    totals.write_batch(whole.where(F.col("window_start") < middle), 1)
+    totals.compact(spark)
+    for _ in range(2):
+        totals.write_batch(whole, 2)
+    users = totals.by_user(spark).select(F.lit("user").alias("total_of"), F.col("user_id").alias("name"), "order_count", "total_amount")
+    windows = totals.by_window(spark).select(F.lit("window").alias("total_of"), F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("name"), "order_count", "total_amount")
+    return users.unionByName(windows)
+
+
 def _arrive_in_parts(spark, df, ms: str, src: str, query) -> None:
     """The rows' values as ``STREAM_PARTS`` data batches in order of the time column ``ms``."""
     low, high = df.agg(F.min(ms), F.max(ms)).first()
@@ -683,6 +772,9 @@ QUERIES = {
     "stream_dlq_once": q_stream_dlq_once,
     "stream_split_job": q_stream_split_job,
     "stream_split_watermark": q_stream_split_watermark,
+    "stream_alert_timeline": q_stream_alert_timeline,
+    "stream_user_medians": q_stream_user_medians,
+    "maintained_totals": q_maintained_totals,
     "stream_dedup_orders": q_stream_dedup_orders,
     "stream_dlq_archive": q_stream_dlq_archive,
     "dlq_notifications": q_dlq_notifications,

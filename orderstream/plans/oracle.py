@@ -190,12 +190,12 @@ def _rules_values() -> str:
             ") AS r(alert, metric, op, threshold, for_s, severity, summary, func, range_s, topic)")
 
 
-def _timeline() -> str:
+def _timeline(since: str = C.ALERT_SINCE, at: str = C.ALERT_AT) -> str:
     funcs = sorted({(r.func, r.range_s) for r in DEFAULT_RULES}, key=str)
     parts = []
     for func, rng in funcs:
         metrics = ", ".join(sorted({_sql_str(r.metric) for r in DEFAULT_RULES if r.func == func and r.range_s == rng}))
-        src = _bounded(f"(SELECT * FROM samples WHERE metric IN ({metrics}))", 300, C.ALERT_SINCE, C.ALERT_AT)
+        src = _bounded(f"(SELECT * FROM samples WHERE metric IN ({metrics}))", 300, since, at)
         rs = "CAST(NULL AS INTEGER)" if rng is None else f"CAST({rng} AS INTEGER)"
         if func == "value":
             parts.append(f"SELECT metric, topic, instance, ts, value AS expr_value, 'value' AS func, {rs} AS range_s FROM {src}")
@@ -210,7 +210,7 @@ rules AS ({_rules_values()}),
 j AS (SELECT x.metric, x.topic, x.instance, x.ts, x.expr_value, r.alert, r.op, r.threshold, r.for_s, r.severity, r.summary
       FROM x JOIN rules r ON x.metric = r.metric AND x.func = r.func AND x.range_s IS NOT DISTINCT FROM r.range_s
        AND (r.topic IS NULL OR x.topic = r.topic)
-      WHERE x.ts >= TIMESTAMP '{C.ALERT_SINCE}'),
+      WHERE x.ts >= TIMESTAMP '{since}'),
 c AS (SELECT *, {_ms('ts')} AS ms,
   COALESCE(CASE WHEN op = '>' THEN expr_value > threshold WHEN op = '==' THEN expr_value = threshold ELSE false END, false) AS cond
   FROM j),
@@ -409,6 +409,14 @@ SELECT event_id, CASE WHEN NOT mal THEN order_id END AS order_id, CASE WHEN NOT
   CASE WHEN mal THEN 0.0 ELSE amount END AS amount, CASE WHEN NOT mal THEN status END AS status, CASE WHEN mal THEN 0 ELSE timestamp END AS timestamp,
   CASE WHEN mal THEN 'MALFORMED_JSON' ELSE {REASON} END AS dlq_reason FROM j""",
     "stream_split_watermark": f"WITH oe AS ({_oe(True)}), ok AS (SELECT * FROM oe WHERE NOT {JSON_MAL})\n" + _stats("ok"),
+    "stream_alert_timeline": _timeline("2024-01-01 00:00:00") + f"SELECT * FROM tl2 WHERE ts >= TIMESTAMP '{C.ALERT_SINCE}'",
+    "stream_user_medians": f"""WITH oe AS ({_oe(True)})
+SELECT user_id, {_ts('timestamp - timestamp % 60000')} AS window_start, {_ts('timestamp - timestamp % 60000 + 60000')} AS window_end,
+  quantile_disc(amount, 0.5) AS median_amount, max(amount) - min(amount) AS spread, count(*) AS orders
+FROM oe WHERE status = 'PLACED' AND NOT {POISON} AND NOT {JSON_MAL} GROUP BY user_id, timestamp - timestamp % 60000""",
+    "maintained_totals": STATS_CTE + f"""SELECT 'user' AS total_of, user_id AS name, CAST(SUM(order_count) AS BIGINT) AS order_count,
+  {MONEY.format(c='total_amount')} AS total_amount FROM stats GROUP BY user_id
+UNION ALL SELECT 'window', strftime(window_start, '%Y-%m-%d %H:%M:%S'), CAST(SUM(order_count) AS BIGINT), {MONEY.format(c='total_amount')} FROM stats GROUP BY window_start""",
     "stream_dedup_orders": f"""WITH oe AS ({_oe()})
 SELECT order_id, user_id, amount, status, timestamp FROM oe WHERE NOT {POISON}""",
     "stream_dlq_archive": f"""WITH oe AS ({_oe()}), j AS (SELECT *, {JSON_MAL} AS mal,

@@ -64,6 +64,11 @@ class KeyedTable:
         """Upsert one batch (usable directly as a ``foreachBatch`` function)."""
         self._write(df, batch_id, self._log_path(df.sparkSession))
 
+    def exists(self, spark: SparkSession) -> bool:
+        """Whether anything was written yet."""
+        fs, _ = self._files(spark)
+        return fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._log_path(spark)))
+
     def log(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.schema).parquet(self._log_path(spark))
 
