@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderstream.functions.scalar import severity_default
-from orderstream.operators.metrics import SERIES, window_bound, counter_deltas, increase_column
+from orderstream.operators.metrics import BLOCK, BLOCK_S, SERIES, counter_deltas, increase_column, window_bound
 
 
 @dataclass(frozen=True)
@@ -60,14 +60,14 @@ def rules_frame(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
          for r in rules], RULE_SCHEMA)
 
 
-def _rule_inputs(samples: DataFrame, rules, series: Sequence[str]) -> DataFrame:
-    """Every sample of a metric that a rule names, with its counter increase over
-    each range the rules use: one pass over the series, rate and increase of a
+def _rule_inputs(samples: DataFrame, rules, series: Sequence[str], before_s: int, block_s: int) -> DataFrame:
+    """Every sample of a metric that a rule names, in blocks of time with its neighbours of ``before_s``, and its
+    counter increase over each range the rules use: one pass over the series, rate and increase of a
     range share their deltas."""
     s = samples.where(F.col("metric").isin(sorted({r.metric for r in rules})))
-    d = counter_deltas(s, series)
+    d = counter_deltas(s, before_s, series, block_s)
     ranges = sorted({r.range_s for r in rules if r.func != "value"})
-    return d.select(*series, "ts", "ms", "value", *[increase_column(r, series).alias(f"inc_{r}") for r in ranges])
+    return d.select(*series, BLOCK, "_own", "ts", "ms", "value", *[increase_column(r, series).alias(f"inc_{r}") for r in ranges])
 
 
 def _expression(rules) -> Column:
@@ -81,7 +81,7 @@ def _expression(rules) -> Column:
 
 
 def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 300, series: Sequence[str] = SERIES,
-                   since=None, at=None) -> DataFrame:
+                   since=None, at=None, block_s: int = BLOCK_S) -> DataFrame:
     """State of every (rule, series) at every sample in [since, at].
 
     A sample where the condition holds starts or continues an *island*; a false
@@ -90,6 +90,10 @@ def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 3
     ``firing`` once ``ts - active_at >= for``, ``pending`` before, ``inactive``
     when false.  ``series`` names the label columns that tell series apart; it
     has to include ``metric``, and ``topic`` if a rule selects by it.
+
+    Series are worked on in blocks of time. Where an island starts is decided inside a block with
+    its neighbours; the start of one that goes on from an earlier block comes through a table
+    of the blocks' last starts.
     """
     unknown = {r.func for r in rules} - {"value", "rate", "increase"}
     if unknown:
@@ -97,7 +101,7 @@ def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 3
     # the rule list is a local table: Spark sees its size and picks the join
     rf = rules_frame(samples.sparkSession, rules).withColumnsRenamed({"metric": "rule_metric", "topic": "rule_topic"})
     longest = max([r.range_s or 0 for r in rules], default=0)
-    x = _rule_inputs(window_bound(samples, longest, since, at), rules, series)
+    x = _rule_inputs(window_bound(samples, longest, since, at), rules, series, longest + staleness_s + 1, block_s)
     if since is not None:
         x = x.where(F.col("ts") >= F.lit(since).cast("timestamp"))
     on = F.col("metric") == F.col("rule_metric")
@@ -108,19 +112,28 @@ def alert_timeline(samples: DataFrame, rules=DEFAULT_RULES, staleness_s: int = 3
             .when(F.col("op") == "==", F.col("expr_value") == F.col("threshold"))
             .otherwise(F.lit(False)))
     key = ["alert", *series]
-    w = Window.partitionBy(*key).orderBy("ms")
+    w = Window.partitionBy(*key, BLOCK).orderBy("ms")
     j = j.withColumn("cond", F.coalesce(cond, F.lit(False)))
     prev_cond = F.lag("cond").over(w)
     gap = F.col("ms") - F.lag("ms").over(w)
     start = F.col("cond") & (prev_cond.isNull() | ~prev_cond | (gap > staleness_s * 1000))
-    j = j.withColumn("start_ms", F.when(start, F.col("ms")))
-    j = j.withColumn("island_ms", F.max("start_ms").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    j = j.withColumn("start", F.when(start, F.col("ts"))).where("_own")
+    j = j.withColumn("here", F.max("start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # a block whose first sample continues an island: the newest start of the blocks before it
+    blocks = j.groupBy(*key, BLOCK).agg(F.max("start").alias("last"))
+    earlier = Window.partitionBy(*key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.withColumn("carried", F.max("last").over(earlier)).where("carried IS NOT NULL")
+    carried = carried.select(*[F.col(c).alias(f"_{c}") for c in key], F.col(BLOCK).alias("_of"), "carried")
+    same = F.col(BLOCK) == F.col("_of")
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    j = j.join(carried, same, "left").withColumn("island", F.coalesce("here", "carried"))
     state = (F.when(~F.col("cond"), F.lit("inactive"))
-             .when(F.col("ms") - F.col("island_ms") >= F.col("for_s") * 1000, F.lit("firing"))
+             .when(F.col("ms") - F.unix_millis("island") >= F.col("for_s") * 1000, F.lit("firing"))
              .otherwise(F.lit("pending")))
     return j.select(
         *key, "ts", F.col("expr_value").alias("value"), state.alias("state"),
-        F.when(F.col("cond"), F.timestamp_millis("island_ms")).alias("active_at"),
+        F.when(F.col("cond"), F.timestamp_millis(F.unix_millis("island"))).alias("active_at"),
         severity_default("severity", state).alias("severity"), "summary",
     )
 

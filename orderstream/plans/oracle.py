@@ -366,9 +366,14 @@ GROUP BY metric, topic, instance""",
     "metric_sum": SAMPLES_CTE + f"""SELECT metric, ts, SUM(value) AS value FROM ({_range(
         f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events')", C.RANGE_START, C.RANGE_END)})
 GROUP BY metric, ts""",
-    "per_instance_latest": SAMPLES_CTE + f"""SELECT COALESCE(NULLIF(instance, ''), 'unknown') AS instance, max(ts) AS ts,
-  arg_max(value, ts) AS value FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events'
-GROUP BY 1""",
+    "per_instance_latest": SAMPLES_CTE + f""", mine AS (SELECT * FROM samples WHERE metric = '{MESSAGES_IN}' AND topic = 'order-events'),
+shown AS (SELECT instance, ts, value FROM mine WHERE NOT (instance = 'kafka-3' AND {_ms('ts')} > {_epoch(C.INSTANT_AT) - 360000})
+  UNION ALL SELECT NULL, ts, value + 1000 FROM mine WHERE instance = 'kafka-2'
+  UNION ALL SELECT '', ts - INTERVAL 15 SECOND, value + 2000 FROM mine WHERE instance = 'kafka-2'),
+alive AS (SELECT * FROM shown WHERE ts <= TIMESTAMP '{C.INSTANT_AT}' AND {_ms('ts')} > {_epoch(C.INSTANT_AT) - 300000})
+SELECT CASE WHEN instance = '' OR instance IS NULL THEN 'unknown' ELSE instance END AS instance, ts, value FROM alive
+QUALIFY row_number() OVER (PARTITION BY CASE WHEN instance = '' OR instance IS NULL THEN 'unknown' ELSE instance END
+                           ORDER BY ts DESC, instance NULLS FIRST) = 1""",
     "metric_rate_5m": SAMPLES_CTE + f"""SELECT metric, topic, instance, ts, increase / CAST(300 AS DOUBLE) AS value
 FROM ({_increase(_bounded(f"(SELECT * FROM samples WHERE metric = '{MESSAGES_IN}')", 300, C.RANGE_START, C.RANGE_END))})
 WHERE ts >= TIMESTAMP '{C.RANGE_START}'""",

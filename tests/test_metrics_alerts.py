@@ -1,10 +1,15 @@
 """Counter rate/increase edges, range grid, alert hold time, load summaries."""
 
+import datetime as dt
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from orderstream.operators import alerts as AL
 from orderstream.operators import loadtest as LT
 from orderstream.operators import metrics as M
+from orderstream.schema import METRIC_SAMPLE
 
 T0 = 1704067200  # seconds
 
@@ -210,3 +215,42 @@ def test_time_range_reaches_the_scan(spark, tmp_dir):
         txt = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         pushed = [l for l in txt.split("\n") if "PushedFilters" in l][0]
         assert "LessThanOrEqual(ts" in pushed and "GreaterThan(ts" in pushed
+
+
+def _long_series(spark, seed):
+    """Series of many blocks with gaps around the staleness and the range, resets, missing values and holds over several blocks."""
+    rng, rows = random.Random(seed), []
+    for metric, topic, instance in (("m", None, "a"), ("c", "t", "a"), ("c", None, None)):
+        t, v = 0, 0.0
+        for _ in range(220):
+            t += rng.choice([15_000, 15_000, 15_001, 60_000, 299_999, 300_000, 300_001] if rng.random() < 0.3 else [15_000])
+            v = rng.choice([20.0, 20.0, 20.0, 5.0]) if metric == "m" else rng.choice([v, v + 10, v + 40, 0.0])
+            rows.append((metric, topic, instance, dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=t), v))
+    return spark.createDataFrame(rows, METRIC_SAMPLE), dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=t)
+
+
+@pytest.mark.parametrize("block_s", [45, 300, 1000])
+def test_blocks_change_nothing(spark, block_s):
+    samples, end = _long_series(spark, block_s)
+    rules = [AL.AlertRule("High", "m", ">", 10, 600, "warning", "-"), AL.AlertRule("Grows", "c", ">", 0, 60, "critical", "-", "increase", 300),
+             AL.AlertRule("Rate", "c", ">", 0.1, 0, "critical", "-", "rate", 120, "t"), AL.AlertRule("Still", "c", "==", 0, 0, "info", "-", "increase", 120)]
+    start = "2024-01-01 00:02:00"
+    whole = 10 ** 6
+    calls = [lambda b: M.range_query(samples, start, end, block_s=b), lambda b: M.increase(samples, 300, block_s=b), lambda b: M.rate(samples, 120, start=start, end=end, block_s=b),
+             lambda b: M.increase_range(samples, start, end, block_s=b), lambda b: AL.alert_timeline(samples, rules, block_s=b),
+             lambda b: AL.alert_timeline(samples, rules, since=start, at=end, block_s=b)]
+    for call in calls:
+        got, want = (sorted((tuple(r) for r in call(b).collect()), key=repr) for b in (block_s, whole))
+        assert got == want and got
+
+
+def test_latest_by_instance_picks_live_and_newest_series(spark):
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rows = [("m", "t", "a", at(0), 1.0), ("m", "t", "a", at(400), 2.0), ("m", "t", "a", at(700), 9.0), ("m", "u", "a", at(450), 3.0), ("m", "t", "old", at(100), 4.0),
+            ("m", "t", None, at(390), 5.0), ("m", "t", "", at(390), 6.0), ("m", "v", "", at(390), 7.0), ("x", "t", "b", at(400), 8.0)]
+    samples = spark.createDataFrame(rows, METRIC_SAMPLE)
+    out = lambda **k: sorted((r["instance"], (r["ts"] - at(0)).seconds, r["value"]) for r in M.latest_by_instance(samples, "m", **k).collect())
+    assert out(at=at(500)) == [("a", 450, 3.0), ("unknown", 390, 5.0)]
+    assert out(at=at(500), topic="t") == [("a", 400, 2.0), ("unknown", 390, 5.0)]
+    assert out(at=at(399), topic="t") == [("old", 100, 4.0), ("unknown", 390, 5.0)]  # a's first sample is too old, its next to come
+    assert [r[0] for r in out()] == ["a", "old", "unknown"]

@@ -82,13 +82,25 @@ def test_aggregates_without_sorts(spark):
     assert plan.count("regexp_replace") <= 2 and "RLIKE" not in plan
 
 
-def test_alert_states_scan_once_and_take_fewer_exchanges(spark):
-    from orderstream.operators.alerts import alert_states
-    from orderstream.schema import METRIC_SAMPLE
-
-    samples = spark.createDataFrame([], METRIC_SAMPLE)
-    plan = alert_states(samples, at="2024-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") <= 3
+def test_alert_states_scan_once(spark, tmp_dir):
+    """The carried starts of islands come from the same shuffled samples: one scan, however many blocks there are."""
+    from orderstream.operators.alerts import alert_timeline
+    from orderstream.plans.fixtures import metric_samples
+
+    metric_samples(spark, SF001).write.parquet(f"{tmp_dir}/samples")
+    timeline = alert_timeline(spark.read.parquet(f"{tmp_dir}/samples"), block_s=600)
+    timeline.collect()
+    final = timeline._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 or "ReusedExchange" in final
+    assert "_block" in final and "CartesianProduct" not in final
+
+
+@pytest.mark.parametrize("name", ["metric_range", "metric_increase_5m", "metric_rate_5m", "alert_timeline"])
+def test_series_are_worked_on_in_blocks(spark, name):
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    windows = [w for w in plan.splitlines() if " Window " in w and "instance" in w]
+    exchanges = [w for w in plan.splitlines() if "Exchange hashpartitioning" in w and "instance" in w]
+    assert windows and exchanges and any("_block" in e for e in exchanges)
 
 
 def test_dashboards_follow_a_table_rewritten_at_its_path(spark, tmp_path):
