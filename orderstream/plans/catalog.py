@@ -24,6 +24,7 @@ from orderstream.operators import analytics as AN
 from orderstream.operators import loadtest as LT
 from orderstream.operators import metrics as M
 from orderstream.operators import retry as R
+from orderstream.operators import sketches as SK
 from orderstream.operators.maintained import MaintainedTotals
 from orderstream.operators.upsert import dedup_first, dedup_streaming, upsert_latest
 from orderstream.operators.validate import decode_events, status_is, tag_events
@@ -549,6 +550,36 @@ def q_stream_split_watermark(spark, sf_dir):
     return _stats_out(table.read(spark).where(F.col("user_id") != SENTINEL_USER))
 
 
+def q_stream_dedup_history(spark, sf_dir):
+    """Orders whose copies arrive after everything else, far beyond the watermark: the history of keys drops
+    them. The last batch breaks off after its rows and is repeated."""
+    from orderstream.streaming.dedup_history import DuplicateHistory
+
+    apply_core_conf(spark)
+    src, out, ck, keys = (scratch_path(spark, n) for n in ("history-src", "history-out", "history-ck", "history-keys"))
+    oe = tag_events(FX.order_events(spark, sf_dir), None).where(F.col("dlq_reason").isNull()).select("order_id", "user_id", "amount", "status", "timestamp", "event_id")
+    copies = oe.where(F.col("event_id") % 97 == 0)
+    for part in (oe.where(F.col("event_id") % 2 == 0), oe.where(F.col("event_id") % 2 == 1).unionByName(copies), copies.unionByName(copies)):
+        part.coalesce(2).write.mode("append").parquet(src)
+    broken = []
+
+    def sink(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if batch_id == 1 and not broken:
+            broken.append(batch_id)
+            raise _Broken("after the rows, before the keys")
+
+    history = DuplicateHistory(spark, keys, f"history_{keys[-8:]}", sink=sink, buckets=8)
+
+    def run():
+        stream = spark.readStream.schema(oe.schema).option("maxFilesPerTrigger", "2").parquet(src)
+        return stream.writeStream.foreachBatch(history.write_batch).option("checkpointLocation", ck).trigger(availableNow=True).start()
+
+    _until_broken(run())
+    run().awaitTermination()
+    return spark.read.schema(ORDER_EVENT).parquet(out).select(*[f.name for f in ORDER_EVENT.fields])
+
+
 def q_stream_alert_timeline(spark, sf_dir):
     """The alert rules on the stream of samples, which arrives in four batches of mixed order: the states in the time asked for,
     with holds that began before it."""
@@ -722,6 +753,29 @@ def q_latency_percentiles(spark, sf_dir):
     return LT.latency_percentiles(FX.send_log(spark, sf_dir), exact_money=True)
 
 
+def q_latency_sketches(spark, sf_dir):
+    """Percentiles by request from stored sketches of each request and minute, held against the log: exact counts, and
+    whether each estimate's rank is as near as stated."""
+    log, path = FX.send_log(spark, sf_dir), scratch_path(spark, "sketches")
+    SK.minute_sketches(log).write.parquet(path)
+    spans = SK.span_percentiles(spark.read.parquet(path))
+    names = [f"p{round(100 * q)}_ms" for q in LT.QUANTILES]
+    # per request: how many successful sends lie below each estimate, and not above it
+    x = log.where(~F.col("error")).join(spans.select(F.col("request").alias("r"), *names), F.col("request") == F.col("r"))
+    ranks = x.groupBy("request").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("duration_ms") < F.col(c)).alias(f"{c}_below") for c in names],
+                                     *[F.count_if(F.col("duration_ms") <= F.col(c)).alias(f"{c}_upto") for c in names])
+    near = [((F.col(f"{c}_below") / F.col("n") <= q + SK.RANK_ERROR) & (F.col(f"{c}_upto") / F.col("n") >= q - SK.RANK_ERROR)).alias(f"{c}_near")
+            for c, q in zip(names, LT.QUANTILES, strict=True)]
+    good = ranks.select(F.col("request").alias("r"), *near)
+    return spans.join(good, F.col("request") == F.col("r"), "left").select("request", "sends", "errors", *[f"{c}_near" for c in names])
+
+
+def q_load_summary_sketches(spark, sf_dir):
+    """The exact part of the load summary from the mergeable rows of minutes."""
+    s = SK.span_summary(SK.minute_sketches(FX.send_log(spark, sf_dir)))
+    return s.select("total_messages", "duration_s", "throughput", "error_rate_pct")
+
+
 def q_slo_check(spark, sf_dir):
     return LT.slo_check(LT.load_summary(FX.send_log(spark, sf_dir)))
 
@@ -779,6 +833,7 @@ QUERIES = {
     "stream_dlq_once": q_stream_dlq_once,
     "stream_split_job": q_stream_split_job,
     "stream_split_watermark": q_stream_split_watermark,
+    "stream_dedup_history": q_stream_dedup_history,
     "stream_alert_timeline": q_stream_alert_timeline,
     "stream_user_medians": q_stream_user_medians,
     "maintained_totals": q_maintained_totals,
@@ -791,6 +846,8 @@ QUERIES = {
     "load_summary_file": q_load_summary_file,
     "load_summary": q_load_summary,
     "latency_percentiles": q_latency_percentiles,
+    "latency_sketches": q_latency_sketches,
+    "load_summary_sketches": q_load_summary_sketches,
     "slo_check": q_slo_check,
 }
 QUERIES = {k: _with_core_conf(v) for k, v in QUERIES.items()}

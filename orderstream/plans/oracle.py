@@ -414,6 +414,8 @@ SELECT event_id, CASE WHEN NOT mal THEN order_id END AS order_id, CASE WHEN NOT
   CASE WHEN mal THEN 0.0 ELSE amount END AS amount, CASE WHEN NOT mal THEN status END AS status, CASE WHEN mal THEN 0 ELSE timestamp END AS timestamp,
   CASE WHEN mal THEN 'MALFORMED_JSON' ELSE {REASON} END AS dlq_reason FROM j""",
     "stream_split_watermark": f"WITH oe AS ({_oe(True)}), ok AS (SELECT * FROM oe WHERE NOT {JSON_MAL})\n" + _stats("ok"),
+    "stream_dedup_history": f"""WITH oe AS ({_oe()})
+SELECT order_id, user_id, amount, status, timestamp FROM oe WHERE NOT {POISON}""",
     "stream_alert_timeline": _timeline("2024-01-01 00:00:00") + f"SELECT * FROM tl2 WHERE ts >= TIMESTAMP '{C.ALERT_SINCE}'",
     "stream_user_medians": f"""WITH oe AS ({_oe(True)})
 SELECT user_id, {_ts('timestamp - timestamp % 60000')} AS window_start, {_ts('timestamp - timestamp % 60000 + 60000')} AS window_end,
@@ -447,6 +449,11 @@ SELECT "offset", '{{"text":"' || replace(replace({_dlq_text()}, '"', '\\"'), {NL
   quantile_cont(duration_ms, 0.5) AS p50_ms, quantile_cont(duration_ms, 0.95) AS p95_ms, quantile_cont(duration_ms, 0.99) AS p99_ms,
   {MONEY.format(c='duration_ms')} / COUNT(*) AS mean_ms, COUNT(*) AS samples
 FROM sl GROUP BY request, ms - ms % 300000""",
+    "load_summary_sketches": SEND_LOG + f"""SELECT total_messages, duration_s,
+  CASE WHEN duration_s > 0 THEN CAST(round(total_messages / duration_s) AS BIGINT) END AS throughput, error_rate_pct FROM ({SUMMARY})""",
+    "latency_sketches": SEND_LOG + """SELECT request, count(*) AS sends, count(*) FILTER (WHERE error) AS errors,
+  CASE WHEN count(*) FILTER (WHERE NOT error) > 0 THEN true END AS p50_ms_near, CASE WHEN count(*) FILTER (WHERE NOT error) > 0 THEN true END AS p95_ms_near,
+  CASE WHEN count(*) FILTER (WHERE NOT error) > 0 THEN true END AS p99_ms_near FROM sl GROUP BY request""",
     "slo_check": SEND_LOG + f""", s AS ({SUMMARY})
 SELECT p.profile, p.max_error_rate_pct, p.max_p99_ms, s.error_rate_pct, s.p99_ms,
   s.error_rate_pct < p.max_error_rate_pct AS error_ok, s.p99_ms < p.max_p99_ms AS p99_ok,
