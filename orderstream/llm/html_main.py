@@ -1,17 +1,24 @@
 """HTML extraction (operator 4): minimum-cut labelling of a page's text blocks.
 
 A page is read once into blocks of text with what surrounds them. A logistic
-classifier gives each block its costs of being content or boilerplate, the
-capacities of its edges to the two terminals. Blocks that follow each other and
-blocks with the same parent element are tied by smoothness edges. A maximum flow
-separates content from boilerplate at the least total cost.
+classifier of a block's own text (lengths, links, punctuation, place) and a bounded prior from the
+landmark element or the name that it stands in give its costs of being content or boilerplate, the
+capacities of its edges to the two terminals. Smoothness edges tie blocks that follow each other, the more the
+nearer they stand in the DOM and less where one landmark or named area ends, and blocks of one parent element. A
+maximum flow separates content from boilerplate at the least total cost.
+
+No block's costs outweigh the ties of a block between two siblings (``TEXT_CAP`` and the largest of ``PRIOR`` against two times
+``TIE``), so neither its words nor its surroundings alone settle such a block: the cut does.
 
 The classifier is trained on the pages themselves: blocks inside article or main
 elements are content, blocks inside navigation, headers, footers, asides, forms and elements whose class
-or id says so are boilerplate. A second classifier is trained on the same rows with
-those features hidden, so that it learns the text's own form, and judges the blocks
-that nothing marks. The fit uses
-at most ``max_pages`` pages, chosen by a hash of the page's url and html.
+or id says so are boilerplate. The landmarks are the labels, never features. The fit uses
+at most ``max_pages`` pages, chosen by a hash of the page's url and html, and of their marked blocks at most
+``max_rows``, by a hash too; every page is extracted with the model.
+
+Names are compared as whole words of a class, id or role: ``share-bar`` is one, ``shared-memory`` or
+``related-work`` is not. The names of article and main elements don't count, nor do the ids of
+headings and sections inside them, where an id is a link's target.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are joined by a line break in page order. Scripts, styles, comments
@@ -36,53 +43,79 @@ from pyspark.sql import functions as F
 
 from orderstream.llm.common import map_arrow, sliced, text_or_empty
 
-MAX_PAGES = 1000
-NEXT_COST, PARENT_COST = 0.6, 0.6  # smoothness of neighbours and of blocks with one parent
+MAX_PAGES, MAX_ROWS = 1000, 100_000
+TEXT_CAP = 2.0  # of the classifier's margin
+TIE, ACROSS = 2.5, 0.25  # of two blocks of one parent; what is left of a tie across the edge of an area
+NOTHING, CONTENT, ELEMENT, NAMED, MAYBE, COMMENTS = range(6)  # what a block stands in
+PRIOR = np.array([0.0, 1.5, -2.5, -2.5, -0.5, -2.5])
 
 #: Elements that don't end a block of text.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
-                   "sub sup time tt u var wbr".split())
+                   "sub sup time tt u var wbr math mi mo mn ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mspace mpadded "
+                   "semantics".split())
 #: Elements whose content shows no text of the page's own.
-SILENT = frozenset("script style noscript template title textarea select svg math iframe object audio video canvas button datalist head".split())
+SILENT = frozenset("script style noscript template title textarea select svg iframe object audio video canvas button datalist head annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
-#: Words in class, id or role that mark boilerplate, as words of their own or anywhere;
-#: readers' comments, whatever element they are in; and what inside an article is a part of it.
-HINT = re.compile(r"(?:^|[^a-z])(?:ads?|banner|promo|side|menu|nav|header|masthead|notice|popup|modal|reply|share|sharing|social|related|"
-                  r"recommended|login|search|widget|toolbar|legal|pager|tags|meta)(?:$|[^a-z])|"
-                  r"advert|sponsor|sidebar|navbar|navigation|breadcrumb|footer|cookie|consent|newsletter|subscribe|copyright|pagination", re.I)
-COMMENT_HINT = re.compile(r"comment|replies|disqus", re.I)
-OWN_HEADER = re.compile(r"(?:^|[^a-z])(?:header|masthead)(?:$|[^a-z])", re.I)
+#: Words of class, id or role that name boilerplate, that may name it, that name readers' comments, and that may stand beside them.
+BOILER_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored sponsors banner promo nav navbar navigation menu sidebar breadcrumb "
+                         "breadcrumbs footer masthead notice cookie cookies consent newsletter subscribe subscription copyright pagination pager popup modal "
+                         "login share sharing social widget widgets toolbar related recommended".split())
+MAYBE_WORDS = frozenset("side header search legal tags meta".split())
+COMMENT_WORDS = frozenset("comment comments commentlist replies reply disqus".split())
+PLAIN_WORDS = frozenset("bar box list block section container wrapper wrap area item items link links button buttons post posts site page main top bottom left "
+                        "right inner outer group panel row column unit slot zone primary secondary article content entry user reader blog body".split())
+OWN_WORDS = frozenset("header masthead".split())  # of an article itself, inside it
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[a-zA-Z/]|[!?])(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+>?", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:_-]*)")
-_MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 IMPLIED_END = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")),
                "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")), "option": frozenset(("option",))}
 LEAFY = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre blockquote".split())
-MARKS = 3  # the first features are the surroundings
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 
 
 @dataclass
 class Block:
     text: str
-    state: int  # 0: nothing says what it is, 1: content, 2: boilerplate
+    state: int  # what it stands in
     tag: str
     parent: int
     link_chars: int
+    area: int  # the element that says so
+    steps: int  # in the DOM, from the block before
+
+
+def name_state(words: str, inside: bool) -> int:
+    """What the words of a class, id or role say; ``inside`` an article its own header is a part of it."""
+    out = NOTHING
+    for name in words.lower().split():
+        parts = [x for x in _LETTERS.split(name) if x]
+        known = [x for x in parts if x in BOILER_WORDS or x in MAYBE_WORDS or x in COMMENT_WORDS]
+        if not known or any(x not in PLAIN_WORDS for x in parts if x not in known) or inside and all(x in OWN_WORDS for x in known):
+            continue
+        if any(x in COMMENT_WORDS for x in known):
+            return COMMENTS
+        out = NAMED if out == NAMED or any(x in BOILER_WORDS for x in known) else MAYBE
+    return out
+
+
+_LETTERS = re.compile(r"[^a-z]+")
 
 
 def read_blocks(html: str) -> list[Block]:
-    """The page's blocks with their innermost landmark, tag, parent element and linked characters."""
+    """The page's blocks with what they stand in, tag, parent element and linked characters."""
     blocks: list[Block] = []
     parts: list[str] = []
-    # (tag, state, number of the element); state 3: boilerplate by a name, which an article inside overrules
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    # (tag, state, number of the element, number of the element that set the state)
+    stack: list[tuple[str, int, int, int]] = [("", NOTHING, 0, 0)]
     open_count: dict[str, int] = {}
     link = linked = number = 0
+    depth, lowest = 0, 0  # of the last block's parent, and of the stack since
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, depth, lowest
         if parts:
             raw = "".join(parts)
             parts.clear()
@@ -92,11 +125,15 @@ def read_blocks(html: str) -> list[Block]:
                 tag = stack[k][0]
                 while k and stack[k][0] in LEAFY:
                     k -= 1
-                blocks.append(Block(text, min(stack[-1][1], 2), tag, stack[k][2], min(linked, len(text))))
+                low = min(lowest, depth, k)
+                blocks.append(Block(text, stack[-1][1], tag, stack[k][2], min(linked, len(text)), stack[-1][3], depth + k - 2 * low))
+                depth = lowest = k
         linked = 0
 
     def pop() -> str:
+        nonlocal lowest
         tag = stack.pop()[0]
+        lowest = min(lowest, len(stack) - 1)
         open_count[tag] -= 1
         return tag
 
@@ -143,22 +180,28 @@ def read_blocks(html: str) -> list[Block]:
                 pop()
         elif tag not in INLINE and stack[-1][0] == "p":
             pop()
-        state = stack[-1][1]
-        if tag in CONTENT_TAGS:
-            state = 2 if state == 2 else 1  # a wrapper's name doesn't speak for the article inside
-        elif tag in BOILER_TAGS or tag == "header" and state != 1:
-            state = 2
-        elif tag == "body":
-            state = 0
-        if state != 2 and tag not in ("html", "body") and "=" in m.group():
-            for v in _MARKS.findall(m.group()):
-                words = v[0] or v[1] or v[2]
-                if COMMENT_HINT.search(words):
-                    state = 2
-                elif state < 2 and tag not in CONTENT_TAGS and HINT.search(OWN_HEADER.sub(" ", words) if state == 1 else words):
-                    state = 3
+        state, area = stack[-1][1], stack[-1][3]
         number += 1
-        stack.append((tag, state, number))
+        was = state
+        if state in (ELEMENT, COMMENTS):
+            pass
+        elif tag in CONTENT_TAGS:
+            state = CONTENT  # a wrapper's name doesn't speak for the article inside
+        elif tag in BOILER_TAGS or tag == "header" and state != CONTENT:
+            state = ELEMENT
+        elif tag == "body":
+            state = NOTHING
+        if state not in (ELEMENT, COMMENTS) and tag not in ("html", "body") and tag not in CONTENT_TAGS and "=" in m.group():
+            inside = state == CONTENT
+            for kind, *v in _MARKS.findall(m.group()):
+                if inside and kind.lower() == "id" and tag in HEADINGS:
+                    continue
+                said = name_state(v[0] or v[1] or v[2], inside)
+                if said == COMMENTS or said and state != COMMENTS and (said == NAMED or state != NAMED):
+                    state = said
+        if state != was or tag in CONTENT_TAGS:
+            area = number
+        stack.append((tag, state, number, area))
         open_count[tag] = open_count.get(tag, 0) + 1
     close()
     return blocks
@@ -177,15 +220,29 @@ def _end_of(tag: str, html: str, at: int) -> int:
 
 
 def block_features(blocks: list[Block]) -> np.ndarray:
+    """The form of each block's text; nothing of its element or of what it stands in."""
     n = len(blocks)
-    out = np.zeros((n, 16))
+    out = np.zeros((n, 10))
     for i, b in enumerate(blocks):
         t, size = b.text, len(b.text)
         words = t.count(" ") + 1
         stops = t.count(".") + t.count(",") + t.count("?") + t.count(";")
-        out[i] = (b.state == 1, b.state == 2, b.state == 0, 1.0, np.log1p(size) / 5, b.link_chars / size, min(words, 40) / 40,
-                  min(stops / words, 1.0), size / words / 10, t[-1:] in ".!?\"", t[:1].isupper(), b.tag == "p", b.tag[:1] == "h" and b.tag[1:].isdigit(),
-                  b.tag in ("li", "dt", "dd", "td", "th"), "©" in t or "|" in t and words < 12, 2 * abs(i / max(n - 1, 1) - 0.5))
+        out[i] = (1.0, np.log1p(size) / 5, b.link_chars / size, min(words, 40) / 40,
+                  min(stops / words, 1.0), size / words / 10, t[-1:] in ".!?\"", t[:1].isupper(), "©" in t or "|" in t and words < 12, 2 * abs(i / max(n - 1, 1) - 0.5))
+    return out
+
+
+def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
+    """Smoothness edges: of blocks that follow each other, by their distance in the DOM, and of a parent's blocks with others in between."""
+    out, last = [], {}
+    for i, b in enumerate(blocks):
+        if i:
+            same = b.area == blocks[i - 1].area
+            out.append((i - 1, i, TIE / (1 + b.steps) * (1.0 if same else ACROSS)))
+        j = last.get(b.parent)
+        if j is not None and j < i - 1:
+            out.append((j, i, TIE * (1.0 if b.area == blocks[j].area else ACROSS)))
+        last[b.parent] = i
     return out
 
 
@@ -296,39 +353,31 @@ def _flow(nodes: list[int], cost: np.ndarray, near: list[dict[int, float]], sett
 
 @dataclass
 class Model:
-    """``marked`` judges blocks whose surroundings say what they are, ``plain`` the others."""
-    marked: np.ndarray
-    plain: np.ndarray
+    weights: np.ndarray
+
+    def costs(self, blocks: list[Block]) -> np.ndarray:
+        """Cost of boilerplate less cost of content, by the block itself and what it stands in."""
+        return np.clip(block_features(blocks) @ self.weights, -TEXT_CAP, TEXT_CAP) + PRIOR[[b.state for b in blocks]]
 
-    def content_margin(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(np.where(x[:, 2] > 0, x @ self.plain, x @ self.marked), -8, 8)
+    def labels(self, blocks: list[Block]) -> np.ndarray:
+        return least_cut(self.costs(blocks), ties(blocks)) if blocks else np.zeros(0, bool)
 
     def extract(self, html: str) -> str:
         blocks = read_blocks(html)
-        if not blocks:
-            return ""
-        unary = self.content_margin(block_features(blocks))
-        edges, last = [], {}
-        for i, b in enumerate(blocks):
-            if i:
-                edges.append((i - 1, i, NEXT_COST))
-            if b.parent in last:
-                edges.append((last[b.parent], i, PARENT_COST))
-            last[b.parent] = i
-        keep = least_cut(unary, edges)
-        return "\n".join([b.text for b, k in zip(blocks, keep) if k])
+        return "\n".join([b.text for b, k in zip(blocks, self.labels(blocks)) if k])
 
 
 def prior_weights() -> np.ndarray:
     """Where no page marks its parts: long sentences outside links are content."""
-    w = np.zeros(16)
-    w[0], w[1], w[3], w[4], w[5], w[7], w[9] = 4.0, -4.0, -2.0, 2.0, -3.0, 2.0, 1.0
+    w = np.zeros(10)
+    w[0], w[1], w[2], w[4], w[6] = -2.0, 2.0, -3.0, 2.0, 1.0
     return w
 
 
-def train_classifier(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Ridge logistic regression by Newton steps."""
-    w = np.zeros(x.shape[1])
+def train_classifier(x: np.ndarray, y: np.ndarray, ridge: float = 0.006) -> np.ndarray:
+    """Logistic regression by Newton steps with a ridge of ``ridge`` a row: margins stay moderate, so that short
+    paragraphs aren't certain boilerplate."""
+    w, ridge = np.zeros(x.shape[1]), ridge * len(x)
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (y - p) - ridge * w
@@ -340,7 +389,7 @@ def train_classifier(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.nda
     return w
 
 
-def fit(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, max_rows: int = 100_000, seed: int = 2) -> Model:
+def fit(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, max_rows: int = MAX_ROWS, seed: int = 2) -> Model:
     p = pages.select(text_or_empty(html_col).alias("html"))
     n = p.count()
     draw = F.pmod(F.xxhash64("html", F.lit(seed)), F.lit(1 << 30))
@@ -350,19 +399,16 @@ def fit(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES, ma
         for batch in batches:
             for h in batch.column("html"):
                 blocks = read_blocks(h.as_py())
-                marked = [i for i, b in enumerate(blocks) if b.state]
+                marked = [i for i, b in enumerate(blocks) if b.state not in (NOTHING, MAYBE)]
                 if marked:
                     x = block_features(blocks)[marked]
-                    yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), pa.array([float(blocks[i].state == 1) for i in marked])], names=["x", "y"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), pa.array([float(blocks[i].state == CONTENT) for i in marked])], names=["x", "y"])
 
     found = (map_arrow(some, rows, "x array<double>, y double").orderBy(F.xxhash64("x", F.lit(seed)), "x", "y").limit(max_rows).collect())
     y = np.array([r.y for r in found])
     if len(y) < 20 or y.min() == y.max():
-        return Model(prior_weights(), prior_weights())
-    x = np.array([r.x for r in found])
-    hidden = x.copy()
-    hidden[:, :MARKS] = (0.0, 0.0, 1.0)
-    return Model(train_classifier(x, y), train_classifier(hidden, y))
+        return Model(prior_weights())
+    return Model(train_classifier(np.array([r.x for r in found]), y))
 
 
 def extract(pages: DataFrame, model: Model, keep: list[str], html_col: str = "html") -> DataFrame:

@@ -14,6 +14,7 @@ import pytest
 
 from orderstream.llm import bpe, html_main, language, pii, queries, word_pieces
 from orderstream.llm.common import read_table
+from orderstream.llm.html_main import COMMENTS, CONTENT, ELEMENT, MAYBE, NAMED, NOTHING
 
 SF001, SF01, SF1 = "/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
@@ -212,16 +213,70 @@ def test_blocks_of_odd_html():
     assert read("<head><title>t</title><body>b") == ["b"] and read("<head><title>t</title></head>c") == ["c"]
     assert read("<ul><li>a<li>b</ul></div></p>c") == ["a", "b", "c"]
     for long in ("<" * 200_000, "<a " * 100_000, "<div>" * 100_000, "<p>x" * 50_000, "<a title=\"" * 50_000, "&amp" * 50_000, "<script>" * 20_000):
-        html_main.Model(html_main.prior_weights(), html_main.prior_weights()).extract(long)
+        html_main.Model(html_main.prior_weights()).extract(long)
 
 
 def test_surroundings():
     state = lambda h: [(b.text, b.state) for b in html_main.read_blocks(h)]
     assert state("<div class='layout with-sidebar'><article class=post><div class=article-header><h1>T</h1></div><p>a</p>"
                  "<aside>x</aside><div class='commentlist'><article>c</article></div><p>b</p><div class=share-bar>s</div></article><p>r</p></div>") == [
-        ("T", 1), ("a", 1), ("x", 2), ("c", 2), ("b", 1), ("s", 2), ("r", 2)]
+        ("T", CONTENT), ("a", CONTENT), ("x", ELEMENT), ("c", COMMENTS), ("b", CONTENT), ("s", NAMED), ("r", NOTHING)]
     assert state("<header><h1>Site</h1></header><main><header><h1>T</h1></header>a<footer>f</footer></main><nav>n</nav>z") == [
-        ("Site", 2), ("T", 1), ("a", 1), ("f", 2), ("n", 2), ("z", 0)]
+        ("Site", ELEMENT), ("T", CONTENT), ("a", CONTENT), ("f", ELEMENT), ("n", ELEMENT), ("z", NOTHING)]
+
+
+STORY = "".join(f"<p>{SENTENCE * k}</p>" for k in (4, 2, 5))
+
+
+@pytest.mark.parametrize(("html", "kept", "gone"), [
+    ("<article class='post hentry category-commentary'><h1>Title here</h1>" + STORY + "</article>", ["Title here"], []),
+    ("<main class='site-main comments-open'><h1>Title here</h1>" + STORY + "</main>", ["Title here"], []),
+    ("<article><h2 id='related-work'>Related work</h2>" + STORY + "<section id='legal-framework'><h3>Law</h3>" + STORY + "</section></article>", ["Related work", "Law"], []),
+    ("<article><h2 id='comments'>On comments</h2>" + STORY + "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold in what follows, as it did before.</p></article>", ["On comments", "Let x=2 hold"], []),
+    ("<article><p>Short.</p><p>Shorter</p></article>", ["Short.", "Shorter"], []),
+    ("<article>" + STORY + "<div class='share-bar'>Share</div><div class='ad'><p>" + SENTENCE.replace("story", "product") + "</p></div>" + STORY + "</article>", [], ["Share", "product"]),
+    ("<article>" + STORY + "</article><div id='comments'><ol class='comment-list'><li class='comment'><article><p>"
+     + SENTENCE.replace("story", "remark") * 3 + "</p></article></li></ol></div>", [], ["remark"]),
+    ("<div class='shared-memory'>" + STORY + "</div>", [], []),
+])
+def test_articles_are_whole(spark, html, kept, gone):
+    page = ("<html><head><title>T</title></head><body class='with-sidebar'><nav><ul><li><a href=a>Home</a><li><a href=b>News of today</a></ul></nav>" + html
+            + "<aside class='widget-area'><p>" + SENTENCE.replace("story", "sidebar") + "</p></aside><footer>&copy; 2024 Someone</footer></body></html>")
+    for model in (html_main.fit(read_table(spark, SF01, "pages")), html_main.Model(html_main.prior_weights())):
+        text = model.extract(page)
+        assert text.count("story") == html.count("story") and all(k in text for k in kept)
+        assert not any(g in text for g in [*gone, "Home", "News", "sidebar", "2024"])
+
+
+@pytest.mark.parametrize(("words", "inside", "state"), [
+    ("post hentry", False, NOTHING), ("category-commentary", False, NOTHING), ("related-work", False, NOTHING), ("related-posts", False, NAMED),
+    ("share-bar", True, NAMED), ("site-header", False, MAYBE), ("article-header", True, NOTHING), ("masthead", True, NOTHING), ("Cookie-Notice", False, NAMED),
+    ("legal", False, MAYBE), ("legal-framework", False, NOTHING), ("x comment_list", False, COMMENTS), ("comments-open", False, NOTHING), ("tags ad", False, NAMED),
+    ("", False, NOTHING), ("adobe admin loading", False, NOTHING)])
+def test_names_are_whole_words(words, inside, state):
+    assert html_main.name_state(words, inside) == state
+
+
+def test_the_cut_changes_labels():
+    """A short line among paragraphs goes with them, and a long one among links with those, against their own costs."""
+    line = "<p>Ok</p>"
+    blocks = html_main.read_blocks("<div>" + STORY + line + STORY + "</div><div><ul>" + "".join("<li><a href=x>Go</a>" for _ in range(4)) + "</ul></div>")
+    model = html_main.Model(html_main.prior_weights())
+    cost, label = model.costs(blocks), model.labels(blocks)
+    at = [b.text for b in blocks].index("Ok")
+    assert cost[at] < 0 and label[at] and not label[-4:].any() and label[:7].all()
+    strength = np.zeros(len(blocks))
+    for a, b, w in html_main.ties(blocks):
+        strength[[a, b]] += w
+    assert (np.abs(cost) < strength).sum() >= 6  # not settled by their own costs
+    assert html_main.TEXT_CAP + np.abs(html_main.PRIOR).max() < 2 * html_main.TIE
+
+
+def test_long_pages_are_cut_in_time():
+    rng = random.Random(2)
+    html = "<main>" + "".join(rng.choice([f"<p>{SENTENCE}</p>", "<p>Go</p>", "<div><a href=x>Next</a></div>", "<div class=ad><p>Buy it now.</p></div>"]) for _ in range(20_000)) + "</main>"
+    text = html_main.Model(html_main.prior_weights()).extract(html)
+    assert text.count("story") == html.count("story")
 
 
 def test_html_cases(spark):
