@@ -238,7 +238,7 @@ def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
     for i, b in enumerate(blocks):
         if i:
             same = b.area == blocks[i - 1].area
-            out.append((i - 1, i, TIE / (1 + b.steps) * (1.0 if same else ACROSS)))
+            out.append((i - 1, i, TIE / (1 + b.steps) ** 2 * (1.0 if same else ACROSS)))
         j = last.get(b.parent)
         if j is not None and j < i - 1:
             out.append((j, i, TIE * (1.0 if b.area == blocks[j].area else ACROSS)))
