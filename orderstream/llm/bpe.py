@@ -21,6 +21,7 @@ repeated rows are each encoded; other columns are never read.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -43,6 +44,7 @@ CONTRACTION = "'(?:s|t|re|ve|m|ll|d)"
 NARROW = re.compile(f"[{LETTER}]+|{CONTRACTION}|[{NUMERAL}]|[^{SPACE}{LETTER}{NUMERAL}]+")
 BEYOND = re.compile("[^\x00-ɏ]")
 SHORT = 48  # symbols of a fragment for which single merges are the faster way
+LONG = 256  # symbols of words and fragments that aren't remembered: they hardly come again
 
 
 @lru_cache(maxsize=1)
@@ -70,16 +72,18 @@ def byte_letters() -> list[str]:
 
 
 class Remembered(dict):
-    """What ``make`` gives for a key; forgets everything beyond ``most`` keys."""
+    """What ``make`` gives for a key; forgets everything beyond ``most`` keys, and keeps no long ones."""
 
     def __init__(self, make, most: int):
         super().__init__()
         self.make, self.most = make, most
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= LONG:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
         return value
 
 
@@ -95,6 +99,8 @@ class Encoder:
         self.fragments = Remembered(self.merge, remember // 4)
         self.words = Remembered(self.word, remember)
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        starts = {t[:2] for t in special}  # a quick look for what special tokens begin with
+        self.mark_special = re.compile("|".join(map(re.escape, sorted(starts)))) if special else None
 
     @staticmethod
     def symbols(token: str) -> tuple[str, ...]:
@@ -122,20 +128,30 @@ class Encoder:
                 if i < len(rank):
                     rank[i] = rank_of((parts[i], parts[i + 1]), none)
             return " ".join([self.id_of[p] for p in parts])
-        while len(parts) > 1:  # all places of the best pair at a time
-            best = min(zip(parts, parts[1:]), key=lambda p: ranks.get(p, none))
-            if best not in ranks:
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == best[0] and parts[i + 1] == best[1]:
-                    out.append(best[0] + best[1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return " ".join([self.id_of[p] for p in parts])
+        return " ".join([self.id_of[p] for p in self._merge_long(parts)])
+
+    def _merge_long(self, parts: list) -> list[str]:
+        """The same merges by a heap of (rank, place) over linked symbols: n log n for a fragment of n."""
+        n, rank_of = len(parts), self.ranks.get
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of((parts[i], parts[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] is None or j >= n or rank_of((parts[i], parts[j])) != rank:
+                continue  # something merged here meanwhile
+            parts[i] += parts[j]
+            parts[j], k = None, after[j]
+            after[i] = k
+            if k < n:
+                before[k] = i
+                if (r := rank_of((parts[i], parts[k]))) is not None:
+                    heapq.heappush(heap, (r, i))
+            h = before[i]
+            if h >= 0 and (r := rank_of((parts[h], parts[i]))) is not None:
+                heapq.heappush(heap, (r, h))
+        return [p for p in parts if p is not None]
 
     def cut(self, symbols: list[str]) -> list[tuple[str, ...]]:
         inside, out, start = self.inside, [], 0
@@ -169,7 +185,7 @@ class Encoder:
 
     def encode(self, text: str) -> str:
         """The ids as decimal numbers, joined by one space."""
-        if self.split_special is None or "<|" not in text:
+        if self.split_special is None or not self.mark_special.search(text):
             return " ".join(self.plain(text))
         out: list[str] = []
         for part in self.split_special.split(text):

@@ -10,7 +10,8 @@ hash gives the windows that end so, and comparing the words decides.
 
 The benchmark is a stated set of queries: it is brought to the workers in blocks
 of at most ``block_chars`` characters, each block a pass over the documents, so a
-larger benchmark means more passes and not more memory.
+larger benchmark means more passes and not more memory. Only where there are several the different texts are
+dealt out once and written, so that the passes' rows can be put together.
 
 Defined cases: null or empty texts have no words and no hits; a text of any
 length is read in pieces that overlap by a window; items with a null or empty text have no
@@ -33,6 +34,8 @@ from orderstream.llm.common import map_arrow, text_or_empty, written
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BLOCK = 3
 PIECE = 4 << 20
+#: Characters of the benchmark that a pass compiles: tables of about 140 bytes each, so some 400 MB in a worker at most.
+BLOCK_CHARS = 3_000_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -175,7 +178,7 @@ def _blocks(benchmark: DataFrame, item_id: str, item_text: str, block_chars: int
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_id: str = "item_id", item_text: str = "text", window: int = 10,
-                       block_chars: int = 32_000_000) -> DataFrame:
+                       block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row for each document: id, n_words, hits (merged ranges of word
     positions, end exclusive), items (ids of the items found, sorted)."""
     spark = docs.sparkSession
@@ -190,9 +193,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     # that repeat an id are told apart by their text's digest and counted back.
     times = d.select("key", F.sha2("text", 256).alias("sha")).groupBy("key", "sha").agg(F.count(F.lit(1)).alias("times"))
     parts = None
+    once = written(spark, d.withColumn("sha", F.sha2("text", 256)).dropDuplicates(["key", "sha"]), "leak-texts")
+    marked = once.select(F.struct("key", "sha").alias("key"), "text")
     for items in itertools.chain([first, second], blocks):
-        once = d.withColumn("sha", F.sha2("text", 256)).dropDuplicates(["key", "sha"])
-        marked = once.select(F.struct("key", "sha").alias("key"), "text")
         run = map_arrow(marked, _pass(spark.sparkContext.broadcast(items), window),
                         schema.replace(f"key {key}", f"key struct<key:{key},sha:string>", 1))
         part = written(spark, run.select("key.key", "key.sha", "n_words", "hits", "items"), "leak-pass")
@@ -215,7 +218,7 @@ def _merge_ranges(column: str):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-                      item_text: str = "text", window: int = 10, block_chars: int = 32_000_000) -> DataFrame:
+                      item_text: str = "text", window: int = 10, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents without any occurrence, all their columns as they were."""
     spark = docs.sparkSession
     schema, done = docs.schema, 0

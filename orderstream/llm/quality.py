@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderstream.llm.common import fold, map_arrow, sliced, text_or_empty, written
+from orderstream.llm.common import fold, map_arrow, sliced, text_or_empty, unused, written
+from orderstream.llm.id_sets import id_number, keep_members, write_id_set
 
 HOLD_OUT_FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 MAX_ROWS = 100_000
@@ -220,6 +221,14 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     return model
 
 
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """The documents that ``fit`` can learn from, picked where they are read: those with a label that aren't held out."""
+    known = labels.where(F.col(f"`{label_col}`").isNotNull() & (fold(F.col(f"`{id_col}`"), HOLD_OUT_FOLDS) != HELD_OUT))
+    number, kind = unused(docs.columns, "number"), docs.schema[id_col].dataType.simpleString()
+    ids = known.select(F.col(f"`{id_col}`").cast(kind).alias("id"))
+    return keep_members(docs.withColumn(number, id_number(F.col(f"`{id_col}`"), kind)), number, write_id_set(ids, "id", "quality-labelled")).drop(number)
+
+
 def score(stats: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
     """(id, score) for every row of ``stats``."""
     key = stats.schema["id"].dataType.simpleString()

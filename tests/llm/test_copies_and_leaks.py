@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import duckdb
 import public_tokenizers
@@ -175,3 +176,20 @@ def test_drop_contaminated(spark, block_chars):
     items = spark.createDataFrame([(1, "A b c"), (2, "q r"), (3, None)], "item_id long, text string")
     kept = decontaminate.drop_contaminated(df, items, window=10, block_chars=block_chars)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 4]
+
+
+def test_long_unbroken_words():
+    """Irregular characters without a break: equal to the library, and in seconds at 200,000."""
+    path = public_tokenizers.path(queries.BPE_FILE)
+    with open(path, encoding="utf-8") as f:
+        encoder = bpe.read_encoder(f.read())
+    library, rnd = Tokenizer.from_file(path), random.Random(9)
+    library.no_truncation()
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "etaoinsrhé"):
+        for n in (bpe.SHORT - 1, bpe.SHORT + 2, 300, 20_000):
+            word = "".join(rnd.choice(letters) for _ in range(n))
+            assert encoder.encode(word) == " ".join(map(str, library.encode(word, add_special_tokens=False).ids))
+    begun = time.process_time()
+    encoder.encode("".join(rnd.choice("etaoinsr") for _ in range(200_000)))
+    assert time.process_time() - begun < 30
+    assert all(len(w) <= bpe.LONG for w in encoder.words) and all(len(w) <= bpe.LONG for w in encoder.fragments)
