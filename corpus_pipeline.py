@@ -15,28 +15,30 @@ from orderstream.llm.queries import BPE_FILE
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; it learns from labels as operator 1's query does."""
-    stats = written(spark, quality.document_statistics(docs), "quality-statistics")
-    return quality.keep_accepted(docs, quality.fit(stats, read_table(spark, sf_dir, "labels")))
+    """Documents that the quality classifier rejects go; it learns from labels as operator 1's query does. A document
+    without text is judged by its statistics like any other; rows that share an id are judged each."""
+    labels = read_table(spark, sf_dir, "labels")
+    stats = written(spark, quality.document_statistics(quality.labelled(docs, labels)), "quality-statistics")
+    return quality.keep_accepted(docs, quality.fit(stats, labels))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the smallest doc_id stays."""
+    """Of equal texts the smallest doc_id stays; null counts as empty, a row without id only stays where no other has one."""
     return exact_dedup.deduplicate(docs, keep="min")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the smallest doc_id stays."""
+    """Of each class of near copies the smallest doc_id stays; texts without words stand alone."""
     return near_dedup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go; without any item none does."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Token counts and digests of what is left, a row for each document, repeated ones too."""
     return bpe.encode_digests(docs, public_tokenizers.path(BPE_FILE))
 
 
