@@ -32,6 +32,7 @@ from orderstream.llm.words import U, buffers, mix
 
 BUCKETS, DIMENSIONS = 1 << 16, 16
 MAX_TEXTS = 500
+SAMPLE_SUBWORDS, SAMPLE_PART = 20_000, 500  # of a sampled text, and of each of its parts
 EPOCHS, RATE, PART = 6, 0.5, (8, 400)
 RANK_PARTS = 16  # parts of a language that are ranked on their own first
 CALIBRATION_SHARE = 5  # every fifth sample text isn't trained on
@@ -141,9 +142,18 @@ def _sgd(texts: list[np.ndarray], y: np.ndarray, languages: int, seed: int) -> t
     return np.ascontiguousarray((e @ w).T), b
 
 
+def spread(subwords: np.ndarray, most: int = SAMPLE_SUBWORDS, part: int = SAMPLE_PART) -> np.ndarray:
+    """All of a text's subwords, or of a longer text parts of ``part`` from all over it, ``most`` together."""
+    if len(subwords) <= most:
+        return subwords
+    starts = np.linspace(0, len(subwords) - part, most // part).astype(np.int64)
+    return np.concatenate([subwords[i:i + part] for i in starts])
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         max_texts: int = MAX_TEXTS, seed: int = 3) -> Model:
-    """Learn from ``docs``; the caller leaves out what is held out."""
+    """Learn from ``docs``; the caller leaves out what is held out. The sample is bounded: ``max_texts`` texts a
+    language, and ``SAMPLE_SUBWORDS`` of a long text (parts from all over it), some 20 MB a language at most."""
     d = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"),
                     F.col(f"`{lang_col}`").cast("string").alias("lang")).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     # the smallest draws of each language, first within parts of it: a language that
@@ -158,7 +168,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for batch in sliced(batches, "text", 1 << 20):
             b, at = subwords(*buffers(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(
-                [b[at[i]:at[i + 1]].astype(np.uint16).tobytes() for i in range(batch.num_rows)], pa.binary())], names=["id", "lang", "subwords"])
+                [spread(b[at[i]:at[i + 1]]).astype(np.uint16).tobytes() for i in range(batch.num_rows)], pa.binary())], names=["id", "lang", "subwords"])
 
     # picked where they are read: a join would move every text to find these few
     chosen = written(docs.sparkSession, chosen, "language-sample")

@@ -338,3 +338,15 @@ def test_word_piece_cases(spark):
     got = {r.doc_id: (r.n_words, r.n_tokens) for r in word_pieces.count_pieces(df, public_tokenizers.path(queries.BPE_FILE)).collect()}
     assert got[1] == got[2] == (0, 0) and got[3] == (3, 3) and got[4][0] == 1
     assert word_pieces.count_pieces(df.where("false"), public_tokenizers.path(queries.BPE_FILE)).count() == 0
+
+
+def test_samples_of_long_texts_are_bounded_and_come_from_all_over(spark):
+    short, long = np.arange(language.SAMPLE_SUBWORDS), np.arange(3_000_001)
+    assert (language.spread(short) == short).all()
+    part = language.spread(long)
+    assert len(part) == language.SAMPLE_SUBWORDS and part[0] == 0 and part[-1] == long[-1]
+    assert np.diff(part).max() < len(long) / 20
+    rows = [(i, f"{'der und die ' if i % 2 else 'the and of '}" * (300_000 if i < 2 else 20), "de" if i % 2 else "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(df, language.fit(df)).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
