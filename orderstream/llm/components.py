@@ -1,9 +1,9 @@
 """Connected components of links, by smallest labels with pointer jumping.
 
-Every round gives a vertex the smallest label among its own and its neighbours',
-then replaces labels by their own vertex's label, which halves long paths. Rounds
-are written to the shared folder; only the number of changed vertices reaches the
-driver. Neighbours are folded with min() and never gathered.
+Every round gives a vertex the smallest among its neighbours' labels and its own label's
+label, which halves long paths. Rounds are written to the shared folder; only the number
+of changed vertices, and the few vertices with a large part of all links or labels, reach the
+driver; their joins are spread over tasks. Neighbours are folded with min() and never gathered.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderstream.llm.common import written
+from orderstream.llm.spread import FLOOR, hot_keys, join_spread
 
 
-def connected_components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def connected_components(links: DataFrame, known: DataFrame | None = None, floor: int = FLOOR) -> DataFrame:
     """(v, component) for every vertex of ``links`` (a, b); the component is named by
     its smallest vertex. ``known``: components of a part of the links, of which only
     the links between different ones are looked at again."""
@@ -26,12 +27,19 @@ def connected_components(links: DataFrame, known: DataFrame | None = None) -> Da
             edges = edges.join(k, edges[end] == k["kv"], "left").withColumn(end, F.coalesce("kc", end)).drop("kv", "kc")
         edges = edges.where("a != b")
     both = written(spark, edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = written(spark, both.groupBy("a").agg(F.min("b").alias("n")).select(F.col("a").alias("v"), F.least("a", "n").alias("l")), "labels")
+    first = written(spark, both.groupBy("a").agg(F.min("b").alias("n"), F.count(F.lit(1)).alias("links"))
+                    .select(F.col("a").alias("v"), F.least("a", "n").alias("l"), "links"), "labels")
+    vertices = first.count()
+    hub = hot_keys(first.select(F.col("v").alias("b"), "links"), ["b"], "links", floor)
+    labels = first.select("v", "l")
     while True:
-        heard = both.join(labels.select(F.col("v").alias("b"), F.col("l").alias("bl")), "b").groupBy("a").agg(F.min("bl").alias("n"))
-        lower = labels.join(heard, labels["v"] == heard["a"]).select("v", F.col("l").alias("was"), F.least("l", "n").alias("m"))
-        of = labels.select(F.col("v").alias("m"), F.col("l").alias("ml"))
-        new = written(spark, lower.join(of, "m").select("v", "was", F.least("m", "ml").alias("l")), "labels")
+        heard = (join_spread(both, labels.select(F.col("v").alias("b"), F.col("l").alias("bl")), ["b"], hub, "a")
+                 .groupBy("a").agg(F.min("bl").alias("n")))
+        lower = labels.join(heard, labels["v"] == heard["a"]).select("v", "l", "n")
+        shared = hot_keys(labels.groupBy("l").agg(F.count(F.lit(1)).alias("of")), ["l"], "of", floor, vertices)
+        upper = labels.select(F.col("v").alias("l"), F.col("l").alias("ll"))
+        new = written(spark, join_spread(lower, upper, ["l"], shared, "v")
+                      .select("v", F.col("l").alias("was"), F.least("n", "ll").alias("l")), "labels")
         changed = new.where("l != was").limit(1).count()
         labels = new.select("v", "l")
         if not changed:
@@ -40,6 +48,8 @@ def connected_components(links: DataFrame, known: DataFrame | None = None) -> Da
     if known is None:
         return found
     f = found.select(F.col("v").alias("fv"), F.col("component").alias("fc"))
-    old = known.join(f, known["component"] == f["fv"], "left").select("v", F.coalesce("fc", "component").alias("component"))
+    sizes = known.groupBy("component").agg(F.count(F.lit(1)).alias("of"))
+    old = (join_spread(known, f.withColumnRenamed("fv", "component"), ["component"], hot_keys(sizes, ["component"], "of", floor, known.count()), "v", "left")
+           .select("v", F.coalesce("fc", "component").alias("component")))
     fresh = found.join(known, "v", "left_anti")
     return written(spark, old.unionByName(fresh.select("v", "component")), "components")

@@ -3,7 +3,8 @@
 Texts are grouped by a 128-bit content hash; inside a hash group the grouping key
 also holds the text itself, so equal bytes are what makes a group and a collision
 of hashes makes two. Copies collapse in every map task before the shuffle: a text
-that a third of all rows share reaches the reducers as one row a task.
+that a third of all rows share reaches the reducers as one row a task; where rows meet
+their class again, the rows of such a text are spread over tasks.
 
 Defined cases: a null text counts as empty; empty texts are copies of each other;
 a null id is never preferred over another; rows that share id and text are
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderstream.llm.common import text_or_empty, unused, written
+from orderstream.llm.spread import FLOOR, hot_keys, join_spread
 
 
 def md5_128(text: Column) -> Column:
@@ -38,7 +40,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, keep: str, digest: Cal
 
 
 def group_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
-                 digest: Callable[[Column], Column] = md5_128) -> DataFrame:
+                 digest: Callable[[Column], Column] = md5_128, floor: int = FLOOR) -> DataFrame:
     """A row for each input row: id, keep_id, group_size, kept, text_sha256.
 
     Rows meet their class by the content hash. Only where a hash has several
@@ -53,7 +55,7 @@ def group_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     split = not collided.isEmpty()
     if split:
         single = classes.join(collided, "hash", "left_anti")
-    out = rows.join(single, "hash")
+    out = join_spread(rows, single, ["hash"], hot_keys(single, ["hash"], "group_size", floor), "id")
     if split:
         several = classes.join(collided, "hash", "left_semi")
         twins = docs.select(F.col(f"`{id_col}`").alias("id"), digest(text).alias("hash"), F.sha2(text, 256).alias("text_sha256"))

@@ -17,9 +17,11 @@ one centre, the member that shares most buckets with others, so a group of m nea
 copies costs about m verifications. Only members whose bucket then still shows
 several components are held against the members of the other components, with
 the agreement of finer sketches, weighted or plain, as a join condition; what is already
-connected or verified isn't compared again, and no other pair is left out. Links are verified
+connected or verified isn't compared again, and no other pair is left out. The members of
+a large bucket are dealt to blocks, and each pair of blocks is a key of its own. Links are verified
 on whole texts: the exact probability Jaccard, or the plain Jaccard of the shingle sets,
-reaches the threshold. Classes are the connected components of the links.
+reaches the threshold. Classes are the connected components of the links. Where a bucket, a centre, a word
+sequence or a class holds a large part of all rows, its joins are spread over tasks.
 
 Defined cases: null, empty and wordless texts have no shingles and stand alone;
 a row without id gets the class of its copies, or null; rows that share an id are
@@ -29,7 +31,7 @@ result; other columns never matter, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 from orderstream.llm.common import map_arrow, sliced, text_or_empty, unused, written
 from orderstream.llm.components import connected_components
 from orderstream.llm.id_sets import id_number, keep_members, write_id_set
+from orderstream.llm.spread import FLOOR, block_of, hot_keys, join_spread
 from orderstream.llm.words import ALNUM, U, hash_batch, mix
 
 REGISTERS, BANDS, ROWS = 256, 28, 6
@@ -49,6 +52,8 @@ FINE_REGISTERS = 1024
 SLACK, FINE_SLACK = 0.1, 0.05
 #: So many shingles still in play or less are few: numpy's own overhead counts more than the arrivals.
 FEW = 2000
+#: So many members of a bucket are compared in one task of the second round; so many pairs of one text are verified in one.
+BLOCK, PAIRS = 1024, 4096
 #: A shingle that occurs 8 times weighs a quarter more than one that occurs once: a text
 #: that repeats a line is told by its other shingles too.
 DAMPING = 8.0
@@ -260,18 +265,27 @@ def _first_shared(x: str, y: str) -> Column:
     return F.array_min(F.array_intersect(x, y))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, key: str, shingle: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose whole texts reach the threshold."""
-    both = (pairs.join(texts.select(F.col("v").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("v").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b"))
-    return map_arrow(both, lambda it: _verify(it, shingle, threshold), f"a {key}, b {key}")
+def _with_ends(pairs: DataFrame, table: Callable[[str], DataFrame], floor: int) -> DataFrame:
+    """The pairs (a, b), a written table, joined with ``table(end)`` at both ends."""
+    total, both = pairs.count(), pairs
+    for v, other in (("a", "b"), ("b", "a")):
+        hot = hot_keys(pairs.groupBy(v).agg(F.count(F.lit(1)).alias("n")), [v], "n", floor, total)
+        both = join_spread(both, table(v), [v], hot, other)
+    return both
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, key: str, shingle: int, threshold: float, most: int) -> DataFrame:
+    """The pairs (a, b), a written table, whose whole texts reach the threshold. A text with more than ``most`` pairs, a centre,
+    is copied to several tasks."""
+    both = _with_ends(pairs, lambda v: texts.select(F.col("v").alias(v), F.col("text").alias(f"text_{v}")), most)
+    return map_arrow(both.select("a", "b", "text_a", "text_b"), lambda it: _verify(it, shingle, threshold), f"a {key}, b {key}")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                 threshold: float = 0.8) -> DataFrame:
+                 threshold: float = 0.8, block: int = BLOCK, most: int = PAIRS, floor: int = FLOOR) -> DataFrame:
     """A row for each input row: id, class_id (the smallest id of its class),
-    class_size (rows of the class), kept (the id is its class's)."""
+    class_size (rows of the class), kept (the id is its class's). ``block``, ``most`` and ``floor``
+    are sizes beyond which the work of a bucket, a text or a class is split; results don't depend on them."""
     spark = docs.sparkSession
     key = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
@@ -279,12 +293,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                       f"id {key}, key1 long, key2 long, bands array<bigint>, sketch array<bigint>, plain array<bigint>"), "near-signed")
 
     # one vertex for each word sequence, named by its smallest id
-    vertex = written(spark, signed.where("key1 IS NOT NULL").groupBy("key1", "key2").agg(F.min("id").alias("v")), "near-vertices")
-    reps = (signed.join(vertex.where("v IS NOT NULL"), ["key1", "key2"]).where("id = v")
-            .select("v", "bands", "sketch", "plain"))
+    vertex = written(spark, signed.where("key1 IS NOT NULL").groupBy("key1", "key2")
+                     .agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("n")), "near-vertices")
+    hot_vertex = hot_keys(vertex, ["key1", "key2"], "n", floor)
+    reps = (join_spread(signed, vertex.where("v IS NOT NULL").select("key1", "key2", "v"), ["key1", "key2"], hot_vertex, "id")
+            .where("id = v").select("v", "bands", "sketch", "plain"))
     rows = reps.select("v", F.explode("bands").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(spark, rows.join(sizes, "bucket"), "near-buckets")
+    sizes = written(spark, rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-bucket-sizes")
+    hot_bucket = hot_keys(sizes, ["bucket"], "n", floor)
+    shared = written(spark, join_spread(rows, sizes, ["bucket"], hot_bucket, "v"), "near-buckets")
     members = shared.select("v").distinct()
     sketch = written(spark, reps.join(members, "v", "left_semi").dropDuplicates(["v"]), "near-sketches")
     # the texts of these alone, picked where they are read: most documents share no bucket
@@ -297,46 +314,55 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranked = shared.join(reach, "v").withColumn(
         "rank", F.least(F.col("reach"), F.lit(1 << 40)) * F.lit(1 << 20) + F.pmod(F.xxhash64("v"), F.lit(1 << 20)))
     centres = ranked.groupBy("bucket").agg(F.max_by("v", "rank").alias("centre"))
-    star = (shared.join(centres, "bucket").where("v != centre")
-            .select(F.least("v", "centre").alias("a"), F.greatest("v", "centre").alias("b")).distinct())
-    likely = (star.join(sketch.select(F.col("v").alias("a"), *_sketch_of("a", "sketch", "plain")), "a")
-              .join(sketch.select(F.col("v").alias("b"), *_sketch_of("b", "sketch", "plain")), "b")
+    star = written(spark, join_spread(shared, centres, ["bucket"], hot_bucket, "v").where("v != centre")
+                   .select(F.least("v", "centre").alias("a"), F.greatest("v", "centre").alias("b")).distinct(), "near-star")
+    likely = (_with_ends(star, lambda v: sketch.select(F.col("v").alias(v), *_sketch_of(v, "sketch", "plain")), floor)
               .where(_likely("a", "b", REGISTERS, threshold - SLACK)).select("a", "b"))
-    links = written(spark, _verified(likely, texts, key, shingle, threshold), "near-links")
-    comp = connected_components(links)
+    likely = written(spark, likely, "near-likely")
+    links = written(spark, _verified(likely, texts, key, shingle, threshold, most), "near-links")
+    comp = connected_components(links, floor=floor)
 
     # second round: where a bucket still shows several components, members outside
     # the centre's component against the members of all other components, the centre too:
     # a pair that the first round's sketches refused is told by the finer ones
     labelled = (shared.select("bucket", "v").join(comp, "v", "left")
                 .select("bucket", "v", F.coalesce("component", "v").alias("c")))
-    mixed = labelled.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("bucket")
-    open_rows = written(spark, labelled.join(mixed, "bucket").join(centres, "bucket"), "near-open")
+    mixed = (labelled.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("members"))
+             .where("low != high").join(centres, "bucket")
+             .select("bucket", "centre", F.ceil(F.col("members") / F.lit(block)).cast("int").alias("blocks")))
+    open_rows = written(spark, join_spread(labelled, mixed, ["bucket"], hot_bucket, "v"), "near-open")
     fine = map_arrow(texts.join(open_rows.select("v").distinct(), "v", "left_semi"), lambda it: _sign_finely(it, shingle), f"v {key}, fine array<bigint>, fine_plain array<bigint>")
     fine = written(spark, fine.join(sketch.select("v", "bands"), "v"), "near-fine")
-    open_rows = written(spark, open_rows.join(fine, "v"), "near-open-signed")
     main = open_rows.where("v = centre").select("bucket", F.col("c").alias("main"))
-    rest = open_rows.join(main, "bucket").where("c != main").select(
-        "bucket", F.col("v").alias("u"), F.col("c").alias("cu"), F.col("bands").alias("bu"), *_sketch_of("u", "fine", "fine_plain"))
-    right = open_rows.join(main, "bucket").select(
-        "bucket", F.col("v").alias("w"), F.col("c").alias("cw"), F.col("bands").alias("bw"), "main", *_sketch_of("w", "fine", "fine_plain"))
-    cross = (rest.join(right, (rest["bucket"] == right["bucket"]) & (F.col("cu") != F.col("cw"))
+    open_rows = written(spark, join_spread(open_rows, main, ["bucket"], hot_bucket, "v").join(fine, "v"), "near-open-signed")
+    # block i of the rest meets block j of all members under the key (bucket, i, j)
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rest = open_rows.where("c != main").select(
+        "bucket", block_of("v", F.col("blocks")).alias("i"), every.alias("j"), F.col("v").alias("u"), F.col("c").alias("cu"),
+        F.col("bands").alias("bu"), *_sketch_of("u", "fine", "fine_plain"))
+    right = open_rows.select(
+        "bucket", block_of("v", F.col("blocks")).alias("j"), every.alias("i"), F.col("v").alias("w"), F.col("c").alias("cw"),
+        F.col("bands").alias("bw"), "main", *_sketch_of("w", "fine", "fine_plain"))
+    cross = (rest.join(right, (rest["bucket"] == right["bucket"]) & (rest["i"] == right["i"]) & (rest["j"] == right["j"])
+                       & (F.col("cu") != F.col("cw"))
                        & ((F.col("cw") == F.col("main")) | (F.col("u") < F.col("w")))
                        & _likely("u", "w", FINE_REGISTERS, threshold - FINE_SLACK)
                        & (_first_shared("bu", "bw") == rest["bucket"]))
              .select(F.least("u", "w").alias("a"), F.greatest("u", "w").alias("b")).distinct())
-    cross = cross.join(likely, ["a", "b"], "left_anti")
-    more = written(spark, _verified(cross, texts, key, shingle, threshold), "near-more-links")
-    comp = connected_components(links.unionByName(more), known=comp)
-
-    named = (vertex.join(comp, "v", "left")
-             .select("key1", "key2", F.coalesce("component", "v").alias("component")))
-    classed = written(spark, signed.select("id", "key1", "key2").join(named, ["key1", "key2"], "left")
-                      .select("id", F.when(F.col("key1").isNull(), F.col("id")).otherwise(F.col("component")).alias("class_id"),
-                              F.col("key1").isNull().alias("alone")), "near-classes")
-    sizes = classed.where("NOT alone").groupBy(F.col("class_id").alias("of")).agg(F.count(F.lit(1)).alias("class_size"))
-    out = classed.where("NOT alone").join(sizes, F.col("class_id").eqNullSafe(F.col("of"))).select("id", "class_id", "class_size")
-    out = out.unionByName(classed.where("alone").select("id", "class_id", F.lit(1).cast("long").alias("class_size")))
+    cross = written(spark, cross.join(likely, ["a", "b"], "left_anti"), "near-cross")
+    more = written(spark, _verified(cross, texts, key, shingle, threshold, most), "near-more-links")
+    comp = connected_components(links.unionByName(more), known=comp, floor=floor)
+
+    # a class has the rows of its vertices; copies without any id are a class without a name
+    named = written(spark, vertex.join(comp, "v", "left")
+                    .select("key1", "key2", "v", "n", F.coalesce("component", "v").alias("class_id")), "near-named")
+    sizes = written(spark, named.where("class_id IS NOT NULL").groupBy("class_id").agg(F.sum("n").alias("class_size"), F.count(F.lit(1)).alias("vertices")), "near-sizes")
+    hot_class = hot_keys(sizes, ["class_id"], "vertices", floor)
+    sized = join_spread(named, sizes.drop("vertices"), ["class_id"], hot_class, "v", "left")
+    sized = sized.select("key1", "key2", "class_id", F.coalesce("class_size", "n").alias("class_size"))
+    out = join_spread(signed.where("key1 IS NOT NULL").select("id", "key1", "key2"), sized, ["key1", "key2"], hot_vertex, "id")
+    out = out.select("id", "class_id", "class_size")
+    out = out.unionByName(signed.where("key1 IS NULL").select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
     return out.select(F.col("id").alias(id_col), "class_id", "class_size", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 

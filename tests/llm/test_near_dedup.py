@@ -6,10 +6,12 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from orderstream.llm import near_dedup as nd
 from orderstream.llm import queries
 from orderstream.llm.components import connected_components
+from orderstream.llm.spread import hot_keys, join_spread
 from orderstream.llm.words import ALNUM, UNBLANK, buffers, hash_words
 
 SF001 = "/root/testdata/sf0.001"
@@ -121,6 +123,36 @@ def test_large_group_of_near_copies_without_all_pairs(spark):
     assert {r.doc_id: r.class_id for r in nd.near_classes(df).collect()} == brute_classes(docs)
 
 
+def test_split_work_gives_the_same_classes(spark):
+    """Every bucket in blocks of two, every centre, word sequence and class spread: hot keys of all kinds."""
+    rnd = random.Random(17)
+    # families on one template that don't link to their centre, near copies, and equal texts
+    texts = variants(rnd, 16, 16) + variants(rnd, 20, 3) + ["the same words in each of these texts"] * 30 + ["x y"] * 3
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame([*docs, (None, "nameless words"), (None, "Nameless, words")], "doc_id long, text string")
+    got = nd.near_classes(df, block=2, most=2, floor=2).collect()
+    want = brute_classes(docs)
+    assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == want
+    sizes = {c: list(want.values()).count(c) for c in want.values()}
+    assert all(r.class_size == sizes[r.class_id] for r in got if r.doc_id is not None)
+    assert [(r.class_id, r.class_size) for r in got if r.doc_id is None] == [(None, 2)] * 2
+    assert len(got) == len(docs) + 2
+
+
+def test_hot_keys_are_few_and_spread(spark):
+    sizes = spark.createDataFrame([(i, 1) for i in range(500)] + [(1000, 9_000), (1001, 40)], "k long, n long")
+    hot = hot_keys(sizes, ["k"], "n", floor=20)
+    assert {r.k: r.parts for r in hot.collect()} == {1000: 450, 1001: 2}
+    assert hot_keys(sizes, ["k"], "n", floor=9_000) is None and hot_keys(sizes.where("false"), ["k"], "n") is None
+    rows = spark.range(9_000).select(F.lit(1000).cast("long").alias("k"), F.col("id").alias("i"))
+    rows = rows.unionByName(spark.createDataFrame([(1, -1), (2000, -2), (None, -3)], "k long, i long"))
+    table = sizes.select("k", "n")
+    for how in ("inner", "left"):
+        got = join_spread(rows, table, ["k"], hot, "i", how)
+        assert got.columns == ["k", "i", "n"]
+        assert sorted(got.collect(), key=repr) == sorted(rows.join(table, ["k"], how).collect(), key=repr)
+
+
 def test_defined_cases(spark):
     long = "verylong " * 200_000
     rows = [(1, None), (2, ""), (3, "?!"), (4, "same words here"), (5, "Same  words, here"), (5, "Same  words, here"),
@@ -145,9 +177,11 @@ def test_components(spark):
     first = connected_components(df)
     assert dict(map(tuple, first.collect())) == want
     more = spark.createDataFrame([(120, 8), (9, 600)], "a long, b long")
-    merged = connected_components(df.unionByName(more), known=first)
-    want |= {i: 7 for i in range(100, 141)} | {600: 3}
-    assert dict(map(tuple, merged.collect())) == want
+    joined = want | {i: 7 for i in range(100, 141)} | {600: 3}
+    for floor in (50_000, 2):  # 2: the star's centre and the labels are spread
+        assert dict(map(tuple, connected_components(df, floor=floor).collect())) == want
+        merged = connected_components(df.unionByName(more), known=first, floor=floor)
+        assert dict(map(tuple, merged.collect())) == joined
 
 
 def test_query_over_the_table(spark):
