@@ -165,9 +165,16 @@ class Model:
         blocks = ids >> self.block_bits
         for b in np.unique(blocks):
             part = slice(*np.searchsorted(blocks, [b, b + 1]))
-            out[part] = self.array(f"around-{b}", U).reshape(-1, 5)[ids[part] - (b << self.block_bits)]
+            out[part] = self._block(int(b))[ids[part] - (b << self.block_bits)]
         return out
 
+    def block_size(self, b: int) -> int:
+        return min(1 << self.block_bits, self.words + 1 - (b << self.block_bits))
+
+    def _block(self, b: int) -> np.ndarray:
+        stored = self.array(f"around-{b}", np.uint8)  # of the narrowest type that holds the block's largest
+        return stored.view(f"u{len(stored) // (5 * self.block_size(b))}").reshape(-1, 5)
+
     def pair_counts(self, left: np.ndarray, right: np.ndarray, left_count: np.ndarray) -> np.ndarray:
         if self.order == 3:
             return self._continuations(left, right, left_count)
@@ -360,12 +367,11 @@ def train(docs: DataFrame, text_col: str = "text", flush_tokens: int = FLUSH_TOK
 
     def add_around(batches):
         for b, held in _by_shard(batches):
-            size = min(1 << block_bits, model.words + 1 - (b << block_bits))
-            out = np.zeros((size, 5), np.int64)
+            out = np.zeros((model.block_size(b), 5), np.int64)
             for keys, counts in zip(*held):
                 out_at = np.frombuffer(keys, np.uint32)
                 out[out_at] += lm_triples.unplaned(counts, np.int64).reshape(5, -1).T  # ids don't repeat within a record
-            write_file(f"{model.folder}/around-{b}", out.tobytes())
+            write_file(f"{model.folder}/around-{b}", lm_triples.narrowest(out.ravel()))
             yield pa.RecordBatch.from_arrays([pa.array([int((out[:, 3] == k).sum())], pa.int64()) for k in (1, 2, 3, 4)],
                                              names=["n1", "n2", "n3", "n4"])
 
@@ -380,7 +386,7 @@ def train(docs: DataFrame, text_col: str = "text", flush_tokens: int = FLUSH_TOK
 
 
 def written_rows(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
