@@ -41,3 +41,21 @@ def test_windows_take_no_calls_by_key(spark, tmp_dir, monkeypatch):
         q.stop()
     want = rows.groupBy("k", "n", F.col("event_time").alias("start")).agg(F.sum("v").alias("total"), F.max("at").alias("last"))
     assert sorted(map(str, spark.read.parquet(out).collect())) == sorted(map(str, want.collect())) and want.count() == 150
+
+
+def test_a_ledger_has_bounded_folders(spark, tmp_dir):
+    def batch(low, high):
+        return spark.range(low, high).select(*[(F.col("id") if f.name == "offset" else F.lit(None)).cast(f.dataType).alias(f.name) for f in TOPIC_RECORD.fields]).withColumns(
+            {"topic": F.lit("t"), "partition": (F.col("offset") % 12).cast("int")})
+
+    t = OnceTable(f"{tmp_dir}/t", TOPIC_RECORD, offset_range=10, run="a")
+    t.write_batch(batch(-35, 20_000), 0)
+    folders = list(pathlib.Path(f"{tmp_dir}/t/ledger").rglob("last_range=*"))
+    assert 1 < len(folders) <= once.FOLDERS  # and not one for each of 2,004 ranges
+    assert len(list(pathlib.Path(f"{tmp_dir}/t/ledger").rglob("*.parquet"))) <= once.FOLDERS + 8
+    t.write_batch(batch(19_990, 20_005), 1)
+    t.write_batch(batch(-40, -30), 2)
+    t.write_batch(batch(9_995, 10_005), 3)
+    t.write_batch(batch(20_003, 20_010), 4)
+    assert [r["rows"] for r in t.commits(spark).orderBy("batch_id").collect()] == [20_035, 5, 5, 0, 5]
+    assert t.read(spark).select("offset").distinct().count() == t.read(spark).count() == 20_050
