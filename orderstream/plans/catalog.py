@@ -407,10 +407,26 @@ def _until_broken(query) -> None:
             raise
 
 
-def _parts_by_offset(records: DataFrame, path: str, parts: int = STREAM_PARTS) -> None:
-    """The records as ``parts`` lots of Parquet files under ``path``, dealt by offset."""
+#: Rows of one file of a lot, about, if a lot is large.
+FILE_ROWS = 250_000
+
+
+def _files_of_a_lot(rows: DataFrame, lots: int) -> int:
+    """So many files for each of ``lots`` lots: one file for a small lot, and files of a bounded size for a large one."""
+    return max(1, rows.count() // (lots * FILE_ROWS))
+
+
+def _append_lot(lot: DataFrame, path: str, files: int) -> None:
+    """The table is read by many tasks and the lot dealt to its files' tasks; none reads the table alone."""
+    lot.repartition(files).write.mode("append").parquet(path)
+
+
+def _parts_by_offset(records: DataFrame, path: str, parts: int = STREAM_PARTS) -> int:
+    """The records as ``parts`` lots of Parquet files under ``path``, dealt by offset. Returns the files of a lot, for a trigger to take."""
+    files = _files_of_a_lot(records, parts)
     for i in range(parts):
-        records.where(F.expr(f"offset div 50 % {parts}") == i).coalesce(1).write.mode("append").parquet(path)
+        _append_lot(records.where(F.expr(f"offset div 50 % {parts}") == i), path, files)
+    return files
 
 
 def q_stream_retry_continuous(spark, sf_dir):
@@ -426,12 +442,13 @@ def q_stream_retry_continuous(spark, sf_dir):
     clock = {"least": 0}
     table = RetryRelease(spark, out, clock_ms=lambda: max(next(ticks), clock["least"]))
     republished = OnceTable(topic, RETRY_RECORD, run="retries")
+    files = _files_of_a_lot(recs, STREAM_PARTS)
     recs.limit(0).write.parquet(src)
-    ingest = (spark.readStream.schema(recs.schema).option("maxFilesPerTrigger", "1").parquet(src).writeStream.foreachBatch(table.ingest)
+    ingest = (spark.readStream.schema(recs.schema).option("maxFilesPerTrigger", str(files)).parquet(src).writeStream.foreachBatch(table.ingest)
               .option("checkpointLocation", ck).start())
     try:
         for i in range(STREAM_PARTS):
-            recs.where(F.expr(f"offset div 50 % {STREAM_PARTS}") == i).coalesce(1).write.mode("append").parquet(src)
+            _append_lot(recs.where(F.expr(f"offset div 50 % {STREAM_PARTS}") == i), src, files)
             table.release()  # while the part is being taken in
             table.publish(republished.write_batch)
         ingest.processAllAvailable()
@@ -455,7 +472,7 @@ def q_stream_dlq_once(spark, sf_dir):
     apply_core_conf(spark)
     src, out = (scratch_path(spark, n) for n in ("once-src", "once-out"))
     records = FX.order_records(spark, sf_dir)
-    _parts_by_offset(records, src)
+    files = _parts_by_offset(records, src)
     schema = T.StructType([f for f in TOPIC_RECORD.fields if f.name != "timestamp"])
     broken = []
 
@@ -469,7 +486,7 @@ def q_stream_dlq_once(spark, sf_dir):
     table = Breaks(out, schema, offset_range=1000)
 
     def run(ck):
-        stream = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", "1").parquet(src)
+        stream = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", str(files)).parquet(src)
         at = ("topic", "partition", "offset")
         dead = as_dlq_records(dlq_plan(stream, keep=at), keep=at)
         return dead.writeStream.foreachBatch(table.write_batch).option("checkpointLocation", ck).trigger(availableNow=True).start()
@@ -488,7 +505,7 @@ def q_stream_split_job(spark, sf_dir):
     is started again."""
     apply_core_conf(spark)
     src, dead, good, ck = (scratch_path(spark, n) for n in ("split-src", "split-dead", "split-good", "split-ck"))
-    _parts_by_offset(FX.order_records(spark, sf_dir), src)
+    files = _parts_by_offset(FX.order_records(spark, sf_dir), src)
     at = [f for f in TOPIC_RECORD.fields if f.name in ("topic", "partition", "offset")]
     event = [f for f in ORDER_EVENT.fields]
     dlq = OnceTable(dead, T.StructType([*at, *event, T.StructField("dlq_reason", T.StringType())]))
@@ -502,7 +519,7 @@ def q_stream_split_job(spark, sf_dir):
         valid.write_batch(df, batch_id)
 
     def start():
-        stream = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", "1").parquet(src)
+        stream = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", str(files)).parquet(src)
         return start_split_job(spark, stream, valid_sink, dlq.write_batch, name=f"split-{ck[-6:]}", checkpoint=ck, trigger={"availableNow": True})
 
     _until_broken(start())
@@ -559,8 +576,9 @@ def q_stream_dedup_history(spark, sf_dir):
     src, out, ck, keys = (scratch_path(spark, n) for n in ("history-src", "history-out", "history-ck", "history-keys"))
     oe = tag_events(FX.order_events(spark, sf_dir), None).where(F.col("dlq_reason").isNull()).select("order_id", "user_id", "amount", "status", "timestamp", "event_id")
     copies = oe.where(F.col("event_id") % 97 == 0)
+    files = 2 * _files_of_a_lot(oe, 4)
     for part in (oe.where(F.col("event_id") % 2 == 0), oe.where(F.col("event_id") % 2 == 1).unionByName(copies), copies.unionByName(copies)):
-        part.coalesce(2).write.mode("append").parquet(src)
+        _append_lot(part, src, files)
     broken = []
 
     def sink(df, batch_id):
@@ -572,7 +590,7 @@ def q_stream_dedup_history(spark, sf_dir):
     history = DuplicateHistory(spark, keys, f"history_{keys[-8:]}", sink=sink, buckets=8)
 
     def run():
-        stream = spark.readStream.schema(oe.schema).option("maxFilesPerTrigger", "2").parquet(src)
+        stream = spark.readStream.schema(oe.schema).option("maxFilesPerTrigger", str(files)).parquet(src)
         return stream.writeStream.foreachBatch(history.write_batch).option("checkpointLocation", ck).trigger(availableNow=True).start()
 
     _until_broken(run())

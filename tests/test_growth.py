@@ -59,3 +59,19 @@ def test_a_ledger_has_bounded_folders(spark, tmp_dir):
     t.write_batch(batch(20_003, 20_010), 4)
     assert [r["rows"] for r in t.commits(spark).orderBy("batch_id").collect()] == [20_035, 5, 5, 0, 5]
     assert t.read(spark).select("offset").distinct().count() == t.read(spark).count() == 20_050
+
+
+def test_a_lot_has_files_of_bounded_size(spark, tmp_dir, monkeypatch):
+    """A large lot is several files, which one batch takes together; no task reads the whole table alone."""
+    monkeypatch.setattr(catalog, "FILE_ROWS", 100)
+    records = spark.range(0, 2000, 1, 3).select(F.col("id").alias("offset"))
+    files = catalog._parts_by_offset(records, f"{tmp_dir}/in")
+    sizes = spark.read.parquet(f"{tmp_dir}/in").groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.expr("offset div 50 % 4")).alias("lots")).collect()
+    assert files == 5 and len(sizes) == 20 and all(90 <= r["n"] <= 110 and r["lots"] == 1 for r in sizes)
+    seen = []
+    q = (spark.readStream.schema("offset long").option("maxFilesPerTrigger", str(files)).parquet(f"{tmp_dir}/in").writeStream
+         .foreachBatch(lambda df, i: seen.append(sorted({r[0] for r in df.selectExpr("offset div 50 % 4").collect()})))
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert seen == [[0], [1], [2], [3]]
+    assert catalog._parts_by_offset(records.limit(0), f"{tmp_dir}/none") == 1
