@@ -7,11 +7,12 @@ overlap. Boosted trees judge a candidate by its format and the words around it,
 probabilities are calibrated, and a threshold for each kind, set on rows kept
 from training, selects the redactions that are added.
 
-Labels come from the documents themselves: base matches of a bounded sample of each kind,
+Labels come from the documents themselves: the base matches of every text,
 rewritten in the ways the generators look for, are the positives; the same
 rewritings of broken values (failing checksums, parts over 255, wrong lengths) and the
-sample's own candidates that no check supports are the negatives. Without any
-base match in the sample nothing is learnt and nothing is added.
+texts' own candidates that no check supports are the negatives. Bins, trees, calibration and
+thresholds come from all of them: sums over the rows are taken by Spark, and only sums of a
+bounded number of cells come to the driver. Without any base match nothing is learnt and nothing is added.
 
 Defined cases: a null text counts as empty and has no spans; positions are code
 points, ends exclusive; a candidate that overlaps a base span is dropped, of
@@ -24,9 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +36,14 @@ from pyspark.sql import functions as F
 from orderstream.llm.common import map_arrow, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TEXTS, MAX_ROWS = 4000, 40_000
 TREES, DEPTH, RATE, BINS = 60, 3, 0.2, 32
 PRECISION = 0.995
+#: Training rows kept for calibration and thresholds. After so many trees the rows' margins are written anew.
+ASIDE, REFRESH = 0.25, 15
+#: Cells of a unit of the margin in which calibration and thresholds count rows.
+CELLS = 1024
+#: Up to so many tasks a pass's sums, some 70 KB of each task, go to the driver at once.
+FEW_TASKS = 64
 
 # Base patterns: the asked-for expressions, with the starts that can't match left out
 # (a run's later starts fail where its first one does), so that searching is linear.
@@ -165,51 +170,156 @@ class Trees:
         return np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)], axis=1)
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        b = self.binned(x)
-        out = np.full(len(x), self.start)
-        for split, leaf in zip(self.splits, self.leaves):
-            node = np.zeros(len(x), np.int64)
-            for f, cut in split:
-                node = node * 2 + (b[np.arange(len(x)), f[node]] > cut[node])
-            out += leaf[node]
+        return self.add(self.binned(x), np.full(len(x), self.start))
+
+    def add(self, b: np.ndarray, out: np.ndarray, since: int = 0) -> np.ndarray:
+        """``out`` with the leaves added that the binned rows reach in the trees from ``since`` on."""
+        for split, leaf in zip(self.splits[since:], self.leaves[since:]):
+            out += leaf[_nodes(b, split)]
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE, ridge: float = 1.0) -> Trees:
-    """Gradient boosting on the logistic loss with second-order leaves."""
-    model = Trees([np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])])
-    b = model.binned(x)
+def _nodes(b: np.ndarray, split: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    node = np.zeros(len(b), np.int64)
+    for f, cut in split:
+        node = node * 2 + (b[np.arange(len(b)), f[node]] > cut[node])
+    return node
+
+
+def _sums(b: np.ndarray, y: np.ndarray, f: np.ndarray, split: list[tuple[np.ndarray, np.ndarray]], width: int) -> np.ndarray:
+    """The sums of gradients and of curvatures by node, feature and bin, of rows with margins ``f``."""
+    p = 1 / (1 + np.exp(-f))
+    node, n = _nodes(b, split), 1 << len(split)
+    out = np.zeros((2, n, b.shape[1], width))
+    for j in range(b.shape[1]):
+        key = node * width + b[:, j]
+        for k, v in enumerate((y - p, p * (1 - p))):
+            out[k, :, j] = np.bincount(key, v, n * width).reshape(n, width)
+    return out
+
+
+def _best(sums: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, cut) of each node's best split, and the sums of the nodes below, in pairs."""
+    _, n, features, width = sums.shape
+    gs, hs = sums.cumsum(axis=3)
+    best, feature, cut = np.zeros(n), np.zeros(n, np.int64), np.full(n, width)
+    for j in range(features):
+        g, h, gt, ht = gs[:, j], hs[:, j], gs[:, j, -1:], hs[:, j, -1:]
+        gain = g ** 2 / (h + ridge) + (gt - g) ** 2 / (ht - h + ridge) - gt ** 2 / (ht + ridge)
+        at = gain.argmax(axis=1)
+        top = gain[np.arange(n), at]
+        better = top > best + 1e-9
+        best[better], feature[better], cut[better] = top[better], j, at[better]
+    left = np.stack([v[np.arange(n), feature, np.minimum(cut, width - 1)] for v in (gs, hs)])
+    below = np.stack([left, np.stack([gs[:, 0, -1], hs[:, 0, -1]]) - left], axis=2)
+    return feature, cut, below.reshape(2, 2 * n)
+
+
+def _grow(model: Trees, mean: float, sums: Callable[[list, int], np.ndarray], trees: int, depth: int, rate: float, ridge: float) -> Trees:
+    """Gradient boosting on the logistic loss with second-order leaves. ``sums(split, width)`` are those of all
+    rows with the margins that the model gives so far."""
     width = max(len(e) for e in model.edges) + 1
-    mean = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    mean = np.clip(mean, 1e-3, 1 - 1e-3)
     model.start = float(np.log(mean / (1 - mean)))
-    f = np.full(len(x), model.start)
     for _ in range(trees):
-        p = 1 / (1 + np.exp(-f))
-        g, h = y - p, p * (1 - p)
-        node, split = np.zeros(len(x), np.int64), []
-        for level in range(depth):
-            n = 1 << level
-            best, feature, cut = np.zeros(n), np.zeros(n, np.int64), np.full(n, width)
-            for j in range(x.shape[1]):
-                key = node * width + b[:, j]
-                gs = np.bincount(key, g, n * width).reshape(n, width).cumsum(axis=1)
-                hs = np.bincount(key, h, n * width).reshape(n, width).cumsum(axis=1)
-                gt, ht = gs[:, -1:], hs[:, -1:]
-                gain = gs ** 2 / (hs + ridge) + (gt - gs) ** 2 / (ht - hs + ridge) - gt ** 2 / (ht + ridge)
-                at = gain.argmax(axis=1)
-                top = gain[np.arange(n), at]
-                better = top > best + 1e-9
-                best[better], feature[better], cut[better] = top[better], j, at[better]
+        split = []
+        for _ in range(depth):
+            feature, cut, (g, h) = _best(sums(split, width), ridge)
             split.append((feature, cut))
-            node = node * 2 + (b[np.arange(len(x)), feature[node]] > cut[node])
-        leaves = 1 << depth
-        leaf = rate * np.bincount(node, g, leaves) / (np.bincount(node, h, leaves) + ridge)
-        f += leaf[node]
         model.splits.append(split)
-        model.leaves.append(leaf)
+        model.leaves.append(rate * g / (h + ridge))
     return model
 
 
+def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE, ridge: float = 1.0) -> Trees:
+    """Boosted trees of rows in memory."""
+    model = Trees([np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])])
+    b = model.binned(x)
+    return _grow(model, y.mean(), lambda split, width: _sums(b, y, model.add(b, np.full(len(b), model.start)), split, width), trees, depth, rate, ridge)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _grid(x: np.ndarray) -> np.ndarray:
+    """Whole numbers, from 1024 on with their ten leading bits: a bounded number of values."""
+    shift = np.maximum(np.frexp(np.maximum(x, 1).astype(np.float64))[1] - 10, 0)
+    return x >> shift << shift
+
+
+def bin_edges(rows: DataFrame) -> list[np.ndarray]:
+    """For each feature the quantiles of all rows' values on ``_grid``, counted by Spark."""
+    def count(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for j, column in enumerate(_grid(_matrix(batch.column("x")).astype(np.int64)).T):
+                v, n = np.unique(column, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), j)), pa.array(v), pa.array(n)], names=["feature", "value", "n"])
+
+    found: dict[int, list[tuple[int, int]]] = {}
+    for r in map_arrow(rows.select("x"), count, "feature long, value long, n long").groupBy("feature", "value").agg(F.sum("n").alias("n")).collect():
+        found.setdefault(r.feature, []).append((r.value, r.n))
+    edges = []
+    for j in sorted(found):
+        v, n = np.array(sorted(found[j])).T
+        at = np.searchsorted(np.cumsum(n), np.linspace(0, 1, BINS + 1)[1:-1] * n.sum())
+        edges.append(np.unique(v[at]).astype(np.float64))
+    return edges
+
+
+def boost_rows(rows: DataFrame, mean: float, trees: int = TREES, depth: int = DEPTH, rate: float = RATE, ridge: float = 1.0) -> Trees:
+    """Boosted trees of all ``rows`` (x, y), a written table, of which the share ``mean`` has y = 1: blocks of binned rows with their
+    margins stay in Spark, a pass for each level of a tree sums gradients in the tasks and then over the tasks."""
+    model = Trees(bin_edges(rows))
+    spark, features = rows.sparkSession, len(model.edges)
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                b = model.binned(_matrix(batch.column("x"))).astype(np.uint8)
+                y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()]) for a in (b, y, np.zeros(len(y)))], names=["b", "y", "f"])
+
+    def arrays(b, y, f):
+        return np.frombuffer(b, np.uint8).reshape(-1, features), np.frombuffer(y), np.frombuffer(f).copy()
+
+    def renewed(blocks, since):
+        def run(batches):
+            for batch in batches:
+                new = [model.add(b, f, since).tobytes() for b, _, f in map(arrays, *(batch.column(c).to_pylist() for c in ("b", "y", "f")))]
+                yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("y"), pa.array(new, pa.binary())], names=["b", "y", "f"])
+
+        return written(spark, map_arrow(blocks, run, "b binary, y binary, f binary"), "pii-margins")
+
+    state = {"blocks": written(spark, map_arrow(rows.select("x", "y"), pack, "b binary, y binary, f binary"), "pii-blocks"), "since": 0}
+
+    def sums(split, width):
+        since = state["since"]
+        if len(model.leaves) - since >= REFRESH:
+            state["blocks"], state["since"] = renewed(state["blocks"], since), len(model.leaves)
+            state.pop("rdd", None)
+            since = state["since"]
+        if "rdd" not in state:
+            state["rdd"] = state["blocks"].rdd
+        later = Trees(splits=model.splits[since:], leaves=model.leaves[since:])
+        start = model.start
+
+        def add(total, row):
+            b, y, f = arrays(row.b, row.y, row.f)
+            own = _sums(b, y, later.add(b, f) + start, split, width)
+            return own if total is None else total + own
+
+        def both(one, other):
+            return other if one is None else one if other is None else one + other
+
+        # sums of few tasks meet in the driver, those of many in tasks first
+        return state["rdd"].treeAggregate(None, add, both, 1 if state["rdd"].getNumPartitions() <= FEW_TASKS else 2)
+
+    return _grow(model, mean, sums, trees, depth, rate, ridge)
+
+
 # ---- training rows from base matches ----------------------------------------------
 
 def _broken(value: str, kind: int, rng: np.random.Generator) -> str:
@@ -324,10 +434,10 @@ def level(counts: dict, total: int) -> dict:
     return shares
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_texts: int = MAX_TEXTS, max_rows: int = MAX_ROWS, seed: int = 5) -> Model:
-    """Learn from about ``max_texts`` documents with base matches of each kind, as many
-    without any, and about ``max_rows`` candidates of them, chosen by hashes of the id; small groups
-    are taken whole. Calibration and thresholds weigh a candidate by what it stands for."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_texts: int | None = None, seed: int = 5) -> Model:
+    """Learn from every text and all its candidates. ``max_texts``, for a quick model of a part only, draws about five times so many
+    texts by hashes of the id, evenly over the sets of kinds that they have base matches of; rare sets are taken whole, and
+    calibration and thresholds weigh a candidate by what it stands for."""
     d = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), text_or_empty(text_col).alias("text"))
     d = d.withColumn("draw", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)))
 
@@ -335,45 +445,45 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tex
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sample_kinds(t) for t in batch.column("text").to_pylist()], pa.int64())], names=["kinds"])
 
-    counts = {r.kinds: r.n for r in map_arrow(d.select("text"), kinds, "kinds long").groupBy("kinds").agg(F.count(F.lit(1)).alias("n")).collect()}
-    having = [sum(n for bits, n in counts.items() if bits >> k & 1) for k in range(4)]
-    share = {bits: max([min(1.0, max_texts / having[k]) for k in range(4) if bits >> k & 1] or [min(1.0, max_texts / n)]) for bits, n in counts.items()}
-    some = d.where(F.col("draw") < int(max(share.values(), default=0.0) * (1 << 30)))
+    share = None
+    if max_texts is not None:
+        share = level({r.kinds: r.n for r in map_arrow(d.select("text"), kinds, "kinds long").groupBy("kinds").agg(F.count(F.lit(1)).alias("n")).collect()}, 5 * max_texts)
 
     def rows(batches):
         for batch in batches:
-            x, y, draws, stands = [], [], [], []
+            x, y, aside, stands = [], [], [], []
             for i, t, draw in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), batch.column("draw").to_pylist()):
-                own = share[sample_kinds(t)]
+                own = 1.0 if share is None else share[sample_kinds(t)]
                 if draw >= int(own * (1 << 30)):
                     continue
                 rng = np.random.default_rng(int.from_bytes(hashlib.blake2b(f"{seed} {i}".encode(), digest_size=8).digest(), "big"))
                 for f, label in training_rows(t, rng):
-                    x.append(f)
+                    x.append([int(v) for v in f])
                     y.append(label)
-                    draws.append(float(rng.random()))
+                    aside.append(bool(rng.random() < ASIDE))
                     stands.append(1 / own)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array([4 * v + f[:4].index(1.0) for f, v in zip(x, y)], pa.int64()),
-                                              pa.array(draws, pa.float64()), pa.array(stands, pa.float64())], names=["x", "part", "draw", "stands"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int32())), pa.array(y, pa.float64()), pa.array(aside, pa.bool_()), pa.array(stands, pa.float64())],
+                                             names=["x", "y", "aside", "stands"])
 
-    made = written(docs.sparkSession, map_arrow(some, rows, "x array<double>, part long, draw double, stands double"), "pii-rows")
-    shares = level({r.part: r.n for r in made.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}, max_rows)
-    if not shares:
+    made = written(docs.sparkSession, map_arrow(d, rows, "x array<int>, y double, aside boolean, stands double"), "pii-rows")
+    n = {(r.aside, r.y): r.n for r in made.groupBy("aside", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not (n.get((False, 0.0)) and n.get((False, 1.0)) and (n.get((True, 0.0)) or n.get((True, 1.0)))):
         return Model()
-    chosen = [(F.col("part") == part) & (F.col("draw") < share) for part, share in shares.items()]
-    sample = made.where(reduce(lambda a, b: a | b, chosen)).orderBy("draw", "part", "x").collect()
-    x, y = np.array([r.x for r in sample]), np.array([float(r.part >= 4) for r in sample])
-    stands = np.array([r.stands / shares[r.part] for r in sample])
-    # a fourth of each part, in the order of the random draws: the rows themselves are ordered by
-    # draws that a small share makes small, so the places within the part count
-    aside, seen = np.zeros(len(y), bool), {}
-    for i, r in enumerate(sample):
-        seen[r.part] = seen.get(r.part, 0) + 1
-        aside[i] = seen[r.part] % 4 == 0
-    if not y.sum() or y[~aside].min() == y[~aside].max() or not aside.any():
-        return Model()
-    model = Model(boost(x[~aside], y[~aside]))
-    m, t, u = model.trees.margin(x[aside]), y[aside], stands[aside] / stands[aside].mean()
+    model = Model(boost_rows(made.where("NOT aside"), n[False, 1.0] / (n[False, 0.0] + n[False, 1.0])))
+
+    def cells(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column("x"))
+                cell = np.floor(model.trees.margin(x) * CELLS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, :4].argmax(axis=1)), batch.column("y"), pa.array(cell), batch.column("stands")], names=["kind", "y", "cell", "stands"])
+
+    # all rows put aside, counted by kind, label and cell of the margin
+    counted = (map_arrow(made.where("aside").select("x", "y", "stands"), cells, "kind long, y double, cell long, stands double")
+               .groupBy("kind", "y", "cell").agg(F.sum("stands").alias("stands")).orderBy("kind", "cell", "y").collect())
+    kind, t, m, u = (np.array([r[c] for r in counted], np.float64) for c in ("kind", "y", "cell", "stands"))
+    m /= CELLS
+    u *= (n.get((True, 0.0), 0) + n.get((True, 1.0), 0)) / u.sum()
     a, b = 1.0, 0.0
     for _ in range(50):  # logistic calibration, Newton steps with a little ridge
         p = 1 / (1 + np.exp(-(a * m + b)))
@@ -383,14 +493,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tex
         step = np.linalg.solve(h, g)
         a, b = a + np.clip(step[0], -0.5, 0.5), b + np.clip(step[1], -1, 1)
     model.scale = (float(max(a, 0.05)), float(b))
-    q = model.probability(x[aside])
     cuts = []
     for k in range(4):
-        own = x[aside][:, k] == 1
-        order = np.argsort(-q[own], kind="stable")
-        right, of = (t * u)[own][order], u[own][order]
-        precise = np.flatnonzero(np.cumsum(right) / np.cumsum(of) >= PRECISION)
-        cuts.append(max(0.5, float(q[own][order][precise[-1]])) if len(precise) else 2.0)
+        own = kind == k
+        margins, at = np.unique(-m[own], return_inverse=True)  # the likeliest first
+        right, of = np.bincount(at, (t * u)[own], len(margins)).cumsum(), np.bincount(at, u[own], len(margins)).cumsum()
+        precise = np.flatnonzero(right / of >= PRECISION)
+        cuts.append(max(0.5, float(1 / (1 + np.exp(model.scale[0] * margins[precise[-1]] - model.scale[1])))) if len(precise) else 2.0)
     model.thresholds = tuple(cuts)
     return model
 

@@ -2,9 +2,11 @@
 
 import pathlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from orderstream.llm import pii
 from orderstream.operators.windows import with_event_watermark
 from orderstream.plans import catalog
 from orderstream.schema import TOPIC_RECORD
@@ -75,3 +77,24 @@ def test_a_lot_has_files_of_bounded_size(spark, tmp_dir, monkeypatch):
     q.awaitTermination()
     assert seen == [[0], [1], [2], [3]]
     assert catalog._parts_by_offset(records.limit(0), f"{tmp_dir}/none") == 1
+
+
+def test_personal_data_is_learnt_from_every_text(spark, monkeypatch):
+    """Beyond 4,000 texts of a kind too: all their candidates train, calibrate or set thresholds, and the trees are those of all rows."""
+    docs = spark.range(0, 4400, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.lit("mail ann"), "id", F.lit("@host.example.com, lot "), F.col("id") * 7919 % 10**7, F.lit(" at noon")).alias("text"))
+    seen, boost_rows = {}, pii.boost_rows
+
+    def watch(rows, mean, **kw):
+        seen["rows"] = rows.collect()
+        monkeypatch.setattr(pii, "TREES", 3)
+        return seen.setdefault("trees", boost_rows(rows, mean, trees=3))
+
+    monkeypatch.setattr(pii, "boost_rows", watch)
+    monkeypatch.setattr(pii, "REFRESH", 2)
+    model = pii.fit(docs)
+    assert sum(r.y for r in seen["rows"]) > 0.7 * 4400  # three fourths of all positives train
+    x, y = np.array([r.x for r in seen["rows"]], np.float64), np.array([r.y for r in seen["rows"]])
+    here = pii.Trees(seen["trees"].edges)
+    b = here.binned(x)
+    pii._grow(here, y.mean(), lambda split, width: pii._sums(b, y, here.add(b, np.full(len(b), here.start)), split, width), 3, pii.DEPTH, pii.RATE, 1.0)
+    assert np.allclose(here.margin(x), model.trees.margin(x)) and model.thresholds[0] <= 1
