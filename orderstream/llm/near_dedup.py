@@ -54,6 +54,8 @@ SLACK, FINE_SLACK = 0.1, 0.05
 FEW = 2000
 #: So many members of a bucket are compared in one task of the second round; so many pairs of one text are verified in one.
 BLOCK, PAIRS = 1024, 4096
+#: Bytes of text that a Python worker hashes at a time: its arrays take some thirty times as much.
+TEXT_BYTES = 512 << 10
 #: A shingle that occurs 8 times weighs a quarter more than one that occurs once: a text
 #: that repeats a line is told by its other shingles too.
 DAMPING = 8.0
@@ -176,7 +178,7 @@ def _buckets(bands: np.ndarray, plain: np.ndarray, where: np.ndarray) -> pa.Arra
 
 
 def _sign_finely(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", TEXT_BYTES):
         x, c, starts, _ = shingles(batch.column("text"), k)
         again = repeating(c, starts)
         plain = _lists_where(sketches(plain_signatures(x, starts, again, FINE_REGISTERS)), again)
@@ -185,7 +187,7 @@ def _sign_finely(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Recor
 
 
 def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", TEXT_BYTES):
         x, c, starts, keys = shingles(batch.column("text"), k)
         sig = signatures(x, weights(c), starts)
         n = len(sig)
@@ -225,7 +227,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def _verify(batches: Iterator[pa.RecordBatch], k: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(sliced(batches, "text_a", 1 << 21), "text_b", 1 << 21):
+    for batch in sliced(sliced(batches, "text_a", TEXT_BYTES), "text_b", TEXT_BYTES):
         sides = []
         for name in ("text_a", "text_b"):
             x, c, starts, _ = shingles(batch.column(name), k)

@@ -4,9 +4,10 @@ import pathlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from orderstream.llm import pii
+from orderstream.llm import near_dedup, pii
 from orderstream.operators.windows import with_event_watermark
 from orderstream.plans import catalog
 from orderstream.schema import TOPIC_RECORD
@@ -98,3 +99,15 @@ def test_personal_data_is_learnt_from_every_text(spark, monkeypatch):
     b = here.binned(x)
     pii._grow(here, y.mean(), lambda split, width: pii._sums(b, y, here.add(b, np.full(len(b), here.start)), split, width), 3, pii.DEPTH, pii.RATE, 1.0)
     assert np.allclose(here.margin(x), model.trees.margin(x)) and model.thresholds[0] <= 1
+
+
+def test_words_are_hashed_in_bounded_parts(monkeypatch):
+    """The texts that one call hashes have a bound well under a batch, and the parts don't change the result."""
+    texts = [b" ".join(b"w%d" % (i * j % 997) for j in range(9000)) for i in range(1, 61)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts)], names=["id", "text"])
+    sizes, shingles = [], near_dedup.shingles
+    monkeypatch.setattr(near_dedup, "shingles", lambda column, k: sizes.append(sum(map(len, column.to_pylist()))) or shingles(column, k))
+    small = pa.Table.from_batches(near_dedup._sign([batch], 5))
+    assert max(sizes) <= 512 << 10 and len(sizes) > 4
+    monkeypatch.setattr(near_dedup, "TEXT_BYTES", 1 << 30)
+    assert small.combine_chunks() == pa.Table.from_batches(near_dedup._sign([batch], 5)).combine_chunks()
